@@ -157,9 +157,9 @@ SELECT p.*, f.* EXCLUDE (event_id) FROM newpar p LEFT JOIN newfea f ON f.event_i
 
 STEPS["v1whole"] = """
 SELECT *, '{"user":"user' || user_id || '","message":' || CAST(to_json(message) AS VARCHAR)
-  || ',"sentiment":{"neg":' || greatest(-s, 0.0) || ',"neu":' || round(1 - abs(s), 4) || ',"pos":' || greatest(s, 0.0)
+  || ',"sentiment":{"neg":' || greatest(-s, 0) || ',"neu":' || CAST(1 - abs(s) AS DECIMAL(6, 4)) || ',"pos":' || greatest(s, 0)
   || ',"compound":' || s || '}}' AS whole
-FROM (SELECT *, round(least(value / 245 - 1, 1.0), 4) AS s FROM msg)"""
+FROM (SELECT *, CAST(round(least(value / 245 - 1, 1.0), 4) AS DECIMAL(6, 4)) AS s FROM msg)"""
 
 STEPS["v1log"] = _capture("v1whole")
 
@@ -505,12 +505,12 @@ SQUEEZED = "regexp_replace(trim(coalesce(j->>'$.{0}', ''), " + BLANKS + "), '[ \
 _add(
     "text_contract",
     f"""SELECT 'chat_raw:' || part || ':' || event_id AS event_id, 'chat_raw' AS source_topic, part AS source_partition,
-  event_id AS source_offset, at AS event_ts, at AS bronze_ingestion_ts, TIMESTAMP '2024-03-15' AS silver_processed_ts,
+  event_id AS source_offset, made AS event_ts, made AS bronze_ingestion_ts, TIMESTAMP '2024-03-15' AS silver_processed_ts,
   {SQUEEZED.format('source.channel')} AS channel, coalesce(nullif({SQUEEZED.format('source.platform')}, ''), 'twitch') AS source_platform,
   lower({SQUEEZED.format('raw.username')}) AS chatter_id, {SQUEEZED.format('raw.message')} AS message_text,
   lower({SQUEEZED.format('raw.message')}) AS message_text_normalized,
   CAST(length({SQUEEZED.format('raw.message')}) AS INTEGER) AS message_length
-FROM (SELECT *, CASE WHEN NOT (event_type = 'click' AND value < 5) THEN ts END AS at FROM bron WHERE j IS NOT NULL)""",
+FROM (SELECT *, CASE WHEN NOT (event_type = 'click' AND value < 5) THEN ts END AS made FROM bron WHERE j IS NOT NULL)""",
 )
 _add(
     "json_object_check",
@@ -921,7 +921,7 @@ FROM (SELECT count(*) AS n, count(DISTINCT (part, event_id)) AS k FROM log) b, (
 )
 _add(
     "cost_per_million",
-    """SELECT run_id, round(batch_count * 0.05, 6) AS total_cost_usd, bronze_row_count,
+    """SELECT run_id, round(batch_count * CAST(0.05 AS DOUBLE), 6) AS total_cost_usd, bronze_row_count,
   round(batch_count * CAST(0.05 AS DOUBLE) / nullif(CAST(bronze_row_count AS DOUBLE), 0) * 1e6, 6) AS cost_per_million_messages_usd,
   round(dlq_rate, 6) AS dlq_rate FROM summary""",
 )

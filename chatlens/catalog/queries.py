@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StructType
 
 from chatlens.functions.enrich import (
     alpha_ratio,
@@ -27,6 +27,7 @@ from chatlens.operators import checks, irc, merge, observe, parse, quality, v1,
 from chatlens.plans import engagement, health, messages, triage
 from chatlens.schemas import (
     BATCH_METRICS,
+    BRONZE_RAW,
     DLQ,
     DLQ_CATEGORIES,
     EMOTE_SENTIMENT,
@@ -555,8 +556,6 @@ def _bronze_stream(spark, sf, folder):
         stream, f"{folder}/bronze", f"{folder}/cp_bronze", "run_a", as_of=F.col("timestamp")
     )
     jobs.await_all(capture)
-    from chatlens.schemas import BRONZE_RAW
-
     return tables.stream_table_scan(spark, f"{folder}/bronze", with_write_metadata(BRONZE_RAW))
 
 
@@ -577,8 +576,6 @@ def _silver_streams(spark, sf, folder):
 def _(spark, sf):
     folder = _folder(spark)
     _bronze_stream(spark, sf, folder)
-    from chatlens.schemas import BRONZE_RAW
-
     return tables.read_table(spark, f"{folder}/bronze", with_write_metadata(BRONZE_RAW)).drop(
         "_batch_processed_ts", "raw_payload"
     )
@@ -596,8 +593,8 @@ def _(spark, sf):
         "copy",
     )
     jobs.await_all(scan)
-    schema = "source_topic string, source_partition int, source_offset bigint"
-    return spark.read.schema(schema).parquet(f"{folder}/copy")
+    copied = StructType.fromDDL("source_topic string, source_partition int, source_offset bigint")
+    return tables.read_table(spark, f"{folder}/copy", copied)
 
 
 @query("bronze_to_silver_stream")
@@ -643,8 +640,8 @@ def _(spark, sf):
             stream, f"{folder}/bronze", f"{folder}/silver", f"{folder}/cp", as_of=F.col("kafka_timestamp")
         )
     )
-    raw = spark.read.schema(V1_BRONZE).parquet(f"{folder}/bronze")
-    silver = spark.read.schema(V1_SILVER).parquet(f"{folder}/silver")
+    raw = tables.read_table(spark, f"{folder}/bronze", V1_BRONZE)
+    silver = tables.read_table(spark, f"{folder}/silver", V1_SILVER)
     return raw.join(silver.drop("kafka_timestamp", "ingest_ts"), list(LOG_KEY), "left").select(
         *LOG_KEY, "parse_status", "parse_error", "user", "message_length", "emote_count", "engagement_flag"
     )

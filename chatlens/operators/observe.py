@@ -131,15 +131,16 @@ def schema_drift(
 
 def schema_drift_summary(drift: DataFrame) -> DataFrame:
     """Records per drift kind, field and action."""
-    tagged = [
-        F.transform(column, lambda name, kind=kind: F.struct(F.lit(kind).alias("drift_kind"), name.alias("field")))
-        for kind, column in (
-            ("missing", "missing_required_fields"),
-            ("unexpected", "unexpected_fields"),
-            ("type", "type_drift_fields"),
-        )
-    ]
-    flat = drift.select("action", F.inline(F.concat(*tagged)))
+
+    def tagged(kind: str, fields: str) -> Column:
+        return F.transform(fields, lambda name: F.struct(F.lit(kind).alias("drift_kind"), name.alias("field")))
+
+    all_drift = F.concat(
+        tagged("missing", "missing_required_fields"),
+        tagged("unexpected", "unexpected_fields"),
+        tagged("type", "type_drift_fields"),
+    )
+    flat = drift.select("action", F.inline(all_drift))
     return flat.groupBy("drift_kind", "field", "action").agg(F.count(F.lit(1)).alias("records"))
 
 

@@ -236,12 +236,13 @@ def chat_lines(spark: SparkSession, sf: str) -> DataFrame:
 def v1_log(spark: SparkSession, sf: str) -> DataFrame:
     """First-generation payloads {user, message, sentiment}."""
     score = F.round(F.least(F.col("value") / 245 - 1, F.lit(1.0)), 4)
-    sentiment = F.struct(
-        F.greatest(-score, F.lit(0.0)).alias("neg"),
-        F.round(1 - F.abs(score), 4).alias("neu"),
-        F.greatest(score, F.lit(0.0)).alias("pos"),
-        score.alias("compound"),
-    )
+    scores = {
+        "neg": F.greatest(-score, F.lit(0.0)),
+        "neu": 1 - F.abs(score),
+        "pos": F.greatest(score, F.lit(0.0)),
+        "compound": score,
+    }
+    sentiment = F.struct(*[c.cast("decimal(6,4)").alias(name) for name, c in scores.items()])
     payload = F.to_json(
         F.struct(F.concat(F.lit("user"), "user_id").alias("user"), "message", sentiment.alias("sentiment"))
     )

@@ -25,7 +25,8 @@ def staging_scan(source: DataFrame, schema: StructType) -> DataFrame:
 def read_table(spark: SparkSession, name_or_path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
     """Read a catalog table, or files where a path is given."""
     if "/" in name_or_path:
-        return spark.read.format(fmt).schema(schema).load(name_or_path)
+        files = spark.read.format(fmt).schema(schema).load(name_or_path)
+        return files.select(*schema.fieldNames())
     return staging_scan(spark.read.table(name_or_path), schema)
 
 
@@ -41,7 +42,7 @@ def stream_table_scan(
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if "/" in name_or_path:
-        return reader.format(fmt).schema(schema).load(name_or_path)
+        return reader.format(fmt).schema(schema).load(name_or_path).select(*schema.fieldNames())
     return reader.table(name_or_path)
 
 
