@@ -22,14 +22,15 @@ COMPOUND_ALPHA = 15.0
 
 
 def shannon_entropy(text: Column) -> Column:
-    """Bits per character; 0 for null or empty text."""
+    """Bits per character; 0 for null or empty text.
+
+    -sum(p log p) with p = n/size, written as log(size) - sum(n log n)/size: one logarithm
+    and one product per distinct character.
+    """
     body = F.coalesce(text, F.lit(""))
     size = F.length(body).cast("double")
-    return F.aggregate(
-        char_counts(body),
-        F.lit(0.0),
-        lambda acc, n: acc - (n / size) * F.log2(n / size),
-    )
+    weighted = F.aggregate(char_counts(body), F.lit(0.0), lambda acc, n: acc + n * F.log2(n))
+    return F.when(size > 0, F.log2(size) - weighted / size).otherwise(0.0)
 
 
 def max_run_ratio(text: Column) -> Column:

