@@ -199,11 +199,14 @@ def run_reconciliation(
         .groupBy("_run_id")
         .agg(F.sum("n").alias("bronze_rows"), F.sum(F.col("n") - 1).alias("repeated_rows"))
     )
-    result = raw
+    counts = raw
     for name, table in (("valid_rows", parsed), ("feature_rows", features), ("dlq_rows", dlq)):
         counted = table.groupBy("_run_id").agg(F.count(F.lit(1)).alias(name))
-        result = result.join(counted, "_run_id", "left")
-    result = result.fillna(0).withColumnRenamed("_run_id", "run_id")
+        counts = counts.unionByName(counted, allowMissingColumns=True)
+    measures = [c for c in counts.columns if c != "_run_id"]
+    result = counts.groupBy(F.col("_run_id").alias("run_id")).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in measures]
+    )
     accounted = F.col("valid_rows") + F.col("dlq_rows") + F.col("repeated_rows")
     return result.withColumns(
         {

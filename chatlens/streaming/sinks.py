@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from chatlens.schemas import BATCH_METRICS
 
 BATCH_PARTITIONS = ["_run_id", "_job_name", "_batch_id"]
+METRICS_PARTITIONS = ["run_id", "job_name", "target_table", "batch_id"]
 
 
 def with_batch_metadata(
@@ -38,23 +39,20 @@ def write_batch(stamped: DataFrame, target: str, fmt: str, run_id: str, job_name
     Files: the batch owns its partitions, which a repeat overwrites. Delta: the transaction
     id lets the table skip a repeat. Other tables: plain append with schema evolution.
     """
+    transaction = {"txnAppId": f"{run_id}:{job_name}:{target}", "txnVersion": str(batch_id)}
+    _write(stamped, target, fmt, BATCH_PARTITIONS, transaction)
+
+
+def _write(df: DataFrame, target: str, fmt: str, partitions: list[str], transaction: dict[str, str]) -> None:
+    """Dynamic partition overwrite stages each write in a folder of its own, so queries that
+    share a target (the two parse queries share the metrics) do not disturb each other."""
+    writer = df.write.format(fmt)
     if fmt == "delta":
-        writer = (
-            stamped.write.format(fmt)
-            .mode("append")
-            .option("mergeSchema", "true")
-            .option("txnAppId", f"{run_id}:{job_name}:{target}")
-            .option("txnVersion", batch_id)
-        )
+        writer = writer.mode("append").option("mergeSchema", "true").options(**transaction)
     elif _is_path(target):
-        writer = (
-            stamped.write.format(fmt)
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*BATCH_PARTITIONS)
-        )
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions)
     else:
-        writer = stamped.write.format(fmt).mode("append").option("mergeSchema", "true")
+        writer = writer.mode("append").option("mergeSchema", "true")
     if _is_path(target):
         writer.save(target)
     else:
@@ -82,8 +80,9 @@ def append_with_batch_metadata(
     """Stamp and write one batch; returns its row count.
 
     The count is observed while the batch is written, so nothing is cached and the plan runs
-    once. Zero-row batches still leave a metrics row. The metrics row is a second commit:
-    after a retry it may repeat, and readers take ``distinct_batches``.
+    once. Zero-row batches still leave a metrics row. It is a second commit, made after the
+    data: a retry replaces it (files), skips it (Delta) or repeats it (other tables, whose
+    readers take ``distinct_batches``).
     """
     if skip_empty and batch.isEmpty():
         return 0
@@ -95,13 +94,9 @@ def append_with_batch_metadata(
     rows = int(seen.get.get("rows", 0))
     if ops_metrics:
         row = batch_metrics_row(batch, run_id, job_name, batch_id, processed_ts, rows, target)
-        writer = row.write.format(fmt).mode("append")
-        if fmt == "delta":
-            writer = writer.option("mergeSchema", "true")
-        if _is_path(ops_metrics):
-            writer.save(ops_metrics)
-        else:
-            writer.saveAsTable(ops_metrics)
+        # One writer sequence per metrics source: the id names the target it counts.
+        transaction = {"txnAppId": f"metrics:{run_id}:{job_name}:{target}", "txnVersion": str(batch_id)}
+        _write(row, ops_metrics, fmt, METRICS_PARTITIONS, transaction)
     return rows
 
 
