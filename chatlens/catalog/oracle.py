@@ -710,6 +710,20 @@ _add(
     f"SELECT {BRONZE_COLUMNS}, ts AS bronze_ingestion_ts, 'run_a' AS _run_id, 'bronze_ingest' AS _job_name, CAST(0 AS BIGINT) AS _batch_id FROM log",
 )
 _add("stream_table_scan", "SELECT 'chat_raw' AS source_topic, part AS source_partition, event_id AS source_offset FROM log")
+_add(
+    "stream_append",
+    "SELECT 'run_a' AS run_id, 'bronze_ingest' AS job_name, CAST(0 AS BIGINT) AS batch_id, count(*) AS row_count FROM log",
+)
+_add("dlq_sink", "SELECT * REPLACE (TIMESTAMP '2024-03-15' AS dlq_ingestion_ts) FROM dead")
+_add(
+    "idempotent_batch_write",
+    f"""SELECT {BRONZE_COLUMNS}, arrival AS bronze_ingestion_ts, 'run_a' AS _run_id, 'bronze_ingest' AS _job_name,
+  CAST(3 AS BIGINT) AS _batch_id FROM log""",
+)
+_add(
+    "skip_empty_batch",
+    "SELECT 'run_a' AS run_id, 'dlq_router' AS job_name, CAST(1 AS BIGINT) AS batch_id, count(*) AS row_count FROM dead",
+)
 _add(
     "bronze_to_silver_stream",
     """SELECT 'parsed' AS target, source_partition, source_offset, message_text, CAST(NULL AS VARCHAR) AS error_code FROM good

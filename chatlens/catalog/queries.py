@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from datetime import datetime, timezone
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,6 +119,51 @@ def _v1_tables(spark, sf):
     return target, rows.filter(day >= F.lit("2024-01-14").cast("date"))
 
 
+@query("stream_append")
+def _(spark, sf):
+    folder = _folder(spark)
+    stream = log.file_log_stream(spark, _log_files(spark, derived.log_rows(spark, sf), folder))
+    jobs.await_all(
+        sinks.stream_append(
+            log.bronze_projection(stream), f"{folder}/bronze", f"{folder}/cp", "run_a", "bronze_ingest", f"{folder}/metrics"
+        )
+    )
+    written = tables.read_table(spark, f"{folder}/metrics", BATCH_METRICS)
+    return health.distinct_batches(written).select("run_id", "job_name", "batch_id", "row_count")
+
+
+@query("dlq_sink")
+def _(spark, sf):
+    folder = _folder(spark)
+    stream = log.file_log_stream(spark, _log_files(spark, derived.log_rows(spark, sf), folder))
+    dead = parse.dead_letters(parse.classify(log.bronze_projection(stream)), as_of())
+    jobs.await_all(sinks.dlq_sink(dead, f"{folder}/dlq", f"{folder}/cp", available_now=True))
+    return tables.read_table(spark, f"{folder}/dlq", DLQ)
+
+
+@query("idempotent_batch_write")
+def _(spark, sf):
+    target = f"{_folder(spark)}/bronze"
+    rows = derived.bronze(spark, sf)
+    for _attempt in ("first", "repeated"):
+        sinks.append_with_batch_metadata(rows, 3, target, "run_a", "bronze_ingest")
+    written = tables.read_table(spark, target, with_write_metadata(BRONZE_RAW))
+    return written.drop("_batch_processed_ts", "raw_payload")
+
+
+@query("skip_empty_batch")
+def _(spark, sf):
+    folder = _folder(spark)
+    dead = parse.dead_letters(derived.classified(spark, sf), as_of())
+    batches = (dead.filter("error_category = 'TYPE_ERROR'"), dead)
+    for batch_id, batch in enumerate(batches):
+        sinks.append_with_batch_metadata(
+            batch, batch_id, f"{folder}/dlq", "run_a", "dlq_router", f"{folder}/metrics", skip_empty=True
+        )
+    written = tables.read_table(spark, f"{folder}/metrics", BATCH_METRICS)
+    return written.select("run_id", "job_name", "batch_id", "row_count")
+
+
 @query("merge_insert_new")
 def _(spark, sf):
     target, batch = _v1_tables(spark, sf)
@@ -408,7 +453,9 @@ def _(spark, sf):
 
 @query("lexicon_sentiment")
 def _(spark, sf):
-    lexicon = spark.createDataFrame(list(EMOTE_SENTIMENT.items()), "token string, score double")
+    lexicon = tables.literal_table(
+        spark, {"token": list(EMOTE_SENTIMENT), "score": list(EMOTE_SENTIMENT.values())}
+    )
     return lexicon_scores(derived.messages(spark, sf), lexicon)
 
 
@@ -532,10 +579,7 @@ def _(spark, sf):
 
 def _folder(spark: SparkSession) -> str:
     """A new folder of its own below the shared checkpoint folder."""
-    root = checkpoint_root(spark)
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="stream-", dir=root.removeprefix("file:"))
-    return f"{root}/stream-{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
+    return f"{checkpoint_root(spark)}/stream-{uuid4().hex}"
 
 
 def _log_files(spark, rows: DataFrame, folder: str) -> str:
@@ -561,15 +605,16 @@ def _bronze_stream(spark, sf, folder):
 
 def _silver_streams(spark, sf, folder):
     bronze = _bronze_stream(spark, sf, folder)
-    queries = jobs.bronze_to_silver_stream(
-        bronze,
-        f"{folder}/parsed",
-        f"{folder}/dlq",
-        f"{folder}/cp_silver",
-        "run_a",
-        as_of=F.col("bronze_ingestion_ts"),
-    )
-    jobs.await_all(*queries)
+    with jobs.state_settings(spark, spark.sparkContext.defaultParallelism, on_disk=False):
+        started = jobs.bronze_to_silver_stream(
+            bronze,
+            f"{folder}/parsed",
+            f"{folder}/dlq",
+            f"{folder}/cp_silver",
+            "run_a",
+            as_of=F.col("bronze_ingestion_ts"),
+        )
+    jobs.await_all(*started)
 
 
 @query("kafka_to_bronze_stream")

@@ -12,7 +12,6 @@ from chatlens.schemas import (
     DEFAULT_DEDUPE_WATERMARK,
     DEFAULT_PLATFORM,
     DLQ,
-    DLQ_CATEGORIES,
     DLQ_REASONS,
     ENVELOPE,
     PARSE_STAGE,
@@ -166,10 +165,6 @@ def dlq_record(
     )
 
 
-def known_category(category: Column) -> Column:
-    return category.isin(*DLQ_CATEGORIES)
-
-
 def dedupe(valid: DataFrame, key: str = "event_id") -> DataFrame:
     """Batch dedupe: one row per key, the first captured copy.
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chatlens.functions.text import share
 from chatlens.schemas import LOG_KEY, MESSAGE_TYPES
+from chatlens.sources.tables import literal_table
 
 # Fixed value: placeholder for null parts of a surrogate key.
 NULL_KEY_PART = "_dbt_utils_surrogate_key_null_"
@@ -14,7 +15,8 @@ NEUTRAL_BAND = 0.05
 
 
 def message_type_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(MESSAGE_TYPES), "message_type string, description string")
+    names, descriptions = zip(*MESSAGE_TYPES)
+    return literal_table(spark, {"message_type": list(names), "description": list(descriptions)})
 
 
 def surrogate_key(*columns: str) -> Column:

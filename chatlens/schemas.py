@@ -98,7 +98,6 @@ V1_SILVER = _struct(
 )
 
 LOG_KEY = ("topic", "partition", "offset")
-SOURCE_KEY = ("source_topic", "source_partition", "source_offset")
 
 
 def with_write_metadata(schema: T.StructType) -> T.StructType:

@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+def literal_table(spark: SparkSession, columns: dict[str, list]) -> DataFrame:
+    """A small constant table. It carries its size, so Spark may broadcast it on its own."""
+    return spark.createDataFrame(pa.table(columns))
+
+
 def staging_scan(source: DataFrame, schema: StructType) -> DataFrame:
     """Source-conformed columns in contract order; a missing or retyped column fails at analysis."""
     found = {f.name: f.dataType for f in source.schema.fields}

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -31,12 +33,27 @@ from chatlens.streaming.sinks import dlq_sink, stream_append, with_batch_metadat
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def configure_state(spark: SparkSession, partitions: int, on_disk: bool = True) -> None:
-    """Fix the state's partition count before a stateful query first starts: it cannot change
-    later, and adaptive execution does not coalesce it. Large key sets belong on disk."""
-    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+@contextmanager
+def state_settings(spark: SparkSession, partitions: int, on_disk: bool = True) -> Iterator[None]:
+    """Settings for stateful queries started inside the block.
+
+    A query keeps the partition count of its first start for good, and adaptive execution does
+    not coalesce it, so it is chosen for the expected key volume. Large key sets belong on disk.
+    """
+    wanted = {"spark.sql.shuffle.partitions": str(partitions)}
     if on_disk:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        wanted["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def await_all(*queries: StreamingQuery) -> None:
@@ -132,11 +149,14 @@ def _absent(rows: DataFrame, path: str, schema: StructType, batch_id: int, order
     The target scan is limited to the batch's log dates, so its cost follows the batch and
     not the table. The bound is one min/max row.
     """
-    spark = rows.sparkSession
-    if not _exists(spark, path):
+    full = StructType(schema.fields + V1_PARTITION_FIELDS)
+    try:
+        table = rows.sparkSession.read.schema(full).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
         return first_per_key(rows, LOG_KEY, [order])
     dated = rows.withColumn("_log_date", F.to_date("kafka_timestamp"))
-    table = spark.read.schema(StructType(schema.fields + V1_PARTITION_FIELDS)).parquet(path)
     earlier = table.filter(F.col("_batch_id") != batch_id)
     return new_rows(earlier, dated, LOG_KEY, [order], prune_on="_log_date").drop("_log_date")
 
@@ -164,11 +184,6 @@ def v1_batch(bronze: str, silver: str, as_of: Column | None = None) -> Callable[
     return write
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
-
-
 def v1_foreach_batch(
     log: DataFrame,
     bronze: str,

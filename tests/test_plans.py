@@ -12,7 +12,9 @@ from chatlens.plans import engagement, triage
 from chatlens.schemas import SILVER_FEATURES, SILVER_PARSED, with_write_metadata
 from chatlens.sources import log, tables
 
-STREAMS = {name for name in QUERIES if name.endswith("_stream") or name in ("stream_table_scan", "v1_foreach_batch")}
+# Their result is a plain scan of what the stream or the batch write left.
+WRITTEN = {"stream_table_scan", "v1_foreach_batch", "stream_append", "dlq_sink", "idempotent_batch_write", "skip_empty_batch"}
+STREAMS = {name for name in QUERIES if name.endswith("_stream") or name in WRITTEN}
 
 
 def plan_of(df) -> str:

@@ -183,6 +183,21 @@ def test_empty_batches(spark, lake):
     assert [(r["batch_id"], r["row_count"]) for r in rows] == [(0, 0)]
 
 
+def test_state_settings_hold_for_queries_started_inside(spark, lake):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    lake.deliver(record(1), record(1))
+    lake.capture()
+    with jobs.state_settings(spark, 3):
+        lake.parse()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    offsets = spark.read.text(lake.path("cp_silver/offsets/0")).collect()
+    assert any('"spark.sql.shuffle.partitions":"3"' in r[0] and "RocksDB" in r[0] for r in offsets)
+    lake.deliver(record(1), record(2))
+    lake.capture()
+    lake.parse()
+    assert lake.offsets() == [1, 2]
+
+
 def test_dlq_sink_without_run_id_is_native(spark, lake):
     lake.deliver(record(1, value=b"broken"), record(2))
     stream = log.bronze_projection(log.file_log_stream(spark, lake.path("log/*")))
