@@ -10,7 +10,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatlens.functions.text import char_counts, evaluate_once, longest_run, words
+from chatlens.functions.text import char_counts, longest_run, words
 from chatlens.schemas import EMOTE_SENTIMENT
 
 WORD = r"\p{L}\p{N}_"
@@ -86,7 +86,7 @@ def with_v1_enrichment(
         "alpha_ratio": alpha_ratio(message),
         "_tokens": emote_tokens(message),
     }
-    enriched = evaluate_once(df, **columns)
+    enriched = df.withColumns(columns)
     tokens = F.col("_tokens")
     enriched = enriched.withColumns(
         {

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatlens.functions.text import evaluate_once
 from chatlens.schemas import SILVER_FEATURES
 
 SPAM_RATIO = 0.7
@@ -37,19 +36,22 @@ def with_message_features(
     run = LITERAL_REPEAT_RUN if literal_patterns else REPEAT_RUN
     long_run = LITERAL_LONG_REPEAT_RUN if literal_patterns else LONG_REPEAT_RUN
 
-    trimmed = evaluate_once(df, _text=F.trim(F.col(text)))
+    # Each step is a projection of its own: Spark keeps it apart while a costly column is read
+    # more than once, and drops the columns a query never asks for.
+    trimmed = df.withColumn("_text", F.trim(F.col(text)))
     body = F.col("_text")
     emote_text = F.trim(F.regexp_replace(body, NON_WORD, " "))
-    measured = evaluate_once(
-        trimmed,
-        _size=F.length(body),
-        _tokens=F.size(F.split(body, r"\s+")),
-        alpha_char_count=F.length(F.regexp_replace(body, "[^A-Za-z]+", "")),
-        numeric_char_count=F.length(F.regexp_replace(body, "[^0-9]+", "")),
-        link_count=F.size(F.split(F.lower(body), "http")) - 1,
-        _emote_text=emote_text,
-        _collapsed=F.length(F.regexp_replace(body, run, "$1")),
-        _long_run=F.lower(body).rlike(long_run),
+    measured = trimmed.withColumns(
+        {
+            "_size": F.length(body),
+            "_tokens": F.size(F.split(body, r"\s+")),
+            "alpha_char_count": F.length(F.regexp_replace(body, "[^A-Za-z]+", "")),
+            "numeric_char_count": F.length(F.regexp_replace(body, "[^0-9]+", "")),
+            "link_count": F.size(F.split(F.lower(body), "http")) - 1,
+            "_emote_text": emote_text,
+            "_collapsed": F.length(F.regexp_replace(body, run, "$1")),
+            "_long_run": F.lower(body).rlike(long_run),
+        }
     )
 
     def ratio(part: Column) -> Column:

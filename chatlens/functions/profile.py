@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatlens.functions.text import SPACE_CLASS, char_counts, evaluate_once, strip
+from chatlens.functions.text import SPACE_CLASS, char_counts, strip
 
 DEFAULT_SPAM_SHARE = 0.35
 
@@ -29,14 +29,15 @@ def with_text_profile(
 ) -> DataFrame:
     """Add the profile columns; null text counts as empty."""
     whole = F.coalesce(F.col(text), F.lit(""))
-    base = evaluate_once(df, _whole=whole, _body=strip(whole))
-    measured = evaluate_once(
-        base,
-        profile_message_length=F.length("_body"),
-        profile_tokens=profile_tokens(F.col("_body")),
-        _counts=char_counts(F.col("_body")),
-        contains_link=contains_link(F.col("_whole")),
-        _four_in_a_row=F.col("_whole").rlike(FOUR_IN_A_ROW),
+    base = df.withColumns({"_whole": whole, "_body": strip(whole)})
+    measured = base.withColumns(
+        {
+            "profile_message_length": F.length("_body"),
+            "profile_tokens": profile_tokens(F.col("_body")),
+            "_counts": char_counts(F.col("_body")),
+            "contains_link": contains_link(F.col("_whole")),
+            "_four_in_a_row": F.col("_whole").rlike(FOUR_IN_A_ROW),
+        }
     )
     size = F.col("profile_message_length")
     tokens = F.col("profile_tokens")

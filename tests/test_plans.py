@@ -77,7 +77,10 @@ def test_engagement_shuffles_and_columns(spark, silver):
 
 def test_features_need_no_shuffle(spark, silver):
     parsed = tables.read_table(spark, f"{silver}/parsed", SILVER_PARSED)
-    plan = plan_of(message_features(parsed))
+    features = message_features(parsed)
+    assert optimized(features).count("regexp_replace(") == 4
+    assert optimized(features.select("event_id", "numeric_char_count")).count("regexp_replace(") == 1
+    plan = plan_of(features)
     assert "Exchange" not in plan
     read = plan.split("ReadSchema:")[1]
     assert "channel" not in read and "message_text" in read
