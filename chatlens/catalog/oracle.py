@@ -170,7 +170,7 @@ SELECT *, j IS NOT NULL AS parse_ok, j->>'$.user' AS "user", j->>'$.message' AS
 FROM (SELECT *, TRY_CAST(payload AS JSON) AS j FROM v1log)"""
 
 
-def _text_stats(source: str, key: str) -> str:
+def _text_stats(source: str) -> str:
     """Character statistics and emote tokens of ``message`` per row."""
     return f"""
 SELECT *, CASE WHEN n = 0 THEN 0.0 ELSE -list_sum(list_transform(counts, lambda k: (k / n) * log2(k / n))) END AS entropy,
@@ -191,12 +191,12 @@ SCORES = (
     "'FeelsBadMan': -0.6, 'FeelsGoodMan': 0.6}"
 )
 
-STEPS["stats"] = _text_stats("msg", "event_id")
+STEPS["stats"] = _text_stats("msg")
 
 STEPS["v1one"] = """
 SELECT * FROM v1par WHERE parse_ok QUALIFY row_number() OVER (PARTITION BY part, event_id ORDER BY arrival) = 1"""
 
-STEPS["v1stats"] = _text_stats("v1one", "event_id")
+STEPS["v1stats"] = _text_stats("v1one")
 
 STEPS["v1sil"] = f"""
 SELECT "user", message, sent_neg, sent_neu, sent_pos, sent_compound, ts AS kafka_timestamp, 'chat_enriched' AS topic,
@@ -531,11 +531,9 @@ ROUNDED_FEATURES = (
 _add("message_features", f"SELECT {ROUNDED_FEATURES} FROM feat")
 _add(
     "message_features_literal",
-    """SELECT * REPLACE (0.0::DOUBLE AS repeat_char_ratio, round(text_complexity_proxy, 6) AS text_complexity_proxy,
+    """SELECT * EXCLUDE (message_length) REPLACE (0.0::DOUBLE AS repeat_char_ratio, round(text_complexity_proxy, 6) AS text_complexity_proxy,
   false AS has_repeat_spam_pattern, message_length >= 2 AND text_complexity_proxy >= 0.3 AS engagement_signal)
-FROM (SELECT feat.* , g.message_length FROM feat JOIN good g USING (event_id))""".replace(
-        "SELECT * REPLACE", "SELECT * EXCLUDE (message_length) REPLACE"
-    ),
+FROM (SELECT feat.*, g.message_length FROM feat JOIN good g USING (event_id))""",
 )
 for _name in (
     "token_count",
@@ -624,10 +622,10 @@ _add("latest_features", f"SELECT {ROUNDED_FEATURES} FROM newfea")
 _add("parsed_left_features", f"SELECT {ROUNDED_FEATURES} FROM joined")
 _add(
     "ops_left_freshness_dlq",
-    """SELECT o.run_id, o.event_minute, o.pipeline_stage, batch_count, dlq_count,
+    """SELECT run_id, event_minute, pipeline_stage, batch_count, dlq_count,
   round(avg_bronze_to_silver_latency_seconds, 6) AS avg_bronze_to_silver_latency_seconds
 FROM opsmin o LEFT JOIN freshmin f USING (run_id, event_minute, pipeline_stage)
-LEFT JOIN dlqmin d USING (run_id, event_minute, pipeline_stage)""".replace("o.run_id, o.event_minute, o.pipeline_stage", "run_id, event_minute, pipeline_stage"),
+LEFT JOIN dlqmin d USING (run_id, event_minute, pipeline_stage)""",
 )
 _add("message_type_dim_join", "SELECT message_id, message_type, description FROM fact JOIN kinds USING (message_type)")
 _add(

@@ -646,13 +646,10 @@ def _(spark, sf):
 def _(spark, sf):
     folder = _folder(spark)
     _silver_streams(spark, sf, folder)
-    good = tables.read_table(spark, f"{folder}/parsed", SILVER_PARSED).select(
-        F.lit("parsed").alias("target"), "source_partition", "source_offset", "message_text", F.lit(None).cast("string").alias("error_code")
-    )
-    bad = tables.read_table(spark, f"{folder}/dlq", DLQ).select(
-        F.lit("dlq").alias("target"), "source_partition", "source_offset", F.lit(None).cast("string").alias("message_text"), "error_code"
-    )
-    return good.unionByName(bad)
+    place = ("target", "source_partition", "source_offset")
+    good = tables.read_table(spark, f"{folder}/parsed", SILVER_PARSED).withColumn("target", F.lit("parsed"))
+    bad = tables.read_table(spark, f"{folder}/dlq", DLQ).withColumn("target", F.lit("dlq"))
+    return good.select(*place, "message_text").unionByName(bad.select(*place, "error_code"), allowMissingColumns=True)
 
 
 @query("watermark_dedupe_stream")

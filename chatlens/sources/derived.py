@@ -254,7 +254,8 @@ def v1_log(spark: SparkSession, sf: str) -> DataFrame:
 def quality_records(spark: SparkSession, sf: str) -> DataFrame:
     """Loosely typed JSON records of both generations, with faults taken from the events."""
     kind, value = F.col("event_type"), F.col("value")
-    v1 = F.to_json(F.struct(F.concat(F.lit("u"), "user_id").alias("user"), F.when(value >= 20, F.col("message")).alias("message")))
+    said = F.when(value >= 20, F.col("message"))
+    v1 = F.to_json(F.struct(F.concat(F.lit("u"), "user_id").alias("user"), said.alias("message")))
     body = F.when((kind == "error") & (value >= 100), F.concat(F.lit("\x07"), "message")).otherwise(F.col("message"))
 
     def current(length: Column) -> Column:
