@@ -76,9 +76,9 @@ def test_parsed_columns(spark):
 
 
 def test_event_key(spark):
-    rows = spark.createDataFrame([("twitch_chat", 1, 42), ("t", None, 1)], "t string, p int, o bigint")
+    rows = spark.createDataFrame([("chat", 1, 42), ("t", None, 1)], "t string, p int, o bigint")
     keys = [r[0] for r in rows.select(parse.event_key(F.col("t"), F.col("p"), F.col("o"))).collect()]
-    assert keys == ["twitch_chat:1:42", None]
+    assert keys == ["chat:1:42", None]
 
 
 def test_dead_letters_keep_every_failure(spark):
@@ -90,12 +90,12 @@ def test_dead_letters_keep_every_failure(spark):
 
 def test_dlq_record_carries_its_fields(spark):
     failed = spark.createDataFrame(
-        [('{"bad": "payload"}', "twitch_chat_raw", 2, 123)],
+        [('{"bad": "payload"}', "chat_raw", 2, 123)],
         "raw_payload string, source_topic string, source_partition int, source_offset bigint",
     )
     row = parse.dlq_record(failed, F.lit("PARSE_001"), F.lit(False), F.lit("json_parse_error")).first()
     assert row["raw_payload"] and row["error_detail"] == "json_parse_error" and row["retryable"] is False
-    assert (row["source_topic"], row["source_partition"], row["source_offset"]) == ("twitch_chat_raw", 2, 123)
+    assert (row["source_topic"], row["source_partition"], row["source_offset"]) == ("chat_raw", 2, 123)
     assert row["error_category"] == row["error_code"] == "PARSE_001"
     unnamed = parse.dlq_record(failed, F.lit(None).cast("string"), F.lit(False)).first()
     assert (unnamed["error_category"], unnamed["error_detail"]) == ("UNKNOWN_ERROR", "Unknown processing error")
