@@ -99,7 +99,7 @@ def reply_paths(messages: DataFrame, per_tree: int = 1) -> DataFrame:
     marked = stage(best.select("t", F.col("m").alias("leaf"), "rank", "score", "m"))
     for jump in reversed(jumps):
         above = _to(marked, "m", jump, "inner").select("t", "leaf", "rank", "score", F.col("anc").alias("m"))
-        marked = marked.unionByName(above)
+        marked = stage(marked.unionByName(above))
     return _to(marked, "m", rooted.select("t", "m", "depth"), "inner").select(
         F.col("t").alias("tree_id"), F.col("leaf").alias("leaf_id"), F.col("rank").alias("branch_rank"),
         F.col("score").alias("branch_score"), "depth", F.col("m").alias("msg_id"),
