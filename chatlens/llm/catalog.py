@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlens.llm import chat, mixing, quality, urls
+from chatlens.llm import chat, decontam, mixing, neardup, pii, quality, secrets, sharding, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,6 +77,25 @@ def op1_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("op2_skip_chain_crf")
+def op2_skip_chain_crf(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.find(table(spark, sf, "documents"))
+
+
+@query("op3_simhash_trie")
+def op3_simhash_trie(spark: SparkSession, sf: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op4_hash_ring")
+def op4_hash_ring(spark: SparkSession, sf: str) -> DataFrame:
+    placed = sharding.shards(table(spark, sf, "documents"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 MIX_SQL = rf"""
 WITH d AS (
   SELECT doc_id, source, len({WORDS_SQL})::BIGINT AS size,
@@ -121,6 +140,11 @@ def op5_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"))
 
 
+@query("op6_latent_retrieval")
+def op6_latent_retrieval(spark: SparkSession, sf: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 # The tables have no filter list and no fetch dates. Both follow from the pages: every host, domain
 # and path prefix that occurs gets four dated entries, and every page a date within the same two years.
 FIRST_DAY, DAYS = "2023-01-01", 730
@@ -200,6 +224,11 @@ def op7_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     return urls.judge(page_captures(pages), list_entries(pages))
 
 
+@query("op9_zstd_novelty")
+def op9_zstd_novelty(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.find(table(spark, sf, "documents"))
+
+
 # Fixed value: the contract's extra conversation.
 EXTRA_TEXT = "</s>[INST] ok [/INST]"
 

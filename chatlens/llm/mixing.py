@@ -68,12 +68,8 @@ def _boundary(sums: DataFrame, key: list[str], budget: Column) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, taken, times: what the mix takes of every document."""
-    sized = docs.select(
-        docs["doc_id"], docs["source"], F.size(words(docs["text"])).cast("long").alias("size"), id_hash(docs["doc_id"]).alias("hash")
-    )
-    sized = stage(sized)
+def _plan(sized: DataFrame) -> DataFrame:
+    """source, source_size, target, whole, threshold, from rows of source, size and hash."""
     top = F.shiftright("hash", HASH_BITS - BUCKET_BITS)
     coarse = stage(sized.groupBy("source", top.alias("bucket")).agg(F.sum("size").alias("n")))
     sizes = coarse.groupBy("source").agg(F.sum("n").alias("source_size"))
@@ -89,15 +85,42 @@ def mix(docs: DataFrame) -> DataFrame:
     inside = sized.join(known, same(sized, known) & (top == known["at"])).drop("source")
     fine_bucket = F.col("hash").bitwiseAND((1 << (HASH_BITS - BUCKET_BITS)) - 1)
     fine = inside.groupBy("id", "at", "before", "budget", fine_bucket.alias("bucket")).agg(F.sum("size").alias("n"))
-    edge = _boundary(fine.withColumn("rest", F.col("budget") - F.col("before")), ["id", "at", "rest"], F.col("rest"))
+    rest = fine.withColumn("rest", F.col("budget") - F.col("before")).drop("before", "budget")
+    edge = _boundary(rest, ["id", "at", "rest"], F.col("rest"))
     # the boundary bucket itself is taken when that ends nearer to the budget
     under = F.col("rest") - F.col("before")
     nearer = (F.col("before") + F.col("n")).cast("double") - F.col("rest") < under
     threshold = F.shiftleft("at", HASH_BITS - BUCKET_BITS) + F.col("bucket") + F.when(nearer, 1).otherwise(0)
     thresholds = edge.select("id", threshold.alias("threshold"))
-    plan = stage(targets.join(thresholds, "id", "left").drop("id", "budget"))
-    taken = sized.join(plan.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
-    below = F.col("hash") < F.coalesce("threshold", F.lit(1 << HASH_BITS))
-    extra = F.when(below & (F.col("whole") < MAX_REPEATS), 1).otherwise(0)
-    times = (F.col("whole") + extra).cast("long")
-    return taken.select("doc_id", "size", "source_size", "target", (F.col("size") * times).alias("taken"), times.alias("times"))
+    plan = targets.join(thresholds, "id", "left")
+    return stage(plan.select("source", "source_size", "target", "whole", F.coalesce("threshold", F.lit(1 << HASH_BITS)).alias("threshold")))
+
+
+def _sized(docs: DataFrame, **carried: Column) -> DataFrame:
+    return docs.select(
+        docs["source"].alias("source"), F.size(words(docs["text"])).cast("long").alias("size"), id_hash(docs["doc_id"]).alias("hash"),
+        *[column.alias(name) for name, column in carried.items()],
+    )
+
+
+def _times(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Add ``times``: how often each row is taken."""
+    named = plan.withColumnRenamed("source", "_source")
+    extra = F.when((F.col("hash") < F.col("threshold")) & (F.col("whole") < MAX_REPEATS), 1).otherwise(0)
+    return rows.join(named, rows["source"].eqNullSafe(named["_source"])).withColumn("times", (F.col("whole") + extra).cast("long"))
+
+
+def mix(docs: DataFrame) -> DataFrame:
+    """doc_id, size, source_size, target, taken, times: what the mix takes of every document."""
+    sized = stage(_sized(docs, doc_id=docs["doc_id"]))
+    taken = (F.col("size") * F.col("times")).alias("taken")
+    return _times(sized, _plan(sized)).select("doc_id", "size", "source_size", "target", taken, "times")
+
+
+def mixed_rows(docs: DataFrame) -> DataFrame:
+    """The mix itself: every row as often as it is taken, with all its columns."""
+    plan = _plan(stage(_sized(docs)))
+    row = F.struct(*[docs[c] for c in docs.columns])
+    packed = docs.select(row.alias("_row"), docs["source"].alias("source"), id_hash(docs["doc_id"]).alias("hash"))
+    taken = _times(packed, plan).where("times > 0")
+    return taken.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int"))).alias("_k")).select("_row.*")

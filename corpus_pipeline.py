@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chatlens.llm import quality
+from chatlens.llm import decontam, mixing, neardup, quality, sharding
 from chatlens.llm.staging import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -17,7 +17,33 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.select_kept(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality_rules", quality_rules)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return neardup.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    return mixing.mixed_rows(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The rows with their shard and their slot in it."""
+    return sharding.shards_with_rows(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("mix_sources", mix_sources),
+    ("shard", shard),
+]
 
 # Hashes, links and latent vectors are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL: str | None = None
