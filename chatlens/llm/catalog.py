@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlens.llm import chat, decontam, mixing, neardup, pii, quality, secrets, sharding, urls
+from chatlens.llm import chat, decontam, lines, mixing, neardup, pii, quality, secrets, sharding, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -224,6 +224,11 @@ def op7_url_filters(spark: SparkSession, sf: str) -> DataFrame:
     return urls.judge(page_captures(pages), list_entries(pages))
 
 
+@query("op8_fuzzy_lines")
+def op8_fuzzy_lines(spark: SparkSession, sf: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf, "documents"))
+
+
 @query("op9_zstd_novelty")
 def op9_zstd_novelty(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.find(table(spark, sf, "documents"))

@@ -7,8 +7,9 @@ around it with the candidate than without, primed with a dictionary of that code
 identifiers of the corpus. Names, words and repeated placeholders compress; a random key does not,
 so candidates that cost nearly their own entropy limit are reported.
 
-Identifiers are counted over all documents, by words of eight or more characters in any document,
-and the most frequent ``IDENTIFIERS`` form the dictionary, a bounded table. Documents are
+Identifiers are counted over all documents: words of eight or more letters, so a key that is copied
+across documents doesn't become one. The most frequent ``IDENTIFIERS`` form the dictionary, a
+bounded table. Documents are
 independent; the scan needs no shuffle.
 
 Defined cases: null texts are empty and have no spans; repeated rows and null ids are handled one by
@@ -31,6 +32,7 @@ KINDS = ("assign", "access", "hex", "novel")
 MIN_LENGTH = 16
 CONTEXT = 200
 IDENTIFIERS = 2_000
+IDENTIFIER = r"(?<![A-Za-z0-9_.+/=~$-])[A-Za-z_][A-Za-z_.-]{7,39}(?![A-Za-z0-9_.+/=~$-])"
 NOVELTY = 0.7  # marginal bytes per character; base64 of random bits needs 0.75, hex 0.5
 
 # The contract's patterns. Case is folded for ASCII letters only. The lengths of runs
@@ -104,7 +106,7 @@ def identifiers(docs: DataFrame, most: int = IDENTIFIERS) -> list[str]:
 
     Words are counted in each task before the shuffle. The result is bounded by ``most``.
     """
-    words = F.regexp_extract_all("text", F.lit(r"[A-Za-z_][A-Za-z0-9_.-]{7,39}"), F.lit(0))
+    words = F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0))
     counts = docs.select(F.explode(F.array_distinct(words)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     top = counts.where("n > 1").orderBy(F.col("n").desc(), "word").limit(most).collect()
     return [row["word"] for row in reversed(top)]

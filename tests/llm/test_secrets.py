@@ -46,7 +46,7 @@ def test_novel_strings_are_reported_and_names_are_not(spark):
     leak = f"client config: auth_header = {key} and more code follows here"
     again = f"known {key} was set before; auth_header = {key} again"
     rows += [(100, leak, "en", "a", 1), (101, "auth_mode = session_cookie_name_default", "en", "a", 1), (102, again, "en", "a", 1),
-             (103, "auth_mode = aaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "en", "a", 1)]
+             (103, "auth_mode = zzzzzzzzzzzzzzzzzzzzzzzzzzzzzzzz", "en", "a", 1)]
     found = {r["doc_id"]: r["spans"] for r in secrets.find(documents(spark, rows)).collect()}
     start = leak.index(key)
     assert found[100] == f"novel:{start}:{start + len(key)}"
