@@ -419,30 +419,30 @@ _add("batch_metrics_row", "SELECT * FROM met")
 _add("v1_raw_projection", "SELECT * FROM v1raw")
 _add(
     "append_with_batch_metadata",
-    f"""SELECT {BRONZE_COLUMNS}, arrival AS bronze_ingestion_ts, 'run_a' AS _run_id, 'bronze_ingest' AS _job_name,
-  hour AS _batch_id, to_timestamp_utc(hour, -30, 'run_a') AS _batch_processed_ts FROM bron""",
+    f"""SELECT {BRONZE_COLUMNS}, payload AS raw_payload, arrival AS bronze_ingestion_ts, 'run_a' AS _run_id,
+  'bronze_ingest' AS _job_name, hour AS _batch_id, to_timestamp_utc(hour, -30, 'run_a') AS _batch_processed_ts FROM bron""",
 )
 _add(
     "merge_insert_new",
-    """SELECT * EXCLUDE (json_payload) FROM v1raw
+    """SELECT * FROM v1raw
 WHERE CAST(kafka_timestamp AS DATE) < DATE '2024-01-16' OR CAST(kafka_timestamp AS DATE) >= DATE '2024-01-14'
 QUALIFY row_number() OVER (PARTITION BY topic, partition, "offset" ORDER BY ingest_ts) = 1""",
 )
 _add(
     "merge_update_status",
-    """SELECT t.* EXCLUDE (json_payload) REPLACE (
-  CASE WHEN hit THEN CASE WHEN ok THEN 'OK' ELSE 'PARSE_ERROR' END END AS parse_status,
-  CASE WHEN hit AND NOT ok THEN 'PARSE_ERROR' END AS parse_error)
-FROM v1target t LEFT JOIN (SELECT part, event_id, bool_or(parse_ok) AS ok, true AS hit FROM v1par
-  WHERE CAST(ts AS DATE) >= DATE '2024-01-10' GROUP BY ALL) u ON u.part = t.partition AND u.event_id = t."offset\"""",
+    """SELECT t.* REPLACE (CASE WHEN ok THEN 'OK' ELSE 'PARSE_ERROR' END AS parse_status,
+  CASE WHEN NOT ok THEN 'PARSE_ERROR' END AS parse_error)
+FROM (SELECT * FROM v1raw QUALIFY row_number() OVER (PARTITION BY topic, partition, "offset" ORDER BY ingest_ts) = 1) t
+JOIN (SELECT part, event_id, bool_and(parse_ok) AS ok FROM v1par GROUP BY ALL) u ON u.part = t.partition AND u.event_id = t."offset\"""",
 )
 _add(
     "enriched_topic_sink",
-    """SELECT "user", message, sent_compound AS compound, 'user,message,sentiment' AS fields FROM v1sil""",
+    """SELECT "user", message, sent_neg AS neg, sent_neu AS neu, sent_pos AS pos, sent_compound AS compound, 'user,message,sentiment' AS fields FROM v1sil""",
 )
 _add(
     "warehouse_sink_projection",
-    """SELECT "user" AS "USERNAME", message AS "MESSAGE", sent_compound AS "COMPOUND_SCORE", sent_neu AS "SENTIMENT_NEU" FROM v1sil""",
+    """SELECT "user" AS "USERNAME", message AS "MESSAGE", sent_compound AS "COMPOUND_SCORE",
+  sent_neg AS "SENTIMENT_NEG", sent_neu AS "SENTIMENT_NEU", sent_pos AS "SENTIMENT_POS", sent_compound AS "SENTIMENT_COMPOUND" FROM v1sil""",
 )
 _add("materialize", "SELECT run_id, target_table, CAST(sum(row_count) AS BIGINT) AS row_count FROM met GROUP BY ALL")
 
@@ -705,7 +705,7 @@ _add("chat_messages_fact", f"SELECT {V1_ROUNDED} FROM fact")
 
 _add(
     "kafka_to_bronze_stream",
-    f"SELECT {BRONZE_COLUMNS}, ts AS bronze_ingestion_ts, 'run_a' AS _run_id, 'bronze_ingest' AS _job_name, CAST(0 AS BIGINT) AS _batch_id FROM log",
+    f"SELECT {BRONZE_COLUMNS}, payload AS raw_payload, ts AS bronze_ingestion_ts, 'run_a' AS _run_id, 'bronze_ingest' AS _job_name, CAST(0 AS BIGINT) AS _batch_id FROM log",
 )
 _add("stream_table_scan", "SELECT 'chat_raw' AS source_topic, part AS source_partition, event_id AS source_offset FROM log")
 _add(
@@ -715,7 +715,7 @@ _add(
 _add("dlq_sink", "SELECT * REPLACE (TIMESTAMP '2024-03-15' AS dlq_ingestion_ts) FROM dead")
 _add(
     "idempotent_batch_write",
-    f"""SELECT {BRONZE_COLUMNS}, arrival AS bronze_ingestion_ts, 'run_a' AS _run_id, 'bronze_ingest' AS _job_name,
+    f"""SELECT {BRONZE_COLUMNS}, payload AS raw_payload, arrival AS bronze_ingestion_ts, 'run_a' AS _run_id, 'bronze_ingest' AS _job_name,
   CAST(3 AS BIGINT) AS _batch_id FROM log""",
 )
 _add(
@@ -739,10 +739,10 @@ _add(
 )
 _add(
     "v1_foreach_batch",
-    """SELECT 'chat_enriched' AS topic, l.part AS partition, l.event_id AS "offset",
+    """SELECT 'chat_enriched' AS topic, l.part AS partition, l.event_id AS "offset", l.payload AS json_payload,
   CASE WHEN ok THEN 'OK' ELSE 'PARSE_ERROR' END AS parse_status, CASE WHEN NOT ok THEN 'PARSE_ERROR' END AS parse_error,
   s."user", s.message_length, s.emote_count, s.engagement_flag
-FROM (SELECT part, event_id, bool_or(parse_ok) AS ok FROM v1par GROUP BY ALL) l
+FROM (SELECT part, event_id, bool_and(parse_ok) AS ok, min(payload) AS payload FROM v1par GROUP BY part, event_id) l
 LEFT JOIN v1sil s ON s.partition = l.part AND s."offset" = l.event_id""",
 )
 _add(

@@ -14,10 +14,10 @@ def first_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -
 
 
 def prune_to_batch(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
-    """Limit a target scan to the batch's range of ``column`` (one min/max row is fetched).
+    """Limit a target scan to the batch's range of ``column``, which must be part of the merge key.
 
-    Equal keys carry equal log times, so rows outside the range cannot match. On a target
-    partitioned or clustered by ``column`` this reads a few partitions instead of all.
+    Rows outside the range, or without a value, cannot match any row of the batch, so the merge
+    is the same. One min/max row is fetched; pass a batch that is stored, not one to be computed.
     """
     low, high = batch.agg(F.min(column), F.max(column)).first()
     if low is None:
@@ -33,6 +33,8 @@ def new_rows(
     prune_on: str | None = None,
 ) -> DataFrame:
     """Rows an insert-only merge would add: first copy per key, and only absent keys."""
+    if prune_on is not None and prune_on not in keys:
+        raise ValueError(f"{prune_on} is no part of the key {list(keys)}")
     known = target if prune_on is None else prune_to_batch(target, batch, prune_on)
     return first_per_key(batch, keys, order).join(known.select(*keys), list(keys), "left_anti")
 

@@ -12,6 +12,7 @@ from chatlens.schemas import (
     DEFAULT_DEDUPE_WATERMARK,
     DEFAULT_PLATFORM,
     DLQ,
+    DLQ_CATEGORIES,
     DLQ_REASONS,
     ENVELOPE,
     PARSE_STAGE,
@@ -139,12 +140,15 @@ def dlq_record(
     error_detail: Column | None = None,
     as_of: Column | None = None,
     stage: str = PARSE_STAGE,
+    literal_category: bool = False,
 ) -> DataFrame:
-    """Generic failed-record builder. The code doubles as the category.
+    """Generic failed-record builder. A code that is one of the contract's categories is the category too.
 
+    Any other code is kept as the code of an UNKNOWN_ERROR; ``literal_category`` passes it through.
     Without a detail text, the category's standard reason is used.
     """
-    category = F.coalesce(error_code, F.lit("UNKNOWN_ERROR"))
+    allowed = F.when(error_code.isin(list(DLQ_CATEGORIES)), error_code)
+    category = F.coalesce(error_code if literal_category else allowed, F.lit("UNKNOWN_ERROR"))
     reasons = F.create_map(*[F.lit(x) for pair in DLQ_REASONS.items() for x in pair])
     standard = F.coalesce(F.try_element_at(reasons, category), F.lit(DLQ_REASONS["UNKNOWN_ERROR"]))
     have = set(failed.columns)

@@ -32,23 +32,26 @@ def v1_enrich(parsed: DataFrame, as_of: Column | None = None) -> DataFrame:
     )
 
 
-def v1_raw_with_status(log: DataFrame, as_of: Column) -> DataFrame:
-    """Raw rows with the parse status their payload earns."""
-    text = log.withColumn("json_payload", F.col("value").cast("string"))
-    ok = F.col("parse_ok")
-    return envelope_parse(text, V1_PAYLOAD, "json_payload").select(
-        "json_payload",
+def v1_parsed_raw(log: DataFrame) -> DataFrame:
+    """``v1_parse`` beside the payload text: what one batch needs, from one parse of each payload."""
+    text = log.withColumn("_payload", F.col("value").cast("string"))
+    return envelope_parse(text, V1_PAYLOAD, "_payload").select(
+        F.col("_payload").alias("json_payload"),
+        F.col("envelope.user").alias("user"),
+        F.col("envelope.message").alias("message"),
+        *[F.col(f"envelope.sentiment.{s}").alias(f"sent_{s}") for s in ("neg", "neu", "pos", "compound")],
         F.col("timestamp").alias("kafka_timestamp"),
         *LOG_KEY,
-        as_of.alias("ingest_ts"),
-        F.when(ok, "OK").otherwise("PARSE_ERROR").alias("parse_status"),
-        F.when(~ok, "PARSE_ERROR").alias("parse_error"),
+        "parse_ok",
     )
 
 
 def parse_status(parsed: DataFrame) -> DataFrame:
-    """One status row per log key: OK where a copy could be read, else PARSE_ERROR."""
-    readable = parsed.groupBy(*LOG_KEY).agg(F.bool_or("parse_ok").alias("_ok"))
+    """One status row per log key: PARSE_ERROR where any copy could not be read, else OK.
+
+    The status merges run OK keys first and error keys second, so the error has the last word.
+    """
+    readable = parsed.groupBy(*LOG_KEY).agg(F.bool_and("parse_ok").alias("_ok"))
     return readable.select(
         *LOG_KEY,
         F.when(F.col("_ok"), "OK").otherwise("PARSE_ERROR").alias("parse_status"),

@@ -40,8 +40,8 @@ def chat_messages_fact(silver: DataFrame) -> DataFrame:
 
 
 def message_type_dim_join(fact: DataFrame, dim: DataFrame) -> DataFrame:
-    """Fact rows with their type's description. The dimension is five literal rows."""
-    return fact.join(F.broadcast(dim), "message_type")
+    """Fact rows with their type's description. Spark broadcasts the dimension while it is small."""
+    return fact.join(dim, "message_type")
 
 
 def _sentiment_counts() -> dict[str, Column]:

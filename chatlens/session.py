@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -19,15 +17,9 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local folder only where none is named (tests)."""
-    root = spark.conf.get(CHECKPOINT_DIR, None)
-    if root:
-        return root
-    if spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="chatlens-")
-        spark.conf.set(CHECKPOINT_DIR, root)
-        return root
-    raise ValueError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
+    """The folder every executor can reach: the one named for checkpoints, else one in the warehouse."""
+    named = spark.conf.get(CHECKPOINT_DIR, None)
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

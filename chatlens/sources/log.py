@@ -7,8 +7,19 @@ from pyspark.sql import functions as F
 
 from chatlens.schemas import LOG_RECORD
 
-# Fixed value: login module of the connector's shaded client.
-PLAIN_LOGIN = "kafkashaded.org.apache.kafka.common.security.plain.PlainLoginModule"
+PLAIN_LOGIN = "org.apache.kafka.common.security.plain.PlainLoginModule"
+
+
+def sasl_options(user: str, password: str, protocol: str, mechanism: str, login: str = PLAIN_LOGIN) -> dict[str, str]:
+    """Connector options of an authenticated connection; ``login`` names the client's login module."""
+    if not (user and password):
+        raise ValueError("a SASL protocol needs user and password")
+    secrets = {"username": user, "password": password}
+    quoted = {k: v.replace("\\", "\\\\").replace('"', '\\"') for k, v in secrets.items()}
+    told = " ".join(f'{k}="{v}"' for k, v in quoted.items())
+    security = {"security.protocol": protocol, "sasl.mechanism": mechanism, "sasl.jaas.config": f"{login} required {told};"}
+    security["ssl.endpoint.identification.algorithm"] = "https"
+    return {f"kafka.{name}": value for name, value in security.items()}
 
 
 def kafka_source_options(
@@ -19,30 +30,14 @@ def kafka_source_options(
     user: str = "",
     password: str = "",
     max_offsets_per_trigger: int | None = None,
+    login: str = PLAIN_LOGIN,
 ) -> dict[str, str]:
     """Options for ``spark.readStream.format("kafka")`` (and batch ``spark.read``)."""
-    options = {
-        "kafka.bootstrap.servers": servers,
-        "subscribe": topic,
-        "startingOffsets": "earliest",
-    }
+    options = {"subscribe": topic, "kafka.bootstrap.servers": servers, "startingOffsets": "earliest"}
+    if security_protocol.upper().startswith("SASL"):
+        options |= sasl_options(user, password, security_protocol, sasl_mechanism, login)
     if max_offsets_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
-    if security_protocol.upper().startswith("SASL"):
-        if not (user and password):
-            raise ValueError("a SASL protocol needs user and password")
-
-        def quoted(value: str) -> str:
-            return '"' + value.replace("\\", "\\\\").replace('"', '\\"') + '"'
-
-        options |= {
-            "kafka.security.protocol": security_protocol,
-            "kafka.sasl.mechanism": sasl_mechanism,
-            "kafka.sasl.jaas.config": (
-                f"{PLAIN_LOGIN} required username={quoted(user)} password={quoted(password)};"
-            ),
-            "kafka.ssl.endpoint.identification.algorithm": "https",
-        }
     return options
 
 

@@ -10,13 +10,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DateType, LongType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 from pyspark.storagelevel import StorageLevel
 
 from chatlens.functions.message import message_features
-from chatlens.operators.merge import first_per_key, new_rows
+from chatlens.operators.merge import first_per_key, merge_update_status, new_rows
 from chatlens.operators.parse import classify, dead_letters, dedupe, stream_dedupe, valid_events
-from chatlens.operators.v1 import v1_enrich, v1_parse, v1_raw_with_status
+from chatlens.operators.v1 import parse_status, v1_enrich, v1_parsed_raw
 from chatlens.schemas import (
     BRONZE_STAGE,
     DEFAULT_DEDUPE_WATERMARK,
@@ -25,7 +25,6 @@ from chatlens.schemas import (
     PARSE_STAGE,
     SILVER_PARSED,
     V1_BRONZE,
-    V1_SILVER,
 )
 from chatlens.sources.log import bronze_projection
 from chatlens.streaming.sinks import dlq_sink, stream_append, with_batch_metadata
@@ -132,54 +131,84 @@ V1_PARTITIONS = ["_batch_id", "_log_date"]
 V1_PARTITION_FIELDS = [StructField("_batch_id", LongType()), StructField("_log_date", DateType())]
 
 
-def _v1_append(rows: DataFrame, path: str, batch_id: int) -> None:
+def _own_batch(rows: DataFrame, path: str, batch_id: int, partitions: list[str]) -> None:
     """Each batch owns its partitions, so a repeated batch replaces its own rows only."""
-    (
-        rows.withColumns({"_batch_id": F.lit(batch_id).cast("bigint"), "_log_date": F.to_date("kafka_timestamp")})
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*V1_PARTITIONS)
-        .parquet(path)
-    )
+    stamped = rows.withColumn("_batch_id", F.lit(batch_id).cast("bigint"))
+    writer = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partitions).parquet(path)
 
 
-def _absent(rows: DataFrame, path: str, schema: StructType, batch_id: int, order: str) -> DataFrame:
-    """Rows whose log key no *other* batch has written yet, first copy per key.
+def _v1_append(rows: DataFrame, path: str, batch_id: int) -> None:
+    _own_batch(rows.withColumn("_log_date", F.to_date("kafka_timestamp")), path, batch_id, V1_PARTITIONS)
 
-    The target scan is limited to the batch's log dates, so its cost follows the batch and
-    not the table. The bound is one min/max row.
-    """
-    full = StructType(schema.fields + V1_PARTITION_FIELDS)
+
+def _stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    """What earlier batches wrote, or None before the first."""
     try:
-        table = rows.sparkSession.read.schema(full).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return first_per_key(rows, LOG_KEY, [order])
-    dated = rows.withColumn("_log_date", F.to_date("kafka_timestamp"))
-    earlier = table.filter(F.col("_batch_id") != batch_id)
-    return new_rows(earlier, dated, LOG_KEY, [order], prune_on="_log_date").drop("_log_date")
+        return None
+
+
+def _absent(rows: DataFrame, path: str, batch_id: int, order: list[str]) -> DataFrame:
+    """Rows whose log key no *other* batch has written yet, first copy per key.
+
+    Keys match in full. The target scan reads key columns in the batch's range of offsets, which
+    are part of the key, so it can skip row groups without missing a match.
+    """
+    keys = StructType([V1_BRONZE[k] for k in LOG_KEY] + V1_PARTITION_FIELDS[:1])
+    table = _stored(rows.sparkSession, path, keys)
+    if table is None:
+        return first_per_key(rows, LOG_KEY, order)
+    return new_rows(table.filter(F.col("_batch_id") != batch_id), rows, LOG_KEY, order, prune_on="offset")
+
+
+STATUS_FIELDS = [StructField("parse_status", StringType()), StructField("parse_error", StringType())]
+
+
+def _status_path(bronze: str) -> str:
+    return f"{bronze.rstrip('/')}_status"
+
+
+def v1_bronze(spark: SparkSession, bronze: str) -> DataFrame:
+    """Raw rows with the newest status of their key.
+
+    Files cannot be updated in place, so each batch adds the statuses of its keys to a narrow table
+    beside the raw rows, and reading merges the newest one per key.
+    """
+    raw = spark.read.schema(V1_BRONZE).parquet(bronze)
+    fields = [V1_BRONZE[k] for k in LOG_KEY] + STATUS_FIELDS + V1_PARTITION_FIELDS[:1]
+    statuses = _stored(spark, _status_path(bronze), StructType(fields))
+    if statuses is None:
+        return raw
+    columns = [f.name for f in STATUS_FIELDS]
+    newest = statuses.groupBy(*LOG_KEY).agg(F.max_by(F.struct(*columns), "_batch_id").alias("_newest"))
+    return merge_update_status(raw, newest.select(*LOG_KEY, "_newest.*"), LOG_KEY, columns)
 
 
 def v1_batch(bronze: str, silver: str, as_of: Column | None = None) -> Callable[[DataFrame, int], None]:
-    """One micro-batch function: raw insert-if-absent, parse, enrich, status.
+    """One micro-batch function: raw insert-if-absent, parse, enrich, status of every key in the batch.
 
-    The batch knows each record's parse status before it inserts, so raw rows are written
-    once with their final status instead of being updated by two further merges.
+    Payloads are parsed once, into the stored batch that all writes read.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         now = F.lit(datetime.now(timezone.utc)) if as_of is None else as_of
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = v1_parsed_raw(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            raw = _absent(v1_raw_with_status(batch, now), bronze, V1_BRONZE, batch_id, "parse_status")
+            status = parse_status(parsed)
+            raw = parsed.withColumn("ingest_ts", now).drop("parse_ok")
+            raw = _absent(raw, bronze, batch_id, ["json_payload"]).join(status, list(LOG_KEY), "left")
             _v1_append(raw.select(*V1_BRONZE.fieldNames()), bronze, batch_id)
-            good = v1_parse(batch).filter("parse_ok")
-            _v1_append(v1_enrich(_absent(good, silver, V1_SILVER, batch_id, "message"), now), silver, batch_id)
+            good = _absent(parsed.filter("parse_ok"), silver, batch_id, ["json_payload"])
+            _v1_append(v1_enrich(good, now), silver, batch_id)
+            _own_batch(status, _status_path(bronze), batch_id, V1_PARTITIONS[:1])
         finally:
-            batch.unpersist()
+            parsed.unpersist()
 
     return write
 

@@ -36,8 +36,8 @@ def _is_path(target: str) -> bool:
 def write_batch(stamped: DataFrame, target: str, fmt: str, run_id: str, job_name: str, batch_id: int) -> None:
     """Write one stamped batch so that writing it again replaces it.
 
-    Files: the batch owns its partitions, which a repeat overwrites. Delta: the transaction
-    id lets the table skip a repeat. Other tables: plain append with schema evolution.
+    Files and catalog tables: the batch owns its partitions, which a repeat overwrites. Delta: the
+    transaction id lets the table skip a repeat.
     """
     transaction = {"txnAppId": f"{run_id}:{job_name}:{target}", "txnVersion": str(batch_id)}
     _write(stamped, target, fmt, BATCH_PARTITIONS, transaction)
@@ -46,17 +46,18 @@ def write_batch(stamped: DataFrame, target: str, fmt: str, run_id: str, job_name
 def _write(df: DataFrame, target: str, fmt: str, partitions: list[str], transaction: dict[str, str]) -> None:
     """Dynamic partition overwrite stages each write in a folder of its own, so queries that
     share a target (the two parse queries share the metrics) do not disturb each other."""
-    writer = df.write.format(fmt)
     if fmt == "delta":
-        writer = writer.mode("append").option("mergeSchema", "true").options(**transaction)
-    elif _is_path(target):
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions)
-    else:
-        writer = writer.mode("append").option("mergeSchema", "true")
+        writer = df.write.format(fmt).mode("append").option("mergeSchema", "true").options(**transaction)
+        writer.save(target) if _is_path(target) else writer.saveAsTable(target)
+        return
+    writer = df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if _is_path(target):
-        writer.save(target)
+        writer.partitionBy(*partitions).save(target)
+    elif not df.sparkSession.catalog.tableExists(target):
+        writer.partitionBy(*partitions).saveAsTable(target)
     else:
-        writer.saveAsTable(target)
+        columns = df.sparkSession.table(target).columns
+        df.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(target)
 
 
 def batch_metrics_row(
@@ -81,8 +82,7 @@ def append_with_batch_metadata(
 
     The count is observed while the batch is written, so nothing is cached and the plan runs
     once. Zero-row batches still leave a metrics row. It is a second commit, made after the
-    data: a retry replaces it (files), skips it (Delta) or repeats it (other tables, whose
-    readers take ``distinct_batches``).
+    data: a retry replaces it (files, catalog tables) or skips it (Delta).
     """
     if skip_empty and batch.isEmpty():
         return 0

@@ -96,7 +96,11 @@ def test_dlq_record_carries_its_fields(spark):
     row = parse.dlq_record(failed, F.lit("PARSE_001"), F.lit(False), F.lit("json_parse_error")).first()
     assert row["raw_payload"] and row["error_detail"] == "json_parse_error" and row["retryable"] is False
     assert (row["source_topic"], row["source_partition"], row["source_offset"]) == ("chat_raw", 2, 123)
-    assert row["error_category"] == row["error_code"] == "PARSE_001"
+    assert (row["error_category"], row["error_code"]) == ("UNKNOWN_ERROR", "PARSE_001")
+    literal = parse.dlq_record(failed, F.lit("PARSE_001"), F.lit(False), literal_category=True).first()
+    assert literal["error_category"] == "PARSE_001"
+    known = parse.dlq_record(failed, F.lit("TYPE_ERROR"), F.lit(False)).first()
+    assert known["error_category"] == known["error_code"] == "TYPE_ERROR"
     unnamed = parse.dlq_record(failed, F.lit(None).cast("string"), F.lit(False)).first()
     assert (unnamed["error_category"], unnamed["error_detail"]) == ("UNKNOWN_ERROR", "Unknown processing error")
 

@@ -230,6 +230,46 @@ def test_v1_batch_is_idempotent_and_sets_status(spark, lake):
     assert [(r["offset"], r["is_emote_only"], r["emote_count"]) for r in silver] == [(1, True, 1), (3, False, 0)]
 
 
+def test_v1_status_of_mixed_and_redelivered_keys(spark, lake):
+    """Errors have the last word in a batch, later batches over earlier ones; keys match in full."""
+    write = jobs.v1_batch(lake.path("raw"), lake.path("silver"))
+
+    def frame(*rows):
+        return spark.createDataFrame(list(rows), LOG_RECORD)
+
+    good, bad = v1_payload("LUL"), b"broken"
+    late = (*record(3, value=good)[:5], T0 + timedelta(days=3), *record(3, value=good)[6:])
+    undated = (*record(4, value=good)[:5], None, *record(4, value=good)[6:])
+    write(frame(record(1, value=good), record(1, value=bad), record(2, value=bad), record(3, value=good), record(4, value=good)), 0)
+    write(frame(record(2, value=good), late, undated), 1)
+    write(frame(undated), 2)
+    raw = jobs.v1_bronze(spark, lake.path("raw")).orderBy("offset").collect()
+    assert [(r["offset"], r["parse_status"]) for r in raw] == [(1, "PARSE_ERROR"), (2, "OK"), (3, "OK"), (4, "OK")]
+    silver = tables.read_table(spark, lake.path("silver"), V1_SILVER).orderBy("offset").collect()
+    assert [r["offset"] for r in silver] == [1, 2, 3, 4]
+
+
+def test_v1_batch_parses_each_payload_once(spark):
+    from chatlens.operators.v1 import v1_parsed_raw
+
+    rows = v1_parsed_raw(spark.createDataFrame([record(1, value=v1_payload("LUL"))], LOG_RECORD))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_repeated_batch_in_a_catalog_table(spark):
+    name = "repeated_batch_probe"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    rows = spark.range(5).select(F.col("id").cast("string").alias("raw_key"), "id")
+    try:
+        for batch_id in (6, 7, 7):
+            sinks.append_with_batch_metadata(rows, batch_id, name, "run_a", "bronze_ingest")
+        counts = {r["_batch_id"]: r["count"] for r in spark.table(name).groupBy("_batch_id").count().collect()}
+        assert counts == {6: 5, 7: 5}
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_replay_wins_downstream(spark):
     from chatlens.operators.versions import latest_parsed
 

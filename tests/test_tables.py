@@ -137,6 +137,7 @@ def test_source_options():
     assert plain == {"kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "earliest"}
     secured = log.kafka_source_options("h:1", "t", user="u", password='p"\\')
     assert secured["kafka.sasl.mechanism"] == "PLAIN"
+    assert secured["kafka.sasl.jaas.config"].startswith("org.apache.kafka.common.security.plain.PlainLoginModule required ")
     assert secured["kafka.sasl.jaas.config"].endswith('required username="u" password="p\\"\\\\";')
     with pytest.raises(ValueError):
         log.kafka_source_options("h:1", "t")
@@ -145,7 +146,9 @@ def test_source_options():
 def test_cut_lineage_uses_the_named_folder(spark):
     df = cut_lineage(spark.range(10).withColumn("x", F.col("id") * 2))
     assert df.agg(F.sum("x")).first()[0] == 90
-    assert checkpoint_root(spark)
+    session = spark.newSession()
+    session.conf.set("spark.checkpoint.dir", "/elsewhere")
+    assert checkpoint_root(session) == "/elsewhere"
 
 
 def test_materialized_buckets_join_without_a_shuffle(spark):
