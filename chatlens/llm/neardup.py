@@ -1,12 +1,20 @@
 """SimHash near-duplicates by a self-join of binary tries.
 
 Fingerprints are 64 bits; two link when at most ``budget`` bits differ. A trie over all of them
-would compare almost every pair of nodes before the errors add up, so the pigeonhole principle
-picks the subtrees worth joining: the bits are cut into ``budget + 2`` blocks, and two linked
-fingerprints agree on at least two of them. For each choice of two blocks the fingerprints with the
-same bits there form one trie, and that trie is joined with itself: pairs of nodes descend
-together, bits that differ add up, and a pair is dropped once it is over budget, empty, or wholly
-in one known component. Only links that join components are kept, a spanning forest.
+would compare almost every pair of nodes before the errors add up, so the join starts below bits
+that agree. ``near_duplicates`` takes them from the pigeonhole principle: the bits are cut into
+``budget + 2`` blocks, two linked fingerprints agree on at least two of them, and for each choice of
+two blocks the fingerprints with the same bits there form one trie. Each trie is joined with
+itself: pairs of nodes descend together, bits that differ add up, and a pair is dropped once it is
+over budget, empty, or wholly in one known component. Only links that join components are kept, a
+spanning forest, so no link is lost and dense groups don't multiply.
+
+``keep_one`` has to find pairs of a similarity of ``SIMILARITY`` or more in their five-word shingles,
+which differ in up to ``FAR`` bits, beyond what blocks can select. Its tries lie below ``TABLES``
+samples of ``SAMPLE`` bits as well: a pair that differs in 8 of 64 bits agrees on some sample with a
+probability of 0.999, one in 10 bits with 0.97, one in 12 with 0.77. Pairs over ``TRUSTED`` bits
+apart are verified by the Jaccard similarity of their shingles, exact up to ``SKETCH`` shingles and
+estimated from the smallest ``SKETCH`` hashes of both beyond.
 
 Tries with more than ``UNIT`` fingerprints are dealt over salts, and each pair of salts is joined
 on its own, so no task holds more than two salts of a hot trie. Copies share a fingerprint and
@@ -19,7 +27,7 @@ returned as often as they occur; other columns are ignored; an empty table gives
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -37,32 +45,63 @@ BITS = 64
 UNIT = 4096
 FRONTIER = 1 << 18
 HASHES = 1 << 16
+BATCH = 1 << 17
+TRUSTED = 4
+FAR = 16
+TABLES = 128
+SAMPLE = 18
+SIMILARITY = 0.8
+SKETCH = 128
 
 
-def simhash(text: str | None, size: int) -> int:
-    """Majority bits of the hashes of all shingles, repeats included, as a signed 64-bit integer.
+def shingle_hashes(text: str | None, size: int) -> Iterator[np.ndarray]:
+    """Hashes of all shingles of a text, repeats included, in pieces of bounded size.
 
     Bytes split and lower-case exactly as the contract says: at ASCII white space, A to Z only.
     """
     words = (text or "").encode().lower().split()
-    if not words:
-        return 0
-    if len(words) < size:
-        shingles: Iterator[tuple[bytes, ...]] = iter([tuple(words)])
-        n = 1
-    else:
-        shingles = zip(*(words[k:] for k in range(size)))
-        n = len(words) - size + 1
-    ones = np.zeros(BITS, dtype=np.int64)
+    n = max(min(len(words), 1), len(words) - size + 1)
+    shingles = zip(*(words[k:] for k in range(size))) if len(words) >= size else iter([tuple(words)])
     digest, join = xxhash.xxh64_intdigest, b" ".join
     for start in range(0, n, HASHES):
         count = min(HASHES, n - start)
-        hashes = np.fromiter((digest(join(next(shingles)), SEED) for _ in range(count)), dtype="<u8", count=count)
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(count, 8), axis=1, bitorder="little")
+        yield np.fromiter((digest(join(next(shingles)), SEED) for _ in range(count)), dtype="<u8", count=count)
+
+
+def simhash(text: str | None, size: int) -> int:
+    """Majority bits of the shingle hashes as a signed 64-bit integer."""
+    return _majority(shingle_hashes(text, size))
+
+
+def _majority(pieces: Iterable[np.ndarray]) -> int:
+    ones, n = np.zeros(BITS, dtype=np.int64), 0
+    for hashes in pieces:
+        bits = np.unpackbits(hashes.view(np.uint8).reshape(len(hashes), 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
+        n += len(hashes)
     return int(np.packbits(2 * ones > n, bitorder="little").view("<i8")[0])
 
 
+def sketch(pieces: Iterable[np.ndarray]) -> bytes:
+    """The smallest different hashes, in order."""
+    least = np.zeros(0, dtype="<u8")
+    for hashes in pieces:
+        least = np.unique(np.concatenate([least, hashes]))[:SKETCH]
+    return least.tobytes()
+
+
+def similarity(a: bytes, b: bytes) -> float:
+    """Jaccard similarity of two sketched sets: exact while both are complete."""
+    x, y = np.frombuffer(a, dtype="<u8"), np.frombuffer(b, dtype="<u8")
+    union = np.union1d(x, y)
+    if len(x) == SKETCH or len(y) == SKETCH:
+        union = union[:SKETCH]
+    if not len(union):
+        return 1.0
+    both = np.intersect1d(x, y, assume_unique=True)
+    return float((both <= union[-1]).sum()) / len(union)
+
+
 def fingerprint(text: Column, size: int = 4) -> Column:
     """The fingerprint of a text column as a long."""
 
@@ -73,6 +112,20 @@ def fingerprint(text: Column, size: int = 4) -> Column:
     return of(text)
 
 
+def fingerprint_and_sketch(text: Column, size: int) -> Column:
+    """Both from one pass over the text, as a struct of fp and sketch."""
+
+    @F.pandas_udf("fp long, sketch binary")
+    def of(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text in texts:
+            pieces = list(shingle_hashes(text, size))
+            rows.append((_majority(pieces), sketch(pieces)))
+        return pd.DataFrame(rows, columns=["fp", "sketch"])
+
+    return of(text)
+
+
 class _Forest:
     """Smallest-member labels of the linked values of one batch."""
 
@@ -98,9 +151,11 @@ class _Forest:
         return np.concatenate([[0], np.cumsum(self.label[1:] != self.label[:-1])])
 
 
-def trie_links(unit: np.ndarray, values: np.ndarray, budget: int) -> np.ndarray:
-    """Labels (positions of the smallest linked value) of values sorted by unit and value.
+def trie_links(unit: np.ndarray, values: np.ndarray, budget: int, trusted: int) -> tuple[np.ndarray, np.ndarray]:
+    """Self-join of the tries of values sorted by unit and value.
 
+    Returns the positions of the smallest value each one is linked to by at most ``trusted`` bits,
+    and the pairs of positions of different components within ``budget`` bits.
     A trie node is a range of the sorted values. Pairs of nodes of the same unit start at its root.
     """
     n = len(values)
@@ -109,10 +164,13 @@ def trie_links(unit: np.ndarray, values: np.ndarray, budget: int) -> np.ndarray:
         turned = values if not turn else (values << np.uint64(turn)) | (values >> np.uint64(BITS - turn))
         order = np.lexsort((turned, unit))
         i, j = order[:-1], order[1:]
-        near = (unit[i] == unit[j]) & (np.bitwise_count(values[i] ^ values[j]) <= budget)
+        near = (unit[i] == unit[j]) & (np.bitwise_count(values[i] ^ values[j]) <= trusted)
         forest.link(i[near], j[near])
+    far: list[np.ndarray] = []
     start = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]]))
     end = np.append(start[1:], n)
+    several = end - start > 1
+    start, end = start[several], end[several]
     ones: dict[int, np.ndarray] = {}
     stack = [(BITS - 1, start, end, start, end, np.zeros(len(start), dtype=np.int64))]
     while stack:
@@ -121,9 +179,13 @@ def trie_links(unit: np.ndarray, values: np.ndarray, budget: int) -> np.ndarray:
         changes = forest.changes()
         whole = (changes[hi1 - 1] == changes[lo1]) & (changes[hi2 - 1] == changes[lo2])
         open_ = ~(whole & (forest.label[lo1] == forest.label[lo2]))
-        leaf = open_ & ~same & (hi1 - lo1 == 1) & (hi2 - lo2 == 1)
-        near = leaf & (np.bitwise_count(values[lo1] ^ values[lo2]) <= budget)
-        forest.link(lo1[near], lo2[near])
+        two = same & (hi1 - lo1 == 2)
+        leaf = open_ & (two | (~same & (hi1 - lo1 == 1) & (hi2 - lo2 == 1)))
+        i, j = lo1[leaf], lo2[leaf] + two[leaf]
+        apart = np.bitwise_count(values[i] ^ values[j])
+        forest.link(i[apart <= trusted], j[apart <= trusted])
+        within = (apart > trusted) & (apart <= budget)
+        far.append(np.stack([i[within], j[within]]))
         down = open_ & ~leaf
         lo1, hi1, lo2, hi2, err, same = (x[down] for x in (lo1, hi1, lo2, hi2, err, same))
         if not len(lo1) or bit < 0:
@@ -133,60 +195,79 @@ def trie_links(unit: np.ndarray, values: np.ndarray, budget: int) -> np.ndarray:
         count = ones[bit]
         mid1, mid2 = hi1 - (count[hi1] - count[lo1]), hi2 - (count[hi2] - count[lo2])
         parts = (
-            (lo1, mid1, lo2, mid2, err, None),
-            (mid1, hi1, mid2, hi2, err, None),
-            (lo1, mid1, mid2, hi2, err + 1, None),
-            (mid1, hi1, lo2, mid2, err + 1, ~same),
+            (lo1, mid1, lo2, mid2, err, same & (mid1 - lo1 == 1)),
+            (mid1, hi1, mid2, hi2, err, same & (hi1 - mid1 == 1)),
+            (lo1, mid1, mid2, hi2, err + 1, False),
+            (mid1, hi1, lo2, mid2, err + 1, same),
         )
         kept = []
-        for a, b, c, d, e, extra in parts:
-            ok = (a < b) & (c < d) & (e <= budget)
-            if extra is not None:
-                ok &= extra
+        for a, b, c, d, e, useless in parts:
+            ok = (a < b) & (c < d) & (e <= budget) & ~np.asarray(useless)
             kept.append([x[ok] for x in (a, b, c, d, e)])
         children = [np.concatenate(x) for x in zip(*kept)]
         for at in range(0, len(children[0]), FRONTIER):
             stack.append((bit - 1, *(x[at : at + FRONTIER] for x in children)))
-    return forest.label
+    pairs = np.concatenate(far, axis=1) if far else np.zeros((2, 0), dtype=np.int64)
+    return forest.label, pairs[:, forest.label[pairs[0]] != forest.label[pairs[1]]]
 
 
-def _joined(budget: int):
+def _joined(masks: list[int], budget: int, trusted: int):
     """Batches sorted by unit -> links; the unit that a batch ends in waits for the next batch."""
-    keys = ["r", "key", "s1", "s2"]
+    bits = np.array(masks, dtype=np.uint64)
 
     def links_of(frame: pd.DataFrame) -> pa.RecordBatch:
         values = frame["fp"].to_numpy().view(np.uint64)
-        unit = frame.groupby(keys, sort=False).ngroup().to_numpy()
+        unit = frame.groupby(["unit", "key"], sort=False).ngroup().to_numpy()
         order = np.lexsort((values, unit))
-        values, unit = values[order], unit[order]
-        label = trie_links(unit, values, budget)
+        values, unit, table = values[order], unit[order], (frame["unit"].to_numpy() >> 40)[order]
+        label, (i, j) = trie_links(unit, values, budget, trusted)
+        xor = values[i] ^ values[j]
+        first = np.full(len(i), True)  # of the tables in which a pair meets
+        for k in range(len(bits)):
+            first &= (table[i] <= k) | ((xor & bits[k]) != 0)
+        i, j = i[first], j[first]
         moved = np.flatnonzero(label != np.arange(len(label)))
         signed = values.view(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(signed[moved]), pa.array(signed[label[moved]])], ["a", "b"])
+        a, b = np.concatenate([signed[moved], signed[i]]), np.concatenate([signed[label[moved]], signed[j]])
+        far = np.concatenate([np.zeros(len(moved), dtype=bool), np.ones(len(i), dtype=bool)])
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(far)], ["a", "b", "far"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pd.DataFrame | None = None
+        waiting: list[pd.DataFrame] = []
         for batch in batches:
-            frame = batch.to_pandas()
-            frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
-            last = (frame[keys] == frame[keys].iloc[-1]).all(axis=1).to_numpy()
-            done, held = frame[~last], frame[last]
-            if len(done):
-                yield links_of(done.reset_index(drop=True))
-        if held is not None and len(held):
-            yield links_of(held.reset_index(drop=True))
+            waiting.append(batch.to_pandas())
+            if sum(map(len, waiting)) < BATCH:
+                continue
+            frame = pd.concat(waiting, ignore_index=True)
+            last = ((frame["unit"] == frame["unit"].iloc[-1]) & (frame["key"] == frame["key"].iloc[-1])).to_numpy()
+            waiting = [frame[last]]
+            if not last.all():
+                yield links_of(frame[~last].reset_index(drop=True))
+        if sum(map(len, waiting)):
+            yield links_of(pd.concat(waiting, ignore_index=True))
 
     return run
 
 
-def hamming_links(distinct: DataFrame, budget: int) -> DataFrame:
-    """Distinct ``fp`` -> links (a, b) that connect all fingerprints within ``budget`` bits."""
+def block_masks(budget: int) -> list[int]:
+    """Two of ``budget + 2`` blocks of bits, in every choice: pairs within budget agree on one of these."""
     blocks = budget + 2
     edges = [BITS * k // blocks for k in range(blocks + 1)]
     masks = [((1 << edges[k + 1]) - 1) ^ ((1 << edges[k]) - 1) for k in range(blocks)]
-    signed = [m - (1 << BITS) if m >> (BITS - 1) else m for m in (x | y for x, y in combinations(masks, 2))]
+    return [x | y for x, y in combinations(masks, 2)]
+
+
+def sampled_masks(tables: int = TABLES, bits: int = SAMPLE) -> list[int]:
+    """Fixed random samples of bits."""
+    rng = np.random.default_rng(SEED)
+    return [sum(1 << int(b) for b in rng.choice(BITS, bits, replace=False)) for _ in range(tables)]
+
+
+def hamming_pairs(distinct: DataFrame, masks: list[int], budget: int, trusted: int) -> DataFrame:
+    """Distinct ``fp`` -> (a, b, far): links within ``trusted`` bits, as a forest, and far pairs within ``budget``."""
+    signed = [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
     keys = [
-        F.struct(F.lit(r).cast("short").alias("r"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("key"))
+        F.struct(F.lit(r).cast("long").alias("r"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("key"))
         for r, m in enumerate(signed)
     ]
     keyed = distinct.select("fp", F.inline(F.array(*keys)))
@@ -195,17 +276,40 @@ def hamming_links(distinct: DataFrame, budget: int) -> DataFrame:
     dealt = keyed.join(hot, ["r", "key"], "left")
     own = F.pmod(F.xxhash64("fp"), F.col("salts")).cast("int")
     others = F.filter(F.sequence(F.lit(0), F.col("salts") - 1), lambda s: s != own)
-    pairs = F.transform(others, lambda s: F.struct(F.least(s, own).alias("s1"), F.greatest(s, own).alias("s2")))
-    alone = F.array(F.struct(F.lit(0).alias("s1"), F.lit(0).alias("s2")))
-    units = dealt.select("r", "key", "fp", F.inline(F.when(F.col("salts").isNull(), alone).otherwise(pairs)))
-    sorted_units = units.repartition("r", "key", "s1", "s2").sortWithinPartitions("r", "key", "s1", "s2")
-    return sorted_units.mapInArrow(_joined(budget), "a long, b long")
+    pairs = F.transform(others, lambda s: F.shiftleft(F.least(s, own).cast("long"), 20) + F.greatest(s, own))
+    alone = F.array(F.lit(0).cast("long"))
+    salted = dealt.select("r", "key", "fp", F.explode(F.when(F.col("salts").isNull(), alone).otherwise(pairs)).alias("s"))
+    units = salted.select((F.shiftleft("r", 40) + F.col("s")).alias("unit"), "key", "fp")
+    sorted_units = units.repartition("unit", "key").sortWithinPartitions("unit", "key")
+    return sorted_units.mapInArrow(_joined(masks, budget, trusted), "a long, b long, far boolean")
+
 
+def hamming_links(distinct: DataFrame, budget: int) -> DataFrame:
+    """Distinct ``fp`` -> links (a, b) that connect all fingerprints within ``budget`` bits."""
+    return hamming_pairs(distinct, block_masks(budget), budget, budget).select("a", "b")
 
-def clusters(prints: DataFrame, budget: int = 4) -> DataFrame:
-    """(doc_id, fp) -> one row per distinct fp: fp, component (its smallest fp), component_id, first_id."""
+
+def similar_links(sketched: DataFrame) -> DataFrame:
+    """Distinct (fp, sketch) -> far pairs (a, b) of samples that are similar enough in their shingles."""
+    found = hamming_pairs(sketched.select("fp"), sampled_masks(), FAR, TRUSTED).where("far")
+    pairs = stage(found.select("a", "b").distinct())
+    named = lambda c: sketched.select(F.col("fp").alias(c), F.col("sketch").alias(f"s{c}"))
+    both = pairs.join(named("a"), "a").join(named("b"), "b")
+
+    @F.pandas_udf("boolean")
+    def similar(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([similarity(a, b) >= SIMILARITY for a, b in zip(x, y)], dtype="bool")
+
+    return both.where(similar("sa", "sb")).select("a", "b")
+
+
+def clusters(prints: DataFrame, links: DataFrame) -> DataFrame:
+    """(doc_id, fp) and links of fingerprints -> one row per distinct fp.
+
+    fp, component (its smallest fp), component_id (the smallest id of the component), first_id (of the fp).
+    """
     distinct = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(hamming_links(distinct.select("fp"), budget))
+    roots = components(links)
     rooted = stage(
         distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
             "fp", "first_id", F.coalesce("root", "fp").alias("component")
@@ -218,21 +322,25 @@ def clusters(prints: DataFrame, budget: int = 4) -> DataFrame:
 def near_duplicates(docs: DataFrame, size: int = 4, budget: int = 4) -> DataFrame:
     """doc_id, fp, component_id: the smallest id reachable over links, one row per document."""
     prints = stage(docs.select(docs["doc_id"], fingerprint(docs["text"], size).alias("fp")))
-    found = clusters(prints, budget).select(F.col("fp").alias("_fp"), "component_id")
+    links = hamming_links(stage(prints.select("fp").distinct()), budget)
+    found = clusters(prints, links).select(F.col("fp").alias("_fp"), "component_id")
     return prints.join(found, prints["fp"] == found["_fp"]).select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, size: int = 5, budget: int = 4) -> DataFrame:
-    """One document of each group, the one with the smallest id, with all its columns.
+def keep_one(docs: DataFrame, size: int = 5) -> DataFrame:
+    """One document of each group of similar ones, the one with the smallest id, with all its columns.
 
-    The rows are written once beside their fingerprint. Each task first keeps its best row for a
-    fingerprint, so a hot group sends one row per task; texts are shuffled once, by fingerprint.
+    The rows are written once beside fingerprint and sketch. Each task first keeps its best row for
+    a fingerprint, so a hot group sends one row per task; texts are shuffled once, by fingerprint.
     """
     row = F.struct(*[docs[c] for c in docs.columns])
-    rows = stage(docs.select(row.alias("_row"), docs["doc_id"].alias("_id"), fingerprint(docs["text"], size).alias("fp")))
-    found = clusters(rows.select(F.col("_id").alias("doc_id"), "fp"), budget)
+    rows = docs.select(row.alias("_row"), docs["doc_id"].alias("_id"), fingerprint_and_sketch(docs["text"], size).alias("_p"))
+    rows = stage(rows.select("_row", "_id", "_p.fp", "_p.sketch"))
+    sketched = stage(rows.groupBy("fp").agg(F.min("sketch").alias("sketch")))
+    links = hamming_links(sketched.select("fp"), TRUSTED).unionByName(similar_links(sketched))
+    found = clusters(rows.select(F.col("_id").alias("doc_id"), "fp"), links)
     order = F.struct(F.col("first_id").isNull(), "first_id", "fp")
     keepers = stage(found.groupBy("component").agg(F.min_by("fp", order).alias("fp")).select("fp"))
     best = Window.partitionBy("fp").orderBy(F.col("_id").asc_nulls_last(), F.xxhash64("_row.text"))
-    firsts = rows.withColumn("_rank", F.row_number().over(best)).where("_rank = 1")
+    firsts = rows.select("_row", "_id", "fp").withColumn("_rank", F.row_number().over(best)).where("_rank = 1")
     return firsts.join(keepers, "fp", "left_semi").select("_row.*")
