@@ -24,7 +24,7 @@ from chatlens.functions.message import message_features
 from chatlens.functions.profile import with_text_profile
 from chatlens.functions.text import blank_to_null
 from chatlens.operators import checks, irc, merge, observe, parse, quality, v1, versions
-from chatlens.plans import engagement, health, messages, triage
+from chatlens.plans import engagement, health, messages, refresh, triage
 from chatlens.schemas import (
     BATCH_METRICS,
     BRONZE_RAW,
@@ -537,6 +537,26 @@ def _(spark, sf):
     return engagement.engagement_mart(engagement.engagement_rollup(_joined(spark, sf), "day"), "day")
 
 
+def _refresh(spark, sf, grain):
+    """The mart of the first run, brought up to date for the days the second run wrote."""
+    parsed, features = derived.parsed(spark, sf), derived.features(spark, sf)
+    build = lambda joined: engagement.engagement_mart(engagement.engagement_rollup(joined, grain), grain)
+    first = F.col("_run_id") == RUNS[0]
+    mart = build(versions.parsed_left_features(parsed.filter(first), features.filter(first)))
+    days = refresh.touched_days(parsed.filter(~first))
+    return refresh.refreshed(mart, engagement.GRAIN_COLUMNS[grain][1], parsed, features, days, build)
+
+
+@query("channel_engagement_daily_refresh")
+def _(spark, sf):
+    return _refresh(spark, sf, "day")
+
+
+@query("channel_engagement_minute_refresh")
+def _(spark, sf):
+    return _refresh(spark, sf, "minute")
+
+
 @query("ops_metrics_minute")
 def _(spark, sf):
     return health.ops_metrics_minute(derived.batch_metrics(spark, sf))

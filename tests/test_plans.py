@@ -102,3 +102,19 @@ def test_capture_is_a_projection(spark, sf):
 
     empty = spark.createDataFrame([], LOG_RECORD)
     assert "Exchange" not in plan_of(log.bronze_projection(empty, F.lit(None).cast("timestamp")))
+
+
+def test_refresh_reads_only_touched_days(spark, tmp_path):
+    from datetime import date
+
+    from chatlens.plans import refresh
+
+    schema = with_write_metadata(SILVER_PARSED)
+    row = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema], F.lit(date(2024, 1, 5)).alias("event_date"))
+    row.write.partitionBy("event_date").parquet(str(tmp_path / "parsed"))
+    table = spark.read.parquet(str(tmp_path / "parsed"))
+    features = spark.createDataFrame([], with_write_metadata(SILVER_FEATURES))
+    build = lambda joined: engagement.engagement_mart(engagement.engagement_rollup(joined, "day"), "day")
+    mart = build(versions.parsed_left_features(table.drop("event_date"), features))
+    plan = refresh.refreshed(mart, "date_day", table, features, [date(2024, 1, 5)], build)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
