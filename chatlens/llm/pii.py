@@ -94,7 +94,7 @@ def certain_spans(text: str) -> list[Span]:
 
 # --- candidate words -----------------------------------------------------------------------
 
-SLOTS = (997, 997, 32, 32, 16, 1)  # feature families and their sizes
+SLOTS = (997, 997, 96, 32, 16, 1)  # feature families and their sizes
 CONTEXT_FAMILIES = [1, 5]  # the word before, and the constant
 OFFSETS = np.cumsum((0, *SLOTS[:-1]))
 WIDTH = sum(SLOTS)
@@ -151,6 +151,8 @@ def candidates(text: str, spans: list[Span]) -> Candidates | None:
         for pattern, sign in SHAPE:
             shape = pattern.sub(sign, shape)
         signs = ("@" in core) + 2 * core.startswith("+") + 4 * min(core.count("."), 3) + 16 * ("-" in core)
+        if 13 <= digits <= 19:  # a number as long as a card's, and whether its check digit holds
+            signs += 64 if luhn("".join(DIGIT.findall(core))) else 32
         key = _similar(core)
         families = (
             _hash(shape[:24], SLOTS[0]), _hash(before.strip(EDGE).lower()[:24], SLOTS[1]), signs,
