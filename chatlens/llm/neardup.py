@@ -52,6 +52,7 @@ TABLES = 128
 SAMPLE = 18
 SIMILARITY = 0.8
 SKETCH = 128
+LOOK = 64  # hot tries are looked for among one in so many fingerprints; salting changes no result
 
 
 def shingle_hashes(text: str | None, size: int) -> Iterator[np.ndarray]:
@@ -83,16 +84,16 @@ def _majority(pieces: Iterable[np.ndarray]) -> int:
 
 
 def sketch(pieces: Iterable[np.ndarray]) -> bytes:
-    """The smallest different hashes, in order."""
-    least = np.zeros(0, dtype="<u8")
+    """The smallest different hashes, cut to 32 bits, in order."""
+    least = np.zeros(0, dtype="<u4")
     for hashes in pieces:
-        least = np.unique(np.concatenate([least, hashes]))[:SKETCH]
+        least = np.unique(np.concatenate([least, (hashes >> np.uint64(32)).astype("<u4")]))[:SKETCH]
     return least.tobytes()
 
 
 def similarity(a: bytes, b: bytes) -> float:
     """Jaccard similarity of two sketched sets: exact while both are complete."""
-    x, y = np.frombuffer(a, dtype="<u8"), np.frombuffer(b, dtype="<u8")
+    x, y = np.frombuffer(a, dtype="<u4"), np.frombuffer(b, dtype="<u4")
     union = np.union1d(x, y)
     if len(x) == SKETCH or len(y) == SKETCH:
         union = union[:SKETCH]
@@ -265,22 +266,26 @@ def sampled_masks(tables: int = TABLES, bits: int = SAMPLE) -> list[int]:
 
 def hamming_pairs(distinct: DataFrame, masks: list[int], budget: int, trusted: int) -> DataFrame:
     """Distinct ``fp`` -> (a, b, far): links within ``trusted`` bits, as a forest, and far pairs within ``budget``."""
-    signed = [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
-    keys = [
-        F.struct(F.lit(r).cast("long").alias("r"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("key"))
-        for r, m in enumerate(signed)
-    ]
-    keyed = distinct.select("fp", F.inline(F.array(*keys)))
-    sizes = keyed.groupBy("r", "key").agg(F.count("*").alias("n")).where(F.col("n") > UNIT)
-    hot = stage(sizes.select("r", "key", F.ceil(F.col("n") * 2 / UNIT).cast("int").alias("salts")))
-    dealt = keyed.join(hot, ["r", "key"], "left")
+    signed = [F.lit(m - (1 << BITS) if m >> (BITS - 1) else m).cast("long") for m in masks]
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        keys = [F.struct(F.lit(r).cast("long").alias("r"), F.col("fp").bitwiseAND(m).alias("key")) for r, m in enumerate(signed)]
+        return rows.select("fp", F.inline(F.array(*keys)))
+
+    look = max(1, min(LOOK, UNIT // LOOK))
+    sizes = keyed(distinct.where(F.pmod(F.xxhash64("fp", F.lit("look")), F.lit(look)) == 0)).groupBy("r", "key").agg((F.count("*") * look).alias("n"))
+    hot = stage(sizes.where(F.col("n") > UNIT // 2).select("r", "key", F.ceil(F.col("n") * 2 / UNIT).cast("int").alias("salts")))
+    dealt = keyed(distinct).join(hot, ["r", "key"], "left")
     own = F.pmod(F.xxhash64("fp"), F.col("salts")).cast("int")
     others = F.filter(F.sequence(F.lit(0), F.col("salts") - 1), lambda s: s != own)
     pairs = F.transform(others, lambda s: F.shiftleft(F.least(s, own).cast("long"), 20) + F.greatest(s, own))
     alone = F.array(F.lit(0).cast("long"))
-    salted = dealt.select("r", "key", "fp", F.explode(F.when(F.col("salts").isNull(), alone).otherwise(pairs)).alias("s"))
-    units = salted.select((F.shiftleft("r", 40) + F.col("s")).alias("unit"), "key", "fp")
-    sorted_units = units.repartition("unit", "key").sortWithinPartitions("unit", "key")
+    several = F.col("salts") > 1
+    salted = dealt.select("r", "fp", F.explode(F.when(several, pairs).otherwise(alone)).alias("s"))
+    # the key follows from the table and the fingerprint, so it doesn't travel
+    key = F.col("fp").bitwiseAND(F.element_at(F.array(*signed), (F.shiftright("unit", 40) + 1).cast("int")))
+    units = salted.select((F.shiftleft("r", 40) + F.col("s")).alias("unit"), "fp").repartition("unit", key)
+    sorted_units = units.select("unit", key.alias("key"), "fp").sortWithinPartitions("unit", "key")
     return sorted_units.mapInArrow(_joined(masks, budget, trusted), "a long, b long, far boolean")
 
 
@@ -330,17 +335,19 @@ def near_duplicates(docs: DataFrame, size: int = 4, budget: int = 4) -> DataFram
 def keep_one(docs: DataFrame, size: int = 5) -> DataFrame:
     """One document of each group of similar ones, the one with the smallest id, with all its columns.
 
-    The rows are written once beside fingerprint and sketch. Each task first keeps its best row for
-    a fingerprint, so a hot group sends one row per task; texts are shuffled once, by fingerprint.
+    Fingerprints and sketches are written, the texts are not; they are fingerprinted again where the
+    rows are chosen. Each task first keeps its best row for a fingerprint, so a hot group sends one
+    row per task; texts are shuffled once, by fingerprint.
     """
-    row = F.struct(*[docs[c] for c in docs.columns])
-    rows = docs.select(row.alias("_row"), docs["doc_id"].alias("_id"), fingerprint_and_sketch(docs["text"], size).alias("_p"))
-    rows = stage(rows.select("_row", "_id", "_p.fp", "_p.sketch"))
-    sketched = stage(rows.groupBy("fp").agg(F.min("sketch").alias("sketch")))
+    prints = docs.select(docs["doc_id"].alias("doc_id"), fingerprint_and_sketch(docs["text"], size).alias("p"))
+    prints = stage(prints.select("doc_id", "p.fp", "p.sketch"))
+    sketched = stage(prints.groupBy("fp").agg(F.min("sketch").alias("sketch")))
     links = hamming_links(sketched.select("fp"), TRUSTED).unionByName(similar_links(sketched))
-    found = clusters(rows.select(F.col("_id").alias("doc_id"), "fp"), links)
+    found = clusters(prints.select("doc_id", "fp"), links)
     order = F.struct(F.col("first_id").isNull(), "first_id", "fp")
     keepers = stage(found.groupBy("component").agg(F.min_by("fp", order).alias("fp")).select("fp"))
+    row = F.struct(*[docs[c] for c in docs.columns])
+    rows = docs.select(row.alias("_row"), docs["doc_id"].alias("_id"), fingerprint(docs["text"], size).alias("fp"))
     best = Window.partitionBy("fp").orderBy(F.col("_id").asc_nulls_last(), F.xxhash64("_row.text"))
-    firsts = rows.select("_row", "_id", "fp").withColumn("_rank", F.row_number().over(best)).where("_rank = 1")
+    firsts = rows.withColumn("_rank", F.row_number().over(best)).where("_rank = 1")
     return firsts.join(keepers, "fp", "left_semi").select("_row.*")

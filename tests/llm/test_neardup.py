@@ -133,10 +133,10 @@ def test_similar_documents_collapse(spark, sf):
 
 
 def test_sketches_are_exact_while_complete():
-    a, b = [np.array(x, dtype="<u8") for x in (range(100), range(20, 110))]
+    a, b = [np.array(x, dtype="<u8") << np.uint64(40) for x in (range(100), range(20, 110))]
     assert neardup.similarity(neardup.sketch([a]), neardup.sketch([b])) == 80 / 110
     rng = np.random.default_rng(1)
-    pool = rng.integers(0, 1 << 63, 4000).astype("<u8")
+    pool = rng.integers(0, 1 << 62, 4000).astype("<u8") * np.uint64(4)
     found = neardup.similarity(neardup.sketch([pool[:3600]]), neardup.sketch([pool[400:]]))
     assert abs(found - 3200 / 4000) < 0.12
     assert neardup.similarity(b"", b"") == 1.0
