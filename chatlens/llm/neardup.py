@@ -13,8 +13,9 @@ spanning forest, so no link is lost and dense groups don't multiply.
 which differ in up to ``FAR`` bits, beyond what blocks can select. Its tries lie below ``TABLES``
 samples of ``SAMPLE`` bits as well: a pair that differs in 8 of 64 bits agrees on some sample with a
 probability of 0.999, one in 10 bits with 0.97, one in 12 with 0.77. Pairs over ``TRUSTED`` bits
-apart are verified by the Jaccard similarity of their shingles, exact up to ``SKETCH`` shingles and
-estimated from the smallest ``SKETCH`` hashes of both beyond.
+apart are verified by the Jaccard similarity of their shingles. The smallest ``SKETCH`` hashes of
+both decide where they are all hashes or where the estimate is at least ``CLEAR`` from
+``SIMILARITY``; pairs in between that the certain links leave apart are decided by all hashes.
 
 Tries with more than ``UNIT`` fingerprints are dealt over salts, and each pair of salts is joined
 on its own, so no task holds more than two salts of a hot trie. Copies share a fingerprint and
@@ -52,6 +53,7 @@ TABLES = 128
 SAMPLE = 18
 SIMILARITY = 0.8
 SKETCH = 128
+CLEAR = 0.12  # 3.4 standard errors of an estimate at SIMILARITY
 LOOK = 64  # hot tries are looked for among one in so many fingerprints; salting changes no result
 
 
@@ -113,16 +115,31 @@ def fingerprint(text: Column, size: int = 4) -> Column:
     return of(text)
 
 
+def verdict(a: bytes, b: bytes) -> bool | None:
+    """What two sketches say for certain of SIMILARITY; None where all hashes have to decide."""
+    found = similarity(a, b)
+    complete = max(len(a), len(b)) < 4 * SKETCH
+    return found >= SIMILARITY if complete or abs(found - SIMILARITY) >= CLEAR else None
+
+
+def exact_similarity(a: bytes, b: bytes) -> float:
+    """Jaccard similarity of two whole sets of hashes."""
+    x, y = np.frombuffer(a, dtype="<u8"), np.frombuffer(b, dtype="<u8")
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both) if len(x) or len(y) else 1.0
+
+
 def fingerprint_and_sketch(text: Column, size: int) -> Column:
-    """Both from one pass over the text, as a struct of fp and sketch."""
+    """All from one pass over the text, as a struct of fp, sketch and all different hashes."""
 
-    @F.pandas_udf("fp long, sketch binary")
+    @F.pandas_udf("fp long, sketch binary, hashes binary")
     def of(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for text in texts:
             pieces = list(shingle_hashes(text, size))
-            rows.append((_majority(pieces), sketch(pieces)))
-        return pd.DataFrame(rows, columns=["fp", "sketch"])
+            hashes = np.unique(np.concatenate(pieces)) if pieces else np.zeros(0, dtype="<u8")
+            rows.append((_majority(pieces), sketch(pieces), hashes.tobytes()))
+        return pd.DataFrame(rows, columns=["fp", "sketch", "hashes"])
 
     return of(text)
 
@@ -294,18 +311,36 @@ def hamming_links(distinct: DataFrame, budget: int) -> DataFrame:
     return hamming_pairs(distinct, block_masks(budget), budget, budget).select("a", "b")
 
 
-def similar_links(sketched: DataFrame) -> DataFrame:
-    """Distinct (fp, sketch) -> far pairs (a, b) of samples that are similar enough in their shingles."""
+def similar_links(prints: DataFrame, sketched: DataFrame, links: DataFrame) -> DataFrame:
+    """Links of near fingerprints -> those, and the pairs (a, b) of samples that are similar enough in their shingles.
+
+    Clear pairs are decided by sketches. The others matter only between components of the links so
+    far; their whole sets of hashes, of ``prints`` (fp, sketch, hashes), are fetched and compared.
+    """
     found = hamming_pairs(sketched.select("fp"), sampled_masks(), FAR, TRUSTED).where("far")
     pairs = stage(found.select("a", "b").distinct())
     named = lambda c: sketched.select(F.col("fp").alias(c), F.col("sketch").alias(f"s{c}"))
-    both = pairs.join(named("a"), "a").join(named("b"), "b")
+
+    @F.pandas_udf("boolean")
+    def clear(x: pd.Series, y: pd.Series) -> pd.Series:
+        return pd.Series([verdict(a, b) for a, b in zip(x, y)], dtype="object")
 
     @F.pandas_udf("boolean")
     def similar(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([similarity(a, b) >= SIMILARITY for a, b in zip(x, y)], dtype="bool")
+        return pd.Series([exact_similarity(a, b) >= SIMILARITY for a, b in zip(x, y)], dtype="bool")
 
-    return both.where(similar("sa", "sb")).select("a", "b")
+    both = pairs.join(named("a"), "a").join(named("b"), "b")
+    told = stage(both.select("a", "b", clear("sa", "sb").alias("similar")))
+    links = stage(links.unionByName(told.where("similar").select("a", "b")))
+    roots = stage(components(links))
+    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
+    open_ = told.where("similar IS NULL").select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
+    open_ = stage(open_.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"))
+    needed = open_.select(F.col("a").alias("fp")).unionByName(open_.select(F.col("b").alias("fp"))).distinct()
+    sets = stage(prints.join(needed, "fp", "left_semi").groupBy("fp").agg(F.min_by("hashes", F.struct("sketch", "hashes")).alias("hashes")))
+    whole = lambda c: sets.select(F.col("fp").alias(c), F.col("hashes").alias(f"h{c}"))
+    verified = open_.join(whole("a"), "a").join(whole("b"), "b").where(similar("ha", "hb"))
+    return links.unionByName(verified.select("a", "b"))
 
 
 def clusters(prints: DataFrame, links: DataFrame) -> DataFrame:
@@ -335,14 +370,14 @@ def near_duplicates(docs: DataFrame, size: int = 4, budget: int = 4) -> DataFram
 def keep_one(docs: DataFrame, size: int = 5) -> DataFrame:
     """One document of each group of similar ones, the one with the smallest id, with all its columns.
 
-    Fingerprints and sketches are written, the texts are not; they are fingerprinted again where the
+    Fingerprints, sketches and shingle hashes are written, the texts are not; they are fingerprinted again where the
     rows are chosen. Each task first keeps its best row for a fingerprint, so a hot group sends one
     row per task; texts are shuffled once, by fingerprint.
     """
     prints = docs.select(docs["doc_id"].alias("doc_id"), fingerprint_and_sketch(docs["text"], size).alias("p"))
-    prints = stage(prints.select("doc_id", "p.fp", "p.sketch"))
+    prints = stage(prints.select("doc_id", "p.fp", "p.sketch", "p.hashes"))
     sketched = stage(prints.groupBy("fp").agg(F.min("sketch").alias("sketch")))
-    links = hamming_links(sketched.select("fp"), TRUSTED).unionByName(similar_links(sketched))
+    links = similar_links(prints, sketched, hamming_links(sketched.select("fp"), TRUSTED))
     found = clusters(prints.select("doc_id", "fp"), links)
     order = F.struct(F.col("first_id").isNull(), "first_id", "fp")
     keepers = stage(found.groupBy("component").agg(F.min_by("fp", order).alias("fp")).select("fp"))

@@ -153,3 +153,33 @@ def test_copies_and_near_copies_collapse(spark):
     other = [f"q{i * 7 % 991}y{i}" for i in range(400)]
     rows = [(k, " ".join(w), "en", "a", 1) for k, w in enumerate([words, words, near, other])]
     assert sorted(r["doc_id"] for r in neardup.keep_one(documents(spark, rows)).collect()) == [0, 3]
+
+
+def at_similarity(seed: int, n: int, changed: int) -> tuple[str, str, float]:
+    """Two texts of n words, the second with some words changed, and their similarity."""
+    rng = np.random.default_rng(seed)
+    words = [f"s{seed}w{k}" for k in rng.integers(0, 1 << 40, n)]
+    other = list(words)
+    for k in rng.choice(n, changed, replace=False):
+        other[k] += "x"
+    a, b = (set(zip(*(w[k:] for k in range(5)))) for w in (words, other))
+    return " ".join(words), " ".join(other), len(a & b) / len(a | b)
+
+
+def test_pairs_near_the_limit_are_decided_by_all_shingles(spark):
+    """Pairs whose sketch estimate is on the wrong side of the limit, and near enough in bits to be met for certain."""
+    wrong = {True: [], False: []}
+    for seed in range(2000):
+        a, b, exact = at_similarity(seed, 400, 8 + seed % 4)
+        prints = [np.concatenate(list(neardup.shingle_hashes(t, 5))) for t in (a, b)]
+        apart = (neardup.simhash(a, 5) ^ neardup.simhash(b, 5)) & ((1 << 64) - 1)
+        estimate = neardup.similarity(*(neardup.sketch([p]) for p in prints))
+        if 4 < apart.bit_count() <= 8 and (estimate >= 0.8) != (exact >= 0.8):
+            wrong[exact >= 0.8].append((a, b))
+        if min(map(len, wrong.values())) >= 3:
+            break
+    assert min(map(len, wrong.values())) >= 3
+    texts = [(k, t) for k, t in enumerate(t for pairs in wrong.values() for pair in pairs for t in pair)]
+    true = 2 * len(wrong[True])
+    kept = {r["doc_id"] for r in neardup.keep_one(documents(spark, [(k, t, "en", "a", 1) for k, t in texts])).collect()}
+    assert kept == {k for k, _ in texts if k >= true or k % 2 == 0}
