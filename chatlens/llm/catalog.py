@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlens.llm import chat, decontam, lines, mixing, neardup, pii, quality, secrets, sharding, urls
+from chatlens.functions.text import evaluate_once
+from chatlens.llm import chat, decontam, lines, mixing, neardup, periodic, pii, quality, secrets, sharding, urls
+from chatlens.llm.text import words
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -270,3 +272,30 @@ def op10_reply_trees(spark: SparkSession, sf: str) -> DataFrame:
         F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+def with_planted_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id, text: in the texts the contract names, the words from ``a`` on repeat the ``p`` words there."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select(docs["doc_id"], docs["text"])
+    rows = evaluate_once(rows, g=F.floor(h / 10), ws=F.when(h % 10 == 0, words(F.col("text"))))
+    rows = evaluate_once(rows.withColumn("n", F.size("ws").cast("long")), a=F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    p = F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)) + 1
+    rows = evaluate_once(rows, p=p)
+    position = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    repeated = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: F.get("ws", position(i).cast("int")))
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    found = periodic.periodic_runs(with_planted_repeats(table(spark, sf, "documents")))
+    found = evaluate_once(found, best=periodic.most_repeated(F.col("runs")))
+    best = F.col("best")
+    told = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines_ = F.array_join(F.transform(told, lambda x: F.concat(x, F.lit("\n"))), "")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(lines_, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
