@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatlens.functions.text import evaluate_once
-from chatlens.llm import chat, decontam, lines, mixing, neardup, periodic, pii, quality, secrets, sharding, urls
+from chatlens.llm import chat, decontam, extract, lines, mixing, neardup, periodic, pii, quality, secrets, sharding, spelling, urls
 from chatlens.llm.text import words
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -274,6 +274,15 @@ def op10_reply_trees(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# Fixed value: the contract drops a letter where this divides the hash of id and word.
+NOISE = 97
+
+
+@query("op11_spelling_variants")
+def op11_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling.variants(table(spark, sf, "documents"), NOISE)
+
+
 def with_planted_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, text: in the texts the contract names, the words from ``a`` on repeat the ``p`` words there."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -299,3 +308,9 @@ def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
         best["period"].alias("period"), F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
         F.sha2(lines_, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query("op13_host_suffix_array")
+def op13_host_suffix_array(spark: SparkSession, sf: str) -> DataFrame:
+    found = extract.main_text(table(spark, sf, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from chatlens.llm.staging import stage
 
 
-def _flatten(parents: DataFrame) -> DataFrame:
-    """Follow parent pointers to the end; each round doubles the distance they span."""
+def flatten(parents: DataFrame) -> DataFrame:
+    """(node, parent) -> the same with the end of each chain as parent; each round doubles the distance spanned."""
     while True:
         above = parents.select(F.col("node").alias("_node"), F.col("parent").alias("_above"))
         further = parents.join(above, parents["parent"] == above["_node"], "left")
@@ -34,7 +34,7 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.select(F.col("b").alias("node"), F.col("a").alias("other")).unionAll(
             edges.select(F.col("a").alias("node"), F.col("a").alias("other"))
         )
-        roots = _flatten(stage(both.groupBy("node").agg(F.min("other").alias("parent"))))
+        roots = flatten(stage(both.groupBy("node").agg(F.min("other").alias("parent"))))
         if found is None:
             found = roots
         else:
