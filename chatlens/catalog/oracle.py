@@ -716,15 +716,34 @@ _add("chat_messages_fact", f"SELECT {V1_ROUNDED} FROM fact")
 
 # --- streams -------------------------------------------------------------------------------
 
-_add(
-    "kafka_to_bronze_stream",
-    f"SELECT {BRONZE_COLUMNS}, payload AS raw_payload, ts AS bronze_ingestion_ts, 'run_a' AS _run_id, 'bronze_ingest' AS _job_name, CAST(0 AS BIGINT) AS _batch_id FROM log",
-)
-_add("stream_table_scan", "SELECT 'chat_raw' AS source_topic, part AS source_partition, event_id AS source_offset FROM log")
-_add(
-    "stream_append",
-    "SELECT 'run_a' AS run_id, 'bronze_ingest' AS job_name, CAST(0 AS BIGINT) AS batch_id, count(*) AS row_count FROM log",
-)
+def _delivery(arrival: str, ts: str) -> str:
+    """Deliveries by day of capture; what came an hour late or more waits ten days longer."""
+    waits = f"CASE WHEN floor(epoch({arrival})) - floor(epoch({ts})) > 3600 THEN 10 ELSE 0 END"
+    return f"least((date_diff('day', DATE '2024-01-01', CAST({arrival} AS DATE)) + {waits}) // 8, 3)"
+
+
+STEPS["dlv"] = f"""
+SELECT *, {_delivery("bronze_ingestion_ts", "event_ts")} AS d FROM cls"""
+# The parse stream is started again after the second delivery, which leaves a batch without rows behind. A
+# batch drops rows behind the watermark that was in force in the batch before it.
+STEPS["marks"] = """
+SELECT d, lag(mark) OVER (ORDER BY b) AS mark FROM (
+  SELECT b, d, max(top) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 600000 AS mark
+  FROM (SELECT d, d + CASE WHEN d >= 2 THEN 1 ELSE 0 END AS b, max(epoch_us(event_ts) // 1000) FILTER (outcome = 'VALID') AS top
+    FROM dlv GROUP BY d UNION ALL SELECT NULL, 2, NULL))"""
+STEPS["streamed"] = """
+SELECT dlv.* REPLACE (event_ts AS bronze_ingestion_ts, event_ts AS silver_processed_ts), outcome = 'VALID' AS good,
+  outcome = 'VALID' AND coalesce(epoch_us(event_ts) <= mark * 1000, FALSE) AS late,
+  'run_a' AS _run_id, 'silver_parse' AS _job_name, CAST(d + CASE WHEN d >= 2 THEN 1 ELSE 0 END AS BIGINT) AS _batch_id
+FROM dlv JOIN marks USING (d)"""
+STEPS["kept"] = """
+SELECT * FROM streamed WHERE good AND NOT late QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY d) = 1"""
+
+BRONZE_STREAM = f"""SELECT {BRONZE_COLUMNS}, payload AS raw_payload, ts AS bronze_ingestion_ts, 'run_a' AS _run_id, 'bronze_ingest' AS _job_name,
+  CAST({_delivery("arrival", "ts")} AS BIGINT) AS _batch_id FROM log"""
+_add("kafka_to_bronze_stream", BRONZE_STREAM)
+_add("stream_table_scan", f"SELECT * EXCLUDE (_run_id, _job_name, _batch_id) FROM ({BRONZE_STREAM})")
+_add("stream_append", f"SELECT *, count(*) OVER (PARTITION BY _batch_id) AS row_count FROM ({BRONZE_STREAM})")
 _add("dlq_sink", "SELECT * REPLACE (TIMESTAMP '2024-03-15' AS dlq_ingestion_ts) FROM dead")
 _add(
     "idempotent_batch_write",
@@ -737,15 +756,15 @@ _add(
 )
 _add(
     "bronze_to_silver_stream",
-    """SELECT 'parsed' AS target, source_partition, source_offset, message_text, CAST(NULL AS VARCHAR) AS error_code FROM good
-UNION ALL SELECT 'dlq', source_partition, source_offset, NULL, error_code FROM dead""",
-)
-_add(
-    "watermark_dedupe_stream",
-    """SELECT event_id, event_ts, channel, chatter_id, message_length, 'run_a' AS _run_id, 'silver_parse' AS _job_name FROM good""",
+    """SELECT 'parsed' AS target, source_topic, source_partition, source_offset, _batch_id, message_text,
+  CAST(NULL AS VARCHAR) AS error_code, CAST(NULL AS VARCHAR) AS raw_payload FROM kept
+UNION ALL SELECT 'dlq', source_topic, source_partition, source_offset, _batch_id, NULL,
+  CASE outcome WHEN 'PARSE_ERROR' THEN 'JSON_PARSE_FAILURE' ELSE 'CONTRACT_REQUIRED_FIELDS_MISSING' END, raw_payload
+FROM streamed WHERE NOT good""",
 )
+_add("watermark_dedupe_stream", "SELECT * EXCLUDE (hour, j, raw_payload, outcome, d, good, late) FROM kept")
 STEPS["inline"] = """
-SELECT * REPLACE (event_ts AS silver_processed_ts) FROM good"""
+SELECT * FROM kept"""
 _add(
     "silver_to_features_stream",
     f"SELECT {ROUNDED_FEATURES} FROM (SELECT event_id, {_feature_columns('silver_processed_ts')} FROM {_measured('inline')})",
@@ -766,6 +785,17 @@ FROM good WHERE event_ts >= TIMESTAMP '2024-01-20' AND event_ts < TIMESTAMP '202
 )
 _add(
     "late_row_audit",
+    """SELECT count(*) AS bronze_rows, (SELECT count(*) FROM kept) AS valid_rows, count(*) FILTER (NOT good) AS dlq_rows,
+  count(*) FILTER (good AND NOT late) - (SELECT count(*) FROM kept) AS duplicate_rows, count(*) FILTER (late) AS late_rows,
+  CAST(0 AS BIGINT) AS unaccounted_rows,
+  count(DISTINCT event_id) FILTER (late AND event_id NOT IN (SELECT event_id FROM kept)) AS lost_events,
+  (SELECT count(*) FROM kept WHERE epoch_us(event_ts) + 600000000 > 1000 * (SELECT max(epoch_us(event_ts) // 1000) - 600000 FROM streamed WHERE good))
+    AS remembered_keys,
+  CAST(0 AS BIGINT) AS expired_keys, epoch_ms(max(epoch_us(event_ts) // 1000) FILTER (good) - 600000) AS final_watermark_ts
+FROM streamed""",
+)
+_add(
+    "late_row_audit_of_tables",
     """SELECT count(*) AS bronze_rows, count(DISTINCT event_id) FILTER (outcome = 'VALID' AND kept) AS valid_rows,
   count(*) FILTER (outcome <> 'VALID') AS dlq_rows,
   count(*) FILTER (outcome = 'VALID' AND kept) - valid_rows AS duplicate_rows,

@@ -26,12 +26,15 @@ from chatlens.functions.text import blank_to_null
 from chatlens.operators import checks, irc, merge, observe, parse, quality, v1, versions
 from chatlens.plans import engagement, health, messages, refresh, triage
 from chatlens.schemas import (
+    BATCH_LEDGER,
     BATCH_METRICS,
     BRONZE_RAW,
     DLQ,
     DLQ_CATEGORIES,
     EMOTE_SENTIMENT,
     LOG_KEY,
+    LOG_RECORD,
+    PARSE_STAGE,
     SILVER_FEATURES,
     SILVER_PARSED,
     V1_SILVER,
@@ -39,7 +42,7 @@ from chatlens.schemas import (
 )
 from chatlens.session import checkpoint_root, configure
 from chatlens.sources import derived, log, tables
-from chatlens.streaming import jobs, sinks
+from chatlens.streaming import jobs, ledger, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -129,20 +132,19 @@ def _v1_tables(spark, sf):
 @query("stream_append")
 def _(spark, sf):
     folder = _folder(spark)
-    stream = log.file_log_stream(spark, _log_files(spark, derived.log_rows(spark, sf), folder))
+    raw = log.bronze_projection(_log_stream(spark, derived.log_rows(spark, sf), folder), F.col("timestamp"))
     jobs.await_all(
-        sinks.stream_append(
-            log.bronze_projection(stream), f"{folder}/bronze", f"{folder}/cp", "run_a", "bronze_ingest", f"{folder}/metrics"
-        )
+        sinks.stream_append(raw, f"{folder}/bronze", f"{folder}/cp", "run_a", "bronze_ingest", f"{folder}/metrics")
     )
-    written = tables.read_table(spark, f"{folder}/metrics", BATCH_METRICS)
-    return health.distinct_batches(written).select("run_id", "job_name", "batch_id", "row_count")
+    counted = health.distinct_batches(tables.read_table(spark, f"{folder}/metrics", BATCH_METRICS))
+    written = tables.read_table(spark, f"{folder}/bronze", with_write_metadata(BRONZE_RAW)).drop("_batch_processed_ts")
+    return written.join(counted.select(F.col("batch_id").alias("_batch_id"), "row_count"), "_batch_id")
 
 
 @query("dlq_sink")
 def _(spark, sf):
     folder = _folder(spark)
-    stream = log.file_log_stream(spark, _log_files(spark, derived.log_rows(spark, sf), folder))
+    stream = _log_stream(spark, derived.log_rows(spark, sf), folder)
     dead = parse.dead_letters(parse.classify(log.bronze_projection(stream)), as_of())
     jobs.await_all(sinks.dlq_sink(dead, f"{folder}/dlq", f"{folder}/cp", available_now=True))
     return tables.read_table(spark, f"{folder}/dlq", DLQ)
@@ -625,20 +627,34 @@ def _folder(spark: SparkSession) -> str:
     return f"{checkpoint_root(spark)}/stream-{uuid4().hex}"
 
 
-def _log_files(spark, rows: DataFrame, folder: str, mode: str = "error") -> str:
-    """Log records as files, as a connector would deliver them."""
-    rows.select(
-        F.col("key").cast("binary"),
-        F.col("value").cast("binary"),
-        *LOG_KEY,
-        "timestamp",
-        "timestampType",
-    ).write.mode(mode).parquet(f"{folder}/log")
-    return f"{folder}/log"
+# The log arrives in deliveries of eight days, by time of capture; what was captured an hour late or
+# more waits ten days longer. Each is written as so many files, the limit of a trigger, so it becomes
+# one micro-batch.
+DELIVERIES, DELIVERY_DAYS, DELIVERY_FILES = 4, 8, 4
+STREAM_WATERMARK = "10 minutes"
+
+
+def _log_files(spark, rows: DataFrame, folder: str, deliveries: range = range(DELIVERIES)) -> str:
+    """Log records as files, delivery after delivery, as a connector would hand them on."""
+    staged = f"{folder}/staged"
+    if deliveries.start == 0:
+        waits = F.when(F.unix_timestamp("_arrival") - F.unix_timestamp("timestamp") > derived.HOUR, 10).otherwise(0)
+        day = F.datediff("_arrival", F.lit("2024-01-01").cast("date")) + waits
+        number = F.least(F.floor(day / DELIVERY_DAYS), F.lit(DELIVERIES - 1)).cast("int")
+        records = rows.select(F.col("key").cast("binary"), F.col("value").cast("binary"), *LOG_KEY, "timestamp", "timestampType", number.alias("_delivery"))
+        records.write.partitionBy("_delivery").parquet(staged)
+    for k in deliveries:
+        part = spark.read.parquet(staged).where(F.col("_delivery") == k).drop("_delivery")
+        part.repartition(DELIVERY_FILES).write.parquet(f"{folder}/log/{k}")
+    return f"{folder}/log/*"
+
+
+def _log_stream(spark, rows: DataFrame, folder: str, deliveries: range = range(DELIVERIES)) -> DataFrame:
+    return log.file_log_stream(spark, _log_files(spark, rows, folder, deliveries), max_files_per_trigger=DELIVERY_FILES)
 
 
 def _bronze_stream(spark, sf, folder):
-    stream = log.file_log_stream(spark, _log_files(spark, derived.log_rows(spark, sf), folder))
+    stream = _log_stream(spark, derived.log_rows(spark, sf), folder)
     capture = jobs.kafka_to_bronze_stream(
         stream, f"{folder}/bronze", f"{folder}/cp_bronze", "run_a", as_of=F.col("timestamp")
     )
@@ -646,18 +662,24 @@ def _bronze_stream(spark, sf, folder):
     return tables.stream_table_scan(spark, f"{folder}/bronze", with_write_metadata(BRONZE_RAW))
 
 
-def _silver_streams(spark, sf, folder):
-    bronze = _bronze_stream(spark, sf, folder)
-    with jobs.state_settings(spark, spark.sparkContext.defaultParallelism, on_disk=False):
-        started = jobs.bronze_to_silver_stream(
-            bronze,
-            f"{folder}/parsed",
-            f"{folder}/dlq",
-            f"{folder}/cp_silver",
-            "run_a",
-            as_of=F.col("bronze_ingestion_ts"),
-        )
-    jobs.await_all(*started)
+def _silver_stream(spark, sf, folder):
+    """Two deliveries, a restart, two more; batch by batch into parsed, dlq, ledger and progress."""
+    rows = derived.log_rows(spark, sf)
+    for part in (range(2), range(2, DELIVERIES)):
+        raw = log.bronze_projection(_log_stream(spark, rows, folder, part), F.col("timestamp"))
+        with jobs.state_settings(spark, spark.sparkContext.defaultParallelism):
+            query = jobs.bronze_to_silver_stream(
+                raw,
+                f"{folder}/parsed",
+                f"{folder}/dlq",
+                f"{folder}/cp_silver",
+                "run_a",
+                watermark=STREAM_WATERMARK,
+                as_of=F.col("bronze_ingestion_ts"),
+                ledger=f"{folder}/ledger",
+            )
+        jobs.await_all(query)
+        ledger.record_progress(query, f"{folder}/progress", "run_a", PARSE_STAGE)
 
 
 @query("kafka_to_bronze_stream")
@@ -670,42 +692,49 @@ def _(spark, sf):
 @query("stream_table_scan")
 def _(spark, sf):
     folder = _folder(spark)
-    bronze = _bronze_stream(spark, sf, folder)
     scan = sinks.stream_append(
-        bronze.select("source_topic", "source_partition", "source_offset"),
-        f"{folder}/copy",
-        f"{folder}/cp_copy",
-        "run_a",
-        "copy",
+        _bronze_stream(spark, sf, folder).select(*BRONZE_RAW.fieldNames()), f"{folder}/copy", f"{folder}/cp_copy", "run_a", "copy"
     )
     jobs.await_all(scan)
-    copied = StructType.fromDDL("source_topic string, source_partition int, source_offset bigint")
-    return tables.read_table(spark, f"{folder}/copy", copied)
+    return tables.read_table(spark, f"{folder}/copy", BRONZE_RAW)
+
+
+def _committed(spark, folder, name, schema):
+    """A target of the parse stream: whole batches only."""
+    book = tables.read_table(spark, f"{folder}/ledger", BATCH_LEDGER)
+    rows = tables.read_table(spark, f"{folder}/{name}", with_write_metadata(schema))
+    return ledger.committed(rows, book).select(*schema.fieldNames(), "_run_id", "_job_name", "_batch_id")
 
 
 @query("bronze_to_silver_stream")
 def _(spark, sf):
     folder = _folder(spark)
-    _silver_streams(spark, sf, folder)
-    place = ("target", "source_partition", "source_offset")
-    good = tables.read_table(spark, f"{folder}/parsed", SILVER_PARSED).withColumn("target", F.lit("parsed"))
-    bad = tables.read_table(spark, f"{folder}/dlq", DLQ).withColumn("target", F.lit("dlq"))
-    return good.select(*place, "message_text").unionByName(bad.select(*place, "error_code"), allowMissingColumns=True)
+    _silver_stream(spark, sf, folder)
+    place = ("target", "source_topic", "source_partition", "source_offset", "_batch_id")
+    good = _committed(spark, folder, "parsed", SILVER_PARSED).withColumn("target", F.lit("parsed"))
+    bad = _committed(spark, folder, "dlq", DLQ).withColumn("target", F.lit("dlq"))
+    return good.select(*place, "message_text").unionByName(
+        bad.select(*place, "error_code", "raw_payload"), allowMissingColumns=True
+    )
 
 
 @query("watermark_dedupe_stream")
 def _(spark, sf):
     folder = _folder(spark)
-    _silver_streams(spark, sf, folder)
-    parsed = tables.read_table(spark, f"{folder}/parsed", with_write_metadata(SILVER_PARSED))
-    return parsed.select("event_id", "event_ts", "channel", "chatter_id", "message_length", "_run_id", "_job_name")
+    _silver_stream(spark, sf, folder)
+    return _committed(spark, folder, "parsed", SILVER_PARSED)
+
+
+FEATURE_FILES = 100
 
 
 @query("silver_to_features_stream")
 def _(spark, sf):
     folder = _folder(spark)
-    _silver_streams(spark, sf, folder)
-    parsed = tables.stream_table_scan(spark, f"{folder}/parsed", with_write_metadata(SILVER_PARSED))
+    _silver_stream(spark, sf, folder)
+    parsed = tables.stream_table_scan(
+        spark, f"{folder}/parsed", with_write_metadata(SILVER_PARSED), max_files_per_trigger=FEATURE_FILES
+    )
     jobs.await_all(
         jobs.silver_to_features_stream(
             parsed, f"{folder}/features", f"{folder}/cp_features", "run_a", as_of=F.col("silver_processed_ts")
@@ -717,10 +746,7 @@ def _(spark, sf):
 @query("v1_foreach_batch")
 def _(spark, sf):
     folder = _folder(spark)
-    rows = derived.v1_log(spark, sf).withColumn("_third", F.floor((F.dayofmonth("timestamp") - 1) / 11))
-    for part in range(3):  # three deliveries, in this order, each a micro-batch
-        files = _log_files(spark, rows.filter(F.col("_third") == part).coalesce(1), folder, "append")
-    stream = log.file_log_stream(spark, files, max_files_per_trigger=1)
+    stream = _log_stream(spark, derived.v1_log(spark, sf), folder)
     jobs.await_all(
         jobs.v1_foreach_batch(
             stream, f"{folder}/bronze", f"{folder}/silver", f"{folder}/cp", as_of=F.col("kafka_timestamp")
@@ -742,6 +768,20 @@ def _(spark, sf):
 
 
 @query("late_row_audit")
+def _(spark, sf):
+    folder = _folder(spark)
+    _silver_stream(spark, sf, folder)
+    raw = log.bronze_projection(spark.read.schema(LOG_RECORD).parquet(f"{folder}/log/*"), F.col("timestamp"))
+    return triage.stream_audit(
+        parse.classify(raw, F.col("bronze_ingestion_ts")),
+        _committed(spark, folder, "parsed", SILVER_PARSED),
+        _committed(spark, folder, "dlq", DLQ),
+        ledger.progress(spark, f"{folder}/progress"),
+        ledger.remembered_keys(spark, f"{folder}/cp_silver"),
+    )
+
+
+@query("late_row_audit_of_tables")
 def _(spark, sf):
     rows = derived.classified(spark, sf)
     on_time = F.unix_timestamp("bronze_ingestion_ts") - F.unix_timestamp("event_ts") <= 2 * derived.HOUR

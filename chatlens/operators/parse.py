@@ -200,6 +200,37 @@ def stream_dedupe(
     raise ValueError(f"unknown dedupe mode {mode!r}")
 
 
+def stream_dedupe_classified(
+    classified: DataFrame,
+    watermark: str = DEFAULT_DEDUPE_WATERMARK,
+    mode: str = "within_watermark",
+    key: str = "event_id",
+) -> DataFrame:
+    """Stateful dedupe of the valid rows of a classified stream; failures pass it untouched.
+
+    One stream carries both outcomes, so raw rows are read and parsed once. For the watermark a
+    failure has no event time, hence is never late, and a key of its own, hence is never a copy; its
+    state entry expires with its batch. Payloads of valid rows are not shuffled. ``_mark``, the time
+    the watermark goes by, stays among the columns; pruned, it would no longer stop late rows.
+    """
+    good = F.col("outcome") == VALID
+    marked = classified.withColumns(
+        {
+            "raw_payload": F.when(~good, F.col("raw_payload")),
+            "_mark": F.when(good, F.col("event_ts")),
+            "_failure": F.when(~good, F.uuid()),
+        }
+    ).withWatermark("_mark", watermark)
+    keys = [key, "_failure"]
+    if mode == "within_watermark":
+        unique = marked.dropDuplicatesWithinWatermark(keys)
+    elif mode == "unbounded":
+        unique = marked.dropDuplicates(keys)
+    else:
+        raise ValueError(f"unknown dedupe mode {mode!r}")
+    return unique.drop("_failure")
+
+
 def json_object_check(payload: Column) -> Column:
     """Null for a JSON object, else ``invalid_json`` or ``payload_not_object``."""
     value = F.try_parse_json(payload)

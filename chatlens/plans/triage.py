@@ -186,6 +186,41 @@ def late_row_audit(classified: DataFrame, parsed: DataFrame) -> DataFrame:
     )
 
 
+def stream_audit(classified: DataFrame, parsed: DataFrame, dlq: DataFrame, progress: DataFrame, keys: DataFrame) -> DataFrame:
+    """One row that squares raw rows with what the stream wrote, dropped and still remembers.
+
+    ``progress`` has the stream's own counts of late rows and copies, ``keys`` its dedupe state. The
+    last two checks don't rely on them: events with valid raw rows but no parsed row, and remembered
+    keys that the last watermark should have removed.
+    """
+    rows = F.count(F.lit(1))
+    reached = progress.agg(F.max("watermark_ts")).scalar()
+    valid = classified.filter(F.col("outcome") == VALID).select("event_id").distinct()
+    parts = [
+        classified.agg(rows.alias("bronze_rows")),
+        parsed.agg(rows.alias("valid_rows")),
+        dlq.agg(rows.alias("dlq_rows")),
+        progress.agg(
+            F.sum("duplicate_rows").alias("duplicate_rows"),
+            F.sum("late_rows").alias("late_rows"),
+            F.max("watermark_ts").alias("final_watermark_ts"),
+        ),
+        valid.join(parsed.select("event_id").distinct(), "event_id", "left_anti").agg(rows.alias("lost_events")),
+        keys.agg(rows.alias("remembered_keys"), F.count_if(F.col("expires_ts") <= reached).alias("expired_keys")),
+    ]
+    told = parts[0]
+    for part in parts[1:]:
+        told = told.unionByName(part, allowMissingColumns=True)
+    counts = ("bronze_rows", "valid_rows", "dlq_rows", "duplicate_rows", "late_rows")
+    more = ("lost_events", "remembered_keys", "expired_keys")
+    result = told.agg(
+        *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in (*counts, *more)], F.max("final_watermark_ts").alias("final_watermark_ts")
+    )
+    accounted = F.col("valid_rows") + F.col("dlq_rows") + F.col("duplicate_rows") + F.col("late_rows")
+    unaccounted = (F.col("bronze_rows") - accounted).alias("unaccounted_rows")
+    return result.select(*counts, unaccounted, *more, "final_watermark_ts")
+
+
 def run_reconciliation(
     bronze: DataFrame, parsed: DataFrame, features: DataFrame, dlq: DataFrame
 ) -> DataFrame:

@@ -97,6 +97,16 @@ V1_SILVER = _struct(
     is_emote_only="boolean", emote_count="int", engagement_flag="boolean", ingest_ts="timestamp",
 )
 
+BATCH_LEDGER = _struct(
+    run_id="string!", job_name="string!", batch_id="bigint!", committed_ts="timestamp!", parsed_rows="bigint!",
+    dlq_rows="bigint!",
+)
+
+STREAM_PROGRESS = _struct(
+    run_id="string!", job_name="string!", batch_id="bigint!", input_rows="bigint!", late_rows="bigint!",
+    duplicate_rows="bigint!", watermark_ts="timestamp",
+)
+
 LOG_KEY = ("topic", "partition", "offset")
 
 

@@ -15,7 +15,7 @@ from pyspark.storagelevel import StorageLevel
 
 from chatlens.functions.message import message_features
 from chatlens.operators.merge import first_per_key, merge_update_status, new_rows
-from chatlens.operators.parse import classify, dead_letters, dedupe, stream_dedupe, valid_events
+from chatlens.operators.parse import classify, dead_letters, dedupe, stream_dedupe_classified, valid_events
 from chatlens.operators.v1 import parse_status, v1_enrich, v1_parsed_raw
 from chatlens.schemas import (
     BRONZE_STAGE,
@@ -27,7 +27,8 @@ from chatlens.schemas import (
     V1_BRONZE,
 )
 from chatlens.sources.log import bronze_projection
-from chatlens.streaming.sinks import dlq_sink, stream_append, with_batch_metadata
+from chatlens.streaming.ledger import routed_batch
+from chatlens.streaming.sinks import stream_append, with_batch_metadata
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -37,11 +38,13 @@ def state_settings(spark: SparkSession, partitions: int, on_disk: bool = True) -
     """Settings for stateful queries started inside the block.
 
     A query keeps the partition count of its first start for good, and adaptive execution does
-    not coalesce it, so it is chosen for the expected key volume. Large key sets belong on disk.
+    not coalesce it, so it is chosen for the expected key volume. Large key sets belong on disk; a
+    checkpoint then holds what each batch changed, not the whole state.
     """
     wanted = {"spark.sql.shuffle.partitions": str(partitions)}
     if on_disk:
         wanted["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB
+        wanted["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
     before = {name: spark.conf.get(name, None) for name in wanted}
     for name, value in wanted.items():
         spark.conf.set(name, value)
@@ -95,20 +98,22 @@ def bronze_to_silver_stream(
     available_now: bool = True,
     as_of: Column | None = None,
     literal_routing: bool = False,
-) -> tuple[StreamingQuery, StreamingQuery]:
-    """Validated events and failures, each with its own checkpoint. Await both.
+    ledger: str | None = None,
+) -> StreamingQuery:
+    """Validated events and failures from one query: raw rows are read, parsed and kept once a batch.
 
-    Only the validated branch shuffles (by event, into dedupe state).
+    The ledger (beside the checkpoint unless named) makes both writes of a batch one unit.
     """
-    classified = classify(bronze, as_of, literal_routing)
-    valid = stream_dedupe(valid_events(classified), watermark, dedupe_mode)
-    parsed_query = stream_append(
-        valid, parsed, checkpoint, run_id, PARSE_STAGE, ops_metrics, fmt, available_now
-    )
-    dlq_query = dlq_sink(
-        dead_letters(classified, as_of), dlq, f"{checkpoint}_dlq", available_now, run_id, PARSE_STAGE, ops_metrics, fmt
-    )
-    return parsed_query, dlq_query
+    unique = stream_dedupe_classified(classify(bronze, as_of, literal_routing), watermark, dedupe_mode)
+    write = routed_batch(parsed, dlq, ledger or ledger_of(checkpoint), run_id, PARSE_STAGE, ops_metrics, fmt, as_of)
+    writer = unique.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def ledger_of(checkpoint: str) -> str:
+    return f"{checkpoint.rstrip('/')}_ledger"
 
 
 def silver_to_features_stream(

@@ -12,6 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from chatlens.schemas import BATCH_METRICS
 
 BATCH_PARTITIONS = ["_run_id", "_job_name", "_batch_id"]
+EVENT_DATE = "event_date"
+LOG_TIMES = ("event_ts", "kafka_timestamp", "source_event_ts")  # when the log took a record: the same in every run
 METRICS_PARTITIONS = ["run_id", "job_name", "target_table", "batch_id"]
 
 
@@ -29,6 +31,12 @@ def with_batch_metadata(
     )
 
 
+def with_event_date(df: DataFrame) -> DataFrame:
+    """Add the day of the log time, which every run of a record shares; tables without one stay as they are."""
+    times = [c for c in LOG_TIMES if c in df.columns]
+    return df.withColumn(EVENT_DATE, F.to_date(times[0])) if times else df
+
+
 def _is_path(target: str) -> bool:
     return "/" in target
 
@@ -36,11 +44,14 @@ def _is_path(target: str) -> bool:
 def write_batch(stamped: DataFrame, target: str, fmt: str, run_id: str, job_name: str, batch_id: int) -> None:
     """Write one stamped batch so that writing it again replaces it.
 
-    Files and catalog tables: the batch owns its partitions, which a repeat overwrites. Delta: the
-    transaction id lets the table skip a repeat.
+    Files and catalog tables: the batch owns its partitions, which a repeat overwrites. They lie below
+    the event day, so a time range opens its days only. Delta: the transaction id lets the table
+    skip a repeat.
     """
     transaction = {"txnAppId": f"{run_id}:{job_name}:{target}", "txnVersion": str(batch_id)}
-    _write(stamped, target, fmt, BATCH_PARTITIONS, transaction)
+    dated = with_event_date(stamped)
+    days = [EVENT_DATE] if EVENT_DATE in dated.columns else []
+    _write(dated, target, fmt, [*days, *BATCH_PARTITIONS], transaction)
 
 
 def _write(df: DataFrame, target: str, fmt: str, partitions: list[str], transaction: dict[str, str]) -> None:
@@ -60,6 +71,11 @@ def _write(df: DataFrame, target: str, fmt: str, partitions: list[str], transact
         df.select(*columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(target)
 
 
+def replace_rows(rows: DataFrame, target: str, partitions: list[str], fmt: str = "parquet") -> None:
+    """Write small rows that own their partitions; writing them again replaces them."""
+    _write(rows, target, fmt, partitions, {})
+
+
 def batch_metrics_row(
     df: DataFrame, run_id: str, job_name: str, batch_id: int, processed_ts: datetime, row_count: int, target: str
 ) -> DataFrame:

@@ -12,6 +12,7 @@ from chatlens.functions.message import message_features
 from chatlens.operators import parse
 from chatlens.plans import health, triage
 from chatlens.schemas import (
+    BATCH_LEDGER,
     BATCH_METRICS,
     BRONZE_RAW,
     DLQ,
@@ -23,7 +24,7 @@ from chatlens.schemas import (
     with_write_metadata,
 )
 from chatlens.sources import log, tables
-from chatlens.streaming import jobs, sinks
+from chatlens.streaming import jobs, ledger, sinks
 
 T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
@@ -62,7 +63,7 @@ class Lake:
     def parse(self, **options):
         bronze = tables.stream_table_scan(self.spark, self.path("bronze"), with_write_metadata(BRONZE_RAW), max_files_per_trigger=1)
         jobs.await_all(
-            *jobs.bronze_to_silver_stream(
+            jobs.bronze_to_silver_stream(
                 bronze, self.path("parsed"), self.path("dlq"), self.path("cp_silver"), "r1", self.path("metrics"), **options
             )
         )
@@ -144,6 +145,84 @@ def test_restart_reads_only_new_files(lake):
     assert lake.offsets() == [1, 2]
 
 
+class Crash(Exception):
+    pass
+
+
+def test_a_crash_between_the_two_writes_leaves_no_half_batch(lake, spark, monkeypatch):
+    lake.deliver(record(1), record(2, value=b"broken"))
+    lake.capture()
+    lake.parse()
+    lake.deliver(record(3), record(4, value=b"broken"), record(1))
+    lake.capture()
+    plain = ledger.append_with_batch_metadata
+
+    def crash(batch, batch_id, target, *rest, **more):
+        if target.endswith("dlq"):
+            raise Crash
+        return plain(batch, batch_id, target, *rest, **more)
+
+    def shown(name, schema):
+        book = tables.read_table(spark, lake.path("cp_silver_ledger"), BATCH_LEDGER)
+        return sorted(r[0] for r in ledger.committed(lake.table(name, schema), book).select("source_offset").collect())
+
+    monkeypatch.setattr(ledger, "append_with_batch_metadata", crash)
+    with pytest.raises(Exception, match="Crash"):
+        lake.parse()
+    assert lake.offsets() == [1, 3]
+    assert (shown("parsed", SILVER_PARSED), shown("dlq", DLQ)) == ([1], [2])
+    monkeypatch.undo()
+    lake.parse()
+    assert lake.offsets() == [1, 3] and lake.offsets("dlq", DLQ) == [2, 4]
+    assert (shown("parsed", SILVER_PARSED), shown("dlq", DLQ)) == ([1, 3], [2, 4])
+
+
+def test_both_targets_come_from_one_scan(lake, spark):
+    """Raw rows are scanned and parsed once a batch, whatever the two writes read."""
+    lake.deliver(record(1), record(2, value=b"broken"))
+    lake.capture()
+    bronze = tables.stream_table_scan(spark, lake.path("bronze"), with_write_metadata(BRONZE_RAW))
+    query = jobs.bronze_to_silver_stream(bronze, lake.path("parsed"), lake.path("dlq"), lake.path("cp"), "r1")
+    jobs.await_all(query)
+    plan = query._jsq.explainInternal(True)
+    logical = plan[plan.index("== Optimized Logical Plan ==") : plan.index("== Physical Plan ==")]
+    assert logical.count("from_json") == 1
+    assert sum(source.numInputRows for report in query.recentProgress for source in report.sources) == 2
+
+
+def test_progress_and_state_tell_what_became_of_rows(lake, spark):
+    """Rows dropped as late and as copies, and the keys still remembered, over a restart."""
+    with jobs.state_settings(spark, 2):
+        for rows in ([record(1), record(1)], [record(2, 24), record(3, 24, b"broken")], [record(4, 1), record(2, 24), record(5, 23.5)]):
+            lake.deliver(*rows)
+            lake.capture()
+            bronze = tables.stream_table_scan(spark, lake.path("bronze"), with_write_metadata(BRONZE_RAW))
+            query = jobs.bronze_to_silver_stream(bronze, lake.path("parsed"), lake.path("dlq"), lake.path("cp_silver"), "r1")
+            jobs.await_all(query)
+            ledger.record_progress(query, lake.path("progress"), "r1", "silver_parse")
+    told = ledger.progress(spark, lake.path("progress"))
+    assert lake.offsets() == [1, 2, 5] and lake.offsets("dlq", DLQ) == [3]
+    assert told.agg(F.sum("input_rows"), F.sum("late_rows"), F.sum("duplicate_rows")).first()[:] == (7, 1, 2)
+    keys = ledger.remembered_keys(spark, lake.path("cp_silver"))
+    assert sorted(r["event_id"] for r in keys.collect()) == ["t:0:2", "t:0:5"]
+    audit = triage.stream_audit(
+        parse.classify(tables.read_table(spark, lake.path("bronze"), BRONZE_RAW)),
+        lake.table("parsed", SILVER_PARSED), lake.table("dlq", DLQ), told, keys,
+    ).first()
+    assert audit.asDict() == {
+        "bronze_rows": 7, "valid_rows": 3, "dlq_rows": 1, "duplicate_rows": 2, "late_rows": 1, "unaccounted_rows": 0,
+        "lost_events": 1, "remembered_keys": 2, "expired_keys": 0, "final_watermark_ts": datetime(2024, 1, 1, 22),
+    }
+    changelogs = [f for f in (lake_files(lake.path("cp_silver"))) if f.endswith(".changelog")]
+    assert changelogs
+
+
+def lake_files(root):
+    import os
+
+    return [f"{d}/{f}" for d, _, files in os.walk(root) for f in files]
+
+
 def spread(lake, mode):
     """Three batches: a day-old watermark, then a late new key and a copy of the first key."""
     for rows in ([record(1)], [record(2, 24)], [record(3, 48)]):
