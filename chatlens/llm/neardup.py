@@ -2,28 +2,21 @@
 
 Fingerprints are 64 bits; two link when at most ``budget`` bits differ. A trie over all of them
 would compare almost every pair of nodes before the errors add up, so the join starts below bits
-that agree. ``near_duplicates`` takes them from the pigeonhole principle: the bits are cut into
-``budget + 2`` blocks, two linked fingerprints agree on at least two of them, and for each choice of
-two blocks the fingerprints with the same bits there form one trie. Each trie is joined with
+that agree, taken from the pigeonhole principle: the bits are cut into ``budget + 2`` blocks, two
+linked fingerprints agree on at least two of them, and for each choice of two blocks the
+fingerprints with the same bits there form one trie. Each trie is joined with
 itself: pairs of nodes descend together, bits that differ add up, and a pair is dropped once it is
 over budget, empty, or wholly in one known component. Only links that join components are kept, a
 spanning forest, so no link is lost and dense groups don't multiply.
 
-``keep_one`` has to find pairs of a similarity of ``SIMILARITY`` or more in their five-word shingles,
-which differ in up to ``FAR`` bits, beyond what blocks can select. Its tries lie below ``TABLES``
-samples of ``SAMPLE`` bits as well: a pair that differs in 8 of 64 bits agrees on some sample with a
-probability of 0.999, one in 10 bits with 0.97, one in 12 with 0.77. Pairs over ``TRUSTED`` bits
-apart are verified by the Jaccard similarity of their shingles. The smallest ``SKETCH`` hashes of
-both decide where they are all hashes or where the estimate is at least ``CLEAR`` from
-``SIMILARITY``; pairs in between that the certain links leave apart are decided by all hashes.
-
 Tries with more than ``UNIT`` fingerprints are dealt over salts, and each pair of salts is joined
 on its own, so no task holds more than two salts of a hot trie. Copies share a fingerprint and
 take part once. Components come from the links by contraction; nothing is gathered on the driver.
 
 Defined cases: null, empty and blank texts have no words and fingerprint zero, which links like any
 other; null ids never name a component (it is null when all its ids are); repeated rows are
-returned as often as they occur; other columns are ignored; an empty table gives an empty result.
+returned as often as they occur; other columns are ignored, and ``keep_one`` keeps them all; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatlens.llm.components import components
-from chatlens.llm.staging import stage
+from chatlens.llm.staging import scratch, stage
 
 SEED = 42
 BITS = 64
@@ -47,13 +40,6 @@ UNIT = 4096
 FRONTIER = 1 << 18
 HASHES = 1 << 16
 BATCH = 1 << 17
-TRUSTED = 4
-FAR = 16
-TABLES = 128
-SAMPLE = 18
-SIMILARITY = 0.8
-SKETCH = 128
-CLEAR = 0.12  # 3.4 standard errors of an estimate at SIMILARITY
 LOOK = 64  # hot tries are looked for among one in so many fingerprints; salting changes no result
 
 
@@ -85,26 +71,6 @@ def _majority(pieces: Iterable[np.ndarray]) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<i8")[0])
 
 
-def sketch(pieces: Iterable[np.ndarray]) -> bytes:
-    """The smallest different hashes, cut to 32 bits, in order."""
-    least = np.zeros(0, dtype="<u4")
-    for hashes in pieces:
-        least = np.unique(np.concatenate([least, (hashes >> np.uint64(32)).astype("<u4")]))[:SKETCH]
-    return least.tobytes()
-
-
-def similarity(a: bytes, b: bytes) -> float:
-    """Jaccard similarity of two sketched sets: exact while both are complete."""
-    x, y = np.frombuffer(a, dtype="<u4"), np.frombuffer(b, dtype="<u4")
-    union = np.union1d(x, y)
-    if len(x) == SKETCH or len(y) == SKETCH:
-        union = union[:SKETCH]
-    if not len(union):
-        return 1.0
-    both = np.intersect1d(x, y, assume_unique=True)
-    return float((both <= union[-1]).sum()) / len(union)
-
-
 def fingerprint(text: Column, size: int = 4) -> Column:
     """The fingerprint of a text column as a long."""
 
@@ -115,35 +81,6 @@ def fingerprint(text: Column, size: int = 4) -> Column:
     return of(text)
 
 
-def verdict(a: bytes, b: bytes) -> bool | None:
-    """What two sketches say for certain of SIMILARITY; None where all hashes have to decide."""
-    found = similarity(a, b)
-    complete = max(len(a), len(b)) < 4 * SKETCH
-    return found >= SIMILARITY if complete or abs(found - SIMILARITY) >= CLEAR else None
-
-
-def exact_similarity(a: bytes, b: bytes) -> float:
-    """Jaccard similarity of two whole sets of hashes."""
-    x, y = np.frombuffer(a, dtype="<u8"), np.frombuffer(b, dtype="<u8")
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / (len(x) + len(y) - both) if len(x) or len(y) else 1.0
-
-
-def fingerprint_and_sketch(text: Column, size: int) -> Column:
-    """All from one pass over the text, as a struct of fp, sketch and all different hashes."""
-
-    @F.pandas_udf("fp long, sketch binary, hashes binary")
-    def of(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text in texts:
-            pieces = list(shingle_hashes(text, size))
-            hashes = np.unique(np.concatenate(pieces)) if pieces else np.zeros(0, dtype="<u8")
-            rows.append((_majority(pieces), sketch(pieces), hashes.tobytes()))
-        return pd.DataFrame(rows, columns=["fp", "sketch", "hashes"])
-
-    return of(text)
-
-
 class _Forest:
     """Smallest-member labels of the linked values of one batch."""
 
@@ -169,11 +106,10 @@ class _Forest:
         return np.concatenate([[0], np.cumsum(self.label[1:] != self.label[:-1])])
 
 
-def trie_links(unit: np.ndarray, values: np.ndarray, budget: int, trusted: int) -> tuple[np.ndarray, np.ndarray]:
+def trie_links(unit: np.ndarray, values: np.ndarray, budget: int) -> np.ndarray:
     """Self-join of the tries of values sorted by unit and value.
 
-    Returns the positions of the smallest value each one is linked to by at most ``trusted`` bits,
-    and the pairs of positions of different components within ``budget`` bits.
+    Returns the position of the smallest value that each one is connected with by links of at most ``budget`` bits.
     A trie node is a range of the sorted values. Pairs of nodes of the same unit start at its root.
     """
     n = len(values)
@@ -182,9 +118,8 @@ def trie_links(unit: np.ndarray, values: np.ndarray, budget: int, trusted: int)
         turned = values if not turn else (values << np.uint64(turn)) | (values >> np.uint64(BITS - turn))
         order = np.lexsort((turned, unit))
         i, j = order[:-1], order[1:]
-        near = (unit[i] == unit[j]) & (np.bitwise_count(values[i] ^ values[j]) <= trusted)
+        near = (unit[i] == unit[j]) & (np.bitwise_count(values[i] ^ values[j]) <= budget)
         forest.link(i[near], j[near])
-    far: list[np.ndarray] = []
     start = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1]]))
     end = np.append(start[1:], n)
     several = end - start > 1
@@ -200,10 +135,8 @@ def trie_links(unit: np.ndarray, values: np.ndarray, budget: int, trusted: int)
         two = same & (hi1 - lo1 == 2)
         leaf = open_ & (two | (~same & (hi1 - lo1 == 1) & (hi2 - lo2 == 1)))
         i, j = lo1[leaf], lo2[leaf] + two[leaf]
-        apart = np.bitwise_count(values[i] ^ values[j])
-        forest.link(i[apart <= trusted], j[apart <= trusted])
-        within = (apart > trusted) & (apart <= budget)
-        far.append(np.stack([i[within], j[within]]))
+        near = np.bitwise_count(values[i] ^ values[j]) <= budget
+        forest.link(i[near], j[near])
         down = open_ & ~leaf
         lo1, hi1, lo2, hi2, err, same = (x[down] for x in (lo1, hi1, lo2, hi2, err, same))
         if not len(lo1) or bit < 0:
@@ -225,30 +158,21 @@ def trie_links(unit: np.ndarray, values: np.ndarray, budget: int, trusted: int)
         children = [np.concatenate(x) for x in zip(*kept)]
         for at in range(0, len(children[0]), FRONTIER):
             stack.append((bit - 1, *(x[at : at + FRONTIER] for x in children)))
-    pairs = np.concatenate(far, axis=1) if far else np.zeros((2, 0), dtype=np.int64)
-    return forest.label, pairs[:, forest.label[pairs[0]] != forest.label[pairs[1]]]
+    return forest.label
 
 
-def _joined(masks: list[int], budget: int, trusted: int):
+def _joined(budget: int):
     """Batches sorted by unit -> links; the unit that a batch ends in waits for the next batch."""
-    bits = np.array(masks, dtype=np.uint64)
 
     def links_of(frame: pd.DataFrame) -> pa.RecordBatch:
         values = frame["fp"].to_numpy().view(np.uint64)
         unit = frame.groupby(["unit", "key"], sort=False).ngroup().to_numpy()
         order = np.lexsort((values, unit))
-        values, unit, table = values[order], unit[order], (frame["unit"].to_numpy() >> 40)[order]
-        label, (i, j) = trie_links(unit, values, budget, trusted)
-        xor = values[i] ^ values[j]
-        first = np.full(len(i), True)  # of the tables in which a pair meets
-        for k in range(len(bits)):
-            first &= (table[i] <= k) | ((xor & bits[k]) != 0)
-        i, j = i[first], j[first]
+        values, unit = values[order], unit[order]
+        label = trie_links(unit, values, budget)
         moved = np.flatnonzero(label != np.arange(len(label)))
         signed = values.view(np.int64)
-        a, b = np.concatenate([signed[moved], signed[i]]), np.concatenate([signed[label[moved]], signed[j]])
-        far = np.concatenate([np.zeros(len(moved), dtype=bool), np.ones(len(i), dtype=bool)])
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(far)], ["a", "b", "far"])
+        return pa.RecordBatch.from_arrays([pa.array(signed[moved]), pa.array(signed[label[moved]])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pd.DataFrame] = []
@@ -275,14 +199,9 @@ def block_masks(budget: int) -> list[int]:
     return [x | y for x, y in combinations(masks, 2)]
 
 
-def sampled_masks(tables: int = TABLES, bits: int = SAMPLE) -> list[int]:
-    """Fixed random samples of bits."""
-    rng = np.random.default_rng(SEED)
-    return [sum(1 << int(b) for b in rng.choice(BITS, bits, replace=False)) for _ in range(tables)]
-
-
-def hamming_pairs(distinct: DataFrame, masks: list[int], budget: int, trusted: int) -> DataFrame:
-    """Distinct ``fp`` -> (a, b, far): links within ``trusted`` bits, as a forest, and far pairs within ``budget``."""
+def hamming_links(distinct: DataFrame, budget: int) -> DataFrame:
+    """Distinct ``fp`` -> links (a, b) that connect all fingerprints within ``budget`` bits."""
+    masks = block_masks(budget)
     signed = [F.lit(m - (1 << BITS) if m >> (BITS - 1) else m).cast("long") for m in masks]
 
     def keyed(rows: DataFrame) -> DataFrame:
@@ -303,44 +222,7 @@ def hamming_pairs(distinct: DataFrame, masks: list[int], budget: int, trusted: i
     key = F.col("fp").bitwiseAND(F.element_at(F.array(*signed), (F.shiftright("unit", 40) + 1).cast("int")))
     units = salted.select((F.shiftleft("r", 40) + F.col("s")).alias("unit"), "fp").repartition("unit", key)
     sorted_units = units.select("unit", key.alias("key"), "fp").sortWithinPartitions("unit", "key")
-    return sorted_units.mapInArrow(_joined(masks, budget, trusted), "a long, b long, far boolean")
-
-
-def hamming_links(distinct: DataFrame, budget: int) -> DataFrame:
-    """Distinct ``fp`` -> links (a, b) that connect all fingerprints within ``budget`` bits."""
-    return hamming_pairs(distinct, block_masks(budget), budget, budget).select("a", "b")
-
-
-def similar_links(prints: DataFrame, sketched: DataFrame, links: DataFrame) -> DataFrame:
-    """Links of near fingerprints -> those, and the pairs (a, b) of samples that are similar enough in their shingles.
-
-    Clear pairs are decided by sketches. The others matter only between components of the links so
-    far; their whole sets of hashes, of ``prints`` (fp, sketch, hashes), are fetched and compared.
-    """
-    found = hamming_pairs(sketched.select("fp"), sampled_masks(), FAR, TRUSTED).where("far")
-    pairs = stage(found.select("a", "b").distinct())
-    named = lambda c: sketched.select(F.col("fp").alias(c), F.col("sketch").alias(f"s{c}"))
-
-    @F.pandas_udf("boolean")
-    def clear(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([verdict(a, b) for a, b in zip(x, y)], dtype="object")
-
-    @F.pandas_udf("boolean")
-    def similar(x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([exact_similarity(a, b) >= SIMILARITY for a, b in zip(x, y)], dtype="bool")
-
-    both = pairs.join(named("a"), "a").join(named("b"), "b")
-    told = stage(both.select("a", "b", clear("sa", "sb").alias("similar")))
-    links = stage(links.unionByName(told.where("similar").select("a", "b")))
-    roots = stage(components(links))
-    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
-    open_ = told.where("similar IS NULL").select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
-    open_ = stage(open_.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"))
-    needed = open_.select(F.col("a").alias("fp")).unionByName(open_.select(F.col("b").alias("fp"))).distinct()
-    sets = stage(prints.join(needed, "fp", "left_semi").groupBy("fp").agg(F.min_by("hashes", F.struct("sketch", "hashes")).alias("hashes")))
-    whole = lambda c: sets.select(F.col("fp").alias(c), F.col("hashes").alias(f"h{c}"))
-    verified = open_.join(whole("a"), "a").join(whole("b"), "b").where(similar("ha", "hb"))
-    return links.unionByName(verified.select("a", "b"))
+    return sorted_units.mapInArrow(_joined(budget), "a long, b long")
 
 
 def clusters(prints: DataFrame, links: DataFrame) -> DataFrame:
@@ -348,41 +230,45 @@ def clusters(prints: DataFrame, links: DataFrame) -> DataFrame:
 
     fp, component (its smallest fp), component_id (the smallest id of the component), first_id (of the fp).
     """
-    distinct = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(links)
-    rooted = stage(
-        distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
-            "fp", "first_id", F.coalesce("root", "fp").alias("component")
+    with scratch(prints.sparkSession):
+        distinct = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+        roots = components(links)
+        rooted = stage(
+            distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
+                "fp", "first_id", F.coalesce("root", "fp").alias("component")
+            )
         )
-    )
-    firsts = stage(rooted.groupBy("component").agg(F.min("first_id").alias("component_id")))
-    return stage(rooted.join(firsts, "component").select("fp", "component", "component_id", "first_id"))
+        firsts = stage(rooted.groupBy("component").agg(F.min("first_id").alias("component_id")))
+        return stage(rooted.join(firsts, "component").select("fp", "component", "component_id", "first_id"), keep=True)
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, budget: int = 4) -> DataFrame:
     """doc_id, fp, component_id: the smallest id reachable over links, one row per document."""
-    prints = stage(docs.select(docs["doc_id"], fingerprint(docs["text"], size).alias("fp")))
-    links = hamming_links(stage(prints.select("fp").distinct()), budget)
-    found = clusters(prints, links).select(F.col("fp").alias("_fp"), "component_id")
+    with scratch(docs.sparkSession):
+        prints = stage(docs.select(docs["doc_id"], fingerprint(docs["text"], size).alias("fp")), keep=True)
+        links = hamming_links(stage(prints.select("fp").distinct()), budget)
+        found = stage(clusters(prints, links).select(F.col("fp").alias("_fp"), "component_id"), keep=True)
     return prints.join(found, prints["fp"] == found["_fp"]).select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, size: int = 5) -> DataFrame:
-    """One document of each group of similar ones, the one with the smallest id, with all its columns.
+def keep_one(docs: DataFrame, size: int = 4, budget: int = 4) -> DataFrame:
+    """One document of each component, the one with the smallest id, with all its columns.
 
-    Fingerprints, sketches and shingle hashes are written, the texts are not; they are fingerprinted again where the
-    rows are chosen. Each task first keeps its best row for a fingerprint, so a hot group sends one
-    row per task; texts are shuffled once, by fingerprint.
+    Fingerprints travel with a hash of id and text; the texts are shuffled once, by that hash, each
+    task sending one of equal rows. Of rows with the smallest id, the one with the smallest hash stays.
     """
-    prints = docs.select(docs["doc_id"].alias("doc_id"), fingerprint_and_sketch(docs["text"], size).alias("p"))
-    prints = stage(prints.select("doc_id", "p.fp", "p.sketch", "p.hashes"))
-    sketched = stage(prints.groupBy("fp").agg(F.min("sketch").alias("sketch")))
-    links = similar_links(prints, sketched, hamming_links(sketched.select("fp"), TRUSTED))
-    found = clusters(prints.select("doc_id", "fp"), links)
-    order = F.struct(F.col("first_id").isNull(), "first_id", "fp")
-    keepers = stage(found.groupBy("component").agg(F.min_by("fp", order).alias("fp")).select("fp"))
-    row = F.struct(*[docs[c] for c in docs.columns])
-    rows = docs.select(row.alias("_row"), docs["doc_id"].alias("_id"), fingerprint(docs["text"], size).alias("fp"))
-    best = Window.partitionBy("fp").orderBy(F.col("_id").asc_nulls_last(), F.xxhash64("_row.text"))
-    firsts = rows.withColumn("_rank", F.row_number().over(best)).where("_rank = 1")
-    return firsts.join(keepers, "fp", "left_semi").select("_row.*")
+    key, number = F.xxhash64(docs["doc_id"], docs["text"]), F.coalesce(docs["doc_id"].cast("long"), F.lit(0).cast("long"))
+    with scratch(docs.sparkSession):
+        prints = docs.select(docs["doc_id"], key.alias("key"), number.alias("number"), fingerprint(docs["text"], size).alias("fp"))
+        prints = stage(prints)
+        links = hamming_links(stage(prints.select("fp").distinct()), budget)
+        found = clusters(prints, links)
+        order = F.struct(F.col("first_id").isNull(), "first_id", "fp")
+        chosen = found.groupBy("component").agg(F.min_by("fp", order).alias("fp")).select("fp")
+        row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "number", "key")
+        keepers = prints.join(chosen, "fp", "left_semi").groupBy("fp").agg(F.min(row).alias("row"))
+        keepers = stage(keepers.select(F.col("row.key").alias("_key"), F.col("row.number").alias("_number")), keep=True)
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), key.alias("_key"), number.alias("_number"))
+    same = Window.partitionBy("_key", "_number").orderBy("_key")
+    firsts = rows.withColumn("_rank", F.row_number().over(same)).where("_rank = 1")
+    return firsts.join(keepers, ["_key", "_number"], "left_semi").select("_row.*")
