@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from chatlens.llm import decontam, mixing, neardup, quality, sharding
-from chatlens.llm.staging import stage
+from chatlens.llm.staging import scratch, stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -18,8 +18,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return neardup.keep_one(docs)
+    """One document of each group of near-duplicates: four-word shingles, four bits."""
+    return neardup.keep_one(docs, size=4, budget=4)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,5 +52,6 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir))
+        with scratch(spark):  # what the stage wrote on its way goes once its output is there
+            docs = stage(step(spark, docs, sf_dir), keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)
