@@ -413,6 +413,8 @@ BRONZE_COLUMNS = (
     "'chat_raw' AS source_topic, part AS source_partition, event_id AS source_offset, ts AS kafka_timestamp, "
     "CAST(0 AS INTEGER) AS kafka_timestamp_type, CAST(user_id AS VARCHAR) AS raw_key"
 )
+TWO_BATCHES = """payload AS raw_payload, arrival AS bronze_ingestion_ts, 'run_a' AS _run_id, 'bronze_ingest' AS _job_name,
+  CAST(day(ts) >= 16 AS BIGINT) AS _batch_id, TIMESTAMP '2024-03-15' AS _batch_processed_ts, CAST(ts AS DATE) AS event_date"""
 _add("bronze_projection", f"SELECT {BRONZE_COLUMNS}, payload AS raw_payload, arrival AS bronze_ingestion_ts FROM log")
 _add("staging_scan", "SELECT * FROM met")
 _add(
@@ -423,8 +425,11 @@ _add(
 _add("v1_raw_projection", "SELECT * FROM v1raw")
 _add(
     "append_with_batch_metadata",
-    f"""SELECT {BRONZE_COLUMNS}, payload AS raw_payload, arrival AS bronze_ingestion_ts, 'run_a' AS _run_id,
-  'bronze_ingest' AS _job_name, hour AS _batch_id, to_timestamp_utc(hour, -30, 'run_a') AS _batch_processed_ts FROM bron""",
+    f"SELECT {BRONZE_COLUMNS}, {TWO_BATCHES} FROM log",
+)
+_add(
+    "schema_evolution_append",
+    f"SELECT {BRONZE_COLUMNS}, {TWO_BATCHES}, CASE WHEN day(ts) >= 16 THEN CAST(length(payload) AS INTEGER) END AS payload_length FROM log",
 )
 _add(
     "merge_insert_new",
@@ -748,7 +753,7 @@ _add("dlq_sink", "SELECT * REPLACE (TIMESTAMP '2024-03-15' AS dlq_ingestion_ts)
 _add(
     "idempotent_batch_write",
     f"""SELECT {BRONZE_COLUMNS}, payload AS raw_payload, arrival AS bronze_ingestion_ts, 'run_a' AS _run_id, 'bronze_ingest' AS _job_name,
-  CAST(3 AS BIGINT) AS _batch_id FROM log""",
+  CAST(3 AS BIGINT) AS _batch_id, CAST(ts AS DATE) AS event_date FROM log""",
 )
 _add(
     "skip_empty_batch",

@@ -41,13 +41,14 @@ from chatlens.schemas import (
     with_write_metadata,
 )
 from chatlens.session import checkpoint_root, configure
-from chatlens.sources import derived, log, tables
+from chatlens.sources import derived, evolution, log, tables
 from chatlens.streaming import jobs, ledger, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = datetime(2024, 3, 15, tzinfo=timezone.utc)
 RUNS = ("run_a", "run_b")
+CLOSED = datetime(2024, 1, 16).date()
 
 QUERIES: dict[str, Query] = {}
 
@@ -99,13 +100,27 @@ def _(spark, sf):
 # --- sinks and merges ----------------------------------------------------------------------
 
 
+def _batches(spark, sf, target, second: Callable[[DataFrame], DataFrame] = lambda df: df):
+    """Raw rows through the sink: days before the 16th as batch 0, the others as batch 1."""
+    rows = derived.bronze(spark, sf)
+    late = F.dayofmonth("kafka_timestamp") >= 16
+    for batch_id, batch in enumerate((rows.filter(~late), second(rows.filter(late)))):
+        sinks.append_with_batch_metadata(batch, batch_id, target, "run_a", "bronze_ingest", clock=lambda: AS_OF)
+
+
 @query("append_with_batch_metadata")
 def _(spark, sf):
-    rows = derived.bronze(spark, sf)
-    batch_id = derived.batch_of(F.col("kafka_timestamp"))
-    return sinks.with_batch_metadata(
-        rows, "run_a", "bronze_ingest", batch_id, derived.batch_time(F.lit("run_a"), batch_id, -30)
-    )
+    target = f"{_folder(spark)}/bronze"
+    _batches(spark, sf, target)
+    return sinks.read_batches(spark, target, BRONZE_RAW)
+
+
+@query("schema_evolution_append")
+def _(spark, sf):
+    """The second batch brings a column; rows of the first have nulls there."""
+    target = f"{_folder(spark)}/bronze"
+    _batches(spark, sf, target, lambda df: df.withColumn("payload_length", F.length("raw_payload")))
+    return evolution.read_evolved(spark, target)
 
 
 @query("batch_metrics_row")
@@ -152,12 +167,14 @@ def _(spark, sf):
 
 @query("idempotent_batch_write")
 def _(spark, sf):
+    """A batch, compaction of its closed days, and the batch once more."""
     target = f"{_folder(spark)}/bronze"
     rows = derived.bronze(spark, sf)
     for _attempt in ("first", "repeated"):
         sinks.append_with_batch_metadata(rows, 3, target, "run_a", "bronze_ingest")
-    written = tables.read_table(spark, target, with_write_metadata(BRONZE_RAW))
-    return written.drop("_batch_processed_ts")
+        sinks.compact_days(spark, target, BRONZE_RAW, CLOSED)
+    sinks.append_with_batch_metadata(rows.filter(F.dayofmonth("kafka_timestamp") < 5), 3, target, "run_a", "bronze_ingest")
+    return sinks.read_batches(spark, target, BRONZE_RAW).drop("_batch_processed_ts")
 
 
 @query("skip_empty_batch")
@@ -752,6 +769,7 @@ def _(spark, sf):
             stream, f"{folder}/bronze", f"{folder}/silver", f"{folder}/cp", as_of=F.col("kafka_timestamp")
         )
     )
+    jobs.compact_statuses(spark, f"{folder}/bronze", least_files=2)
     raw = jobs.v1_bronze(spark, f"{folder}/bronze")
     silver = tables.read_table(spark, f"{folder}/silver", V1_SILVER)
     return raw.join(silver.drop("kafka_timestamp", "ingest_ts"), list(LOG_KEY), "left").select(
@@ -761,8 +779,12 @@ def _(spark, sf):
 
 @query("replay")
 def _(spark, sf):
+    """Some days of a table that lies by day, of which the closed ones are compacted."""
+    target = f"{_folder(spark)}/bronze"
+    _batches(spark, sf, target)
+    sinks.compact_days(spark, target, BRONZE_RAW, datetime(2024, 1, 23).date())
     start, end = datetime(2024, 1, 20, tzinfo=timezone.utc), datetime(2024, 1, 25, tzinfo=timezone.utc)
-    scope = jobs.replay_scope(derived.bronze(spark, sf), start, end)
+    scope = jobs.replay_scope(sinks.read_batches(spark, target, BRONZE_RAW), start, end)
     valid, _dead = jobs.replay(scope, "run_b", 0, as_of(), F.col("bronze_ingestion_ts"))
     return valid
 

@@ -6,11 +6,10 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 from pyspark.storagelevel import StorageLevel
 
 from chatlens.functions.message import message_features
@@ -26,9 +25,10 @@ from chatlens.schemas import (
     SILVER_PARSED,
     V1_BRONZE,
 )
+from chatlens.sources.layout import compact, read_layout
 from chatlens.sources.log import bronze_projection
 from chatlens.streaming.ledger import routed_batch
-from chatlens.streaming.sinks import stream_append, with_batch_metadata
+from chatlens.streaming.sinks import EVENT_DATE, stream_append, with_batch_metadata
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -132,71 +132,82 @@ def silver_to_features_stream(
     )
 
 
-V1_PARTITIONS = ["_batch_id", "_log_date"]
-V1_PARTITION_FIELDS = [StructField("_batch_id", LongType()), StructField("_log_date", DateType())]
-
-
-def _own_batch(rows: DataFrame, path: str, batch_id: int, partitions: list[str]) -> None:
-    """Each batch owns its partitions, so a repeated batch replaces its own rows only."""
-    stamped = rows.withColumn("_batch_id", F.lit(batch_id).cast("bigint"))
-    writer = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*partitions).parquet(path)
+# First-generation tables lie by segments of the log, so a key says in which partition to look for it.
+SEGMENT = StructField("_segment", StringType())
+SEGMENT_OFFSETS = 1 << 20
+V1_OWNER = ["_batch_id"]
+BATCH_ID = StructField("_batch_id", LongType())
+STATUS_FIELDS = [StructField("parse_status", StringType()), StructField("parse_error", StringType())]
+STATUS = StructType([*(V1_BRONZE[k] for k in LOG_KEY), *STATUS_FIELDS, BATCH_ID])
 
 
-def _v1_append(rows: DataFrame, path: str, batch_id: int) -> None:
-    _own_batch(rows.withColumn("_log_date", F.to_date("kafka_timestamp")), path, batch_id, V1_PARTITIONS)
+def in_segments(rows: DataFrame, offsets: int = SEGMENT_OFFSETS) -> DataFrame:
+    """Add the segment of a row's key: its topic, partition and range of so many offsets."""
+    place = F.concat_ws("-", F.col("topic"), F.col("partition"), F.floor(F.col("offset") / offsets))
+    known = F.col("topic").isNotNull() & F.col("partition").isNotNull() & F.col("offset").isNotNull()
+    return rows.withColumn(SEGMENT.name, F.when(known, place).otherwise("none"))
 
 
-def _stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
-    """What earlier batches wrote, or None before the first."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+def _own_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Each batch owns its partitions, so a repeated batch replaces its own rows only."""
+    stamped = rows.withColumn(BATCH_ID.name, F.lit(batch_id).cast("bigint"))
+    writer = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(SEGMENT.name, *V1_OWNER).parquet(path)
 
 
-def _absent(rows: DataFrame, path: str, batch_id: int, order: list[str]) -> DataFrame:
+def _absent(rows: DataFrame, path: str, batch_id: int, order: list[str], segments: list[str]) -> DataFrame:
     """Rows whose log key no *other* batch has written yet, first copy per key.
 
-    Keys match in full. The target scan reads key columns in the batch's range of offsets, which
-    are part of the key, so it can skip row groups without missing a match.
+    Keys match in full. The target scan opens the segments of the batch only, and reads key columns in
+    the batch's range of offsets, so it can skip row groups without missing a match.
     """
-    keys = StructType([V1_BRONZE[k] for k in LOG_KEY] + V1_PARTITION_FIELDS[:1])
-    table = _stored(rows.sparkSession, path, keys)
+    keys = StructType([*(V1_BRONZE[k] for k in LOG_KEY), BATCH_ID])
+    table = read_layout(rows.sparkSession, path, keys, SEGMENT, V1_OWNER)
     if table is None:
         return first_per_key(rows, LOG_KEY, order)
-    return new_rows(table.filter(F.col("_batch_id") != batch_id), rows, LOG_KEY, order, prune_on="offset")
+    others = table.filter(F.col(SEGMENT.name).isin(segments) & (F.col(BATCH_ID.name) != batch_id))
+    return new_rows(others.drop(SEGMENT.name), rows, LOG_KEY, order, prune_on="offset")
 
 
-STATUS_FIELDS = [StructField("parse_status", StringType()), StructField("parse_error", StringType())]
+def status_log(bronze: str) -> str:
+    return f"{bronze.rstrip('/')}_status"
 
 
-def _status_path(bronze: str) -> str:
-    return f"{bronze.rstrip('/')}_status"
+def _newest_status(statuses: DataFrame) -> DataFrame:
+    columns = [*(f.name for f in STATUS_FIELDS), BATCH_ID.name]
+    newest = F.max_by(F.struct(*columns), BATCH_ID.name).alias("_newest")
+    return statuses.groupBy(*LOG_KEY, SEGMENT.name).agg(newest).select(*LOG_KEY, "_newest.*", SEGMENT.name)
 
 
 def v1_bronze(spark: SparkSession, bronze: str) -> DataFrame:
     """Raw rows with the newest status of their key.
 
-    Files cannot be updated in place, so each batch adds the statuses of its keys to a narrow table
-    beside the raw rows, and reading merges the newest one per key.
+    Files cannot be updated in place, so each batch adds the statuses of its keys to a narrow log
+    beside the raw rows. Reading merges the newest one per key: of the compacted log, which has one
+    row per key, and of the batches since.
     """
-    raw = spark.read.schema(V1_BRONZE).parquet(bronze)
-    fields = [V1_BRONZE[k] for k in LOG_KEY] + STATUS_FIELDS + V1_PARTITION_FIELDS[:1]
-    statuses = _stored(spark, _status_path(bronze), StructType(fields))
+    raw = read_layout(spark, bronze, StructType([*V1_BRONZE.fields, BATCH_ID]), SEGMENT, V1_OWNER).select(*V1_BRONZE.fieldNames())
+    statuses = read_layout(spark, status_log(bronze), STATUS, SEGMENT, V1_OWNER)
     if statuses is None:
         return raw
     columns = [f.name for f in STATUS_FIELDS]
-    newest = statuses.groupBy(*LOG_KEY).agg(F.max_by(F.struct(*columns), "_batch_id").alias("_newest"))
-    return merge_update_status(raw, newest.select(*LOG_KEY, "_newest.*"), LOG_KEY, columns)
+    return merge_update_status(raw, _newest_status(statuses).select(*LOG_KEY, *columns), LOG_KEY, columns)
+
+
+def compact_statuses(spark: SparkSession, bronze: str, least_files: int = 8) -> list[str]:
+    """Reduce the status log to one row per key in the segments with so many files; run it between batches."""
+    return compact(
+        spark, status_log(bronze), STATUS, SEGMENT, V1_OWNER, ["offset"], lambda segment: True, least_files, merge=_newest_status
+    )
 
 
-def v1_batch(bronze: str, silver: str, as_of: Column | None = None) -> Callable[[DataFrame, int], None]:
+def v1_batch(
+    bronze: str, silver: str, as_of: Column | None = None, segment_offsets: int = SEGMENT_OFFSETS
+) -> Callable[[DataFrame, int], None]:
     """One micro-batch function: raw insert-if-absent, parse, enrich, status of every key in the batch.
 
-    Payloads are parsed once, into the stored batch that all writes read.
+    Payloads are parsed once, into the stored batch that all writes read. The list of the batch's
+    segments is all that comes to the driver.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -205,13 +216,14 @@ def v1_batch(bronze: str, silver: str, as_of: Column | None = None) -> Callable[
         now = F.lit(datetime.now(timezone.utc)) if as_of is None else as_of
         parsed = v1_parsed_raw(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            segments = [r[0] for r in in_segments(parsed, segment_offsets).select(SEGMENT.name).distinct().collect()]
             status = parse_status(parsed)
             raw = parsed.withColumn("ingest_ts", now).drop("parse_ok")
-            raw = _absent(raw, bronze, batch_id, ["json_payload"]).join(status, list(LOG_KEY), "left")
-            _v1_append(raw.select(*V1_BRONZE.fieldNames()), bronze, batch_id)
-            good = _absent(parsed.filter("parse_ok"), silver, batch_id, ["json_payload"])
-            _v1_append(v1_enrich(good, now), silver, batch_id)
-            _own_batch(status, _status_path(bronze), batch_id, V1_PARTITIONS[:1])
+            raw = _absent(raw, bronze, batch_id, ["json_payload"], segments).join(status, list(LOG_KEY), "left")
+            _own_batch(in_segments(raw.select(*V1_BRONZE.fieldNames()), segment_offsets), bronze, batch_id)
+            good = _absent(parsed.filter("parse_ok"), silver, batch_id, ["json_payload"], segments)
+            _own_batch(in_segments(v1_enrich(good, now), segment_offsets), silver, batch_id)
+            _own_batch(in_segments(status, segment_offsets), status_log(bronze), batch_id)
         finally:
             parsed.unpersist()
 
@@ -225,8 +237,10 @@ def v1_foreach_batch(
     checkpoint: str,
     available_now: bool = True,
     as_of: Column | None = None,
+    segment_offsets: int = SEGMENT_OFFSETS,
 ) -> StreamingQuery:
-    writer = log.writeStream.option("checkpointLocation", checkpoint).foreachBatch(v1_batch(bronze, silver, as_of))
+    write = v1_batch(bronze, silver, as_of, segment_offsets)
+    writer = log.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
@@ -240,12 +254,18 @@ def replay_scope(
     partition: int | None = None,
     offsets: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """Raw rows of a half-open time window and/or an inclusive offset range."""
+    """Raw rows of a half-open time window and/or an inclusive offset range.
+
+    A table that lies by event day opens the days of the window only.
+    """
     scope = bronze
+    dated = EVENT_DATE in bronze.columns
     if start is not None:
         scope = scope.filter(F.col("kafka_timestamp") >= F.lit(start))
+        scope = scope.filter(F.col(EVENT_DATE) >= F.to_date(F.lit(start))) if dated else scope
     if end is not None:
         scope = scope.filter(F.col("kafka_timestamp") < F.lit(end))
+        scope = scope.filter(F.col(EVENT_DATE) <= F.to_date(F.lit(end))) if dated else scope
     if topic is not None:
         scope = scope.filter(F.col("source_topic") == topic)
     if partition is not None:

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DateType, StructField, StructType
 
-from chatlens.schemas import BATCH_METRICS
+from chatlens.schemas import BATCH_METRICS, with_write_metadata
+from chatlens.sources import layout
+from chatlens.sources.evolution import admit
 
 BATCH_PARTITIONS = ["_run_id", "_job_name", "_batch_id"]
 EVENT_DATE = "event_date"
+EVENT_DAY = StructField(EVENT_DATE, DateType())
 LOG_TIMES = ("event_ts", "kafka_timestamp", "source_event_ts")  # when the log took a record: the same in every run
 METRICS_PARTITIONS = ["run_id", "job_name", "target_table", "batch_id"]
 
@@ -45,12 +49,15 @@ def write_batch(stamped: DataFrame, target: str, fmt: str, run_id: str, job_name
     """Write one stamped batch so that writing it again replaces it.
 
     Files and catalog tables: the batch owns its partitions, which a repeat overwrites. They lie below
-    the event day, so a time range opens its days only. Delta: the transaction id lets the table
-    skip a repeat.
+    the event day, so a time range opens its days only. Columns that are new to a file table join its
+    schema before anything is written; a retyped one is refused. Delta: the transaction id lets the
+    table skip a repeat, and merges schemas itself.
     """
     transaction = {"txnAppId": f"{run_id}:{job_name}:{target}", "txnVersion": str(batch_id)}
     dated = with_event_date(stamped)
     days = [EVENT_DATE] if EVENT_DATE in dated.columns else []
+    if fmt != "delta" and _is_path(target):
+        admit(dated, target)
     _write(dated, target, fmt, [*days, *BATCH_PARTITIONS], transaction)
 
 
@@ -76,6 +83,21 @@ def replace_rows(rows: DataFrame, target: str, partitions: list[str], fmt: str =
     _write(rows, target, fmt, partitions, {})
 
 
+def read_batches(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
+    """A table written by ``write_batch``, with its write metadata and event day, compacted or not."""
+    return layout.read_layout(spark, table, with_write_metadata(schema), EVENT_DAY, BATCH_PARTITIONS)
+
+
+def compact_days(
+    spark: SparkSession, table: str, schema: StructType, before: date, target_bytes: int = layout.TARGET_BYTES
+) -> list[str]:
+    """Compact the event days before a day; they must be closed, that is, no stream still writes to them."""
+    order = [c for c in LOG_TIMES if c in schema.fieldNames()]
+    return layout.compact(
+        spark, table, with_write_metadata(schema), EVENT_DAY, BATCH_PARTITIONS, order, lambda day: day < before.isoformat(), target_bytes=target_bytes
+    )
+
+
 def batch_metrics_row(
     df: DataFrame, run_id: str, job_name: str, batch_id: int, processed_ts: datetime, row_count: int, target: str
 ) -> DataFrame:
