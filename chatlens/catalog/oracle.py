@@ -689,6 +689,8 @@ _add(
     f"SELECT event_minute AS minute_ts, * EXCLUDE (event_minute), {MART} FROM byminute",
 )
 _add("channel_engagement_daily", f"SELECT event_date AS date_day, * EXCLUDE (event_date), {MART} FROM byday")
+ORACLE_SQL["engagement_minute_state"] = ORACLE_SQL["engagement_minute"]
+ORACLE_SQL["engagement_daily_state"] = ORACLE_SQL["engagement_daily"]
 ORACLE_SQL["channel_engagement_daily_refresh"] = ORACLE_SQL["channel_engagement_daily"]
 ORACLE_SQL["channel_engagement_minute_refresh"] = ORACLE_SQL["channel_engagement_minute"]
 _add("ops_metrics_minute", "SELECT * REPLACE (round(avg_rows_per_batch, 6) AS avg_rows_per_batch) FROM opsmin")

@@ -24,7 +24,7 @@ from chatlens.functions.message import message_features
 from chatlens.functions.profile import with_text_profile
 from chatlens.functions.text import blank_to_null
 from chatlens.operators import checks, irc, merge, observe, parse, quality, v1, versions
-from chatlens.plans import engagement, health, messages, refresh, triage
+from chatlens.plans import engagement, health, messages, refresh, state, triage
 from chatlens.schemas import (
     BATCH_LEDGER,
     BATCH_METRICS,
@@ -577,6 +577,32 @@ def _(spark, sf):
     return engagement.engagement_mart(engagement.engagement_rollup(_joined(spark, sf), "day"), "day")
 
 
+def _folded(spark, sf, grain):
+    """State of the first run's days before the 20th; its later days and then the second run folded in."""
+    folder = f"{_folder(spark)}/engagement"
+    parsed, features = derived.parsed(spark, sf), derived.features(spark, sf)
+    first = F.col("_run_id") == RUNS[0]
+    before = versions.parsed_left_features(parsed.filter(first), features.filter(first))
+    cut = F.lit("2024-01-20").cast("timestamp")
+    state.fold(spark, folder, grain, before.filter(F.col("event_ts") < cut), RUNS[0], 0)
+    state.fold(spark, folder, grain, before.filter(F.col("event_ts") >= cut), RUNS[0], 1)
+    again = parsed.filter(F.col("_run_id") == RUNS[1]).select("event_id").distinct()
+    now = versions.parsed_left_features(parsed, features)
+    old, new = (rows.join(again, "event_id", "left_semi") for rows in (before, now))
+    state.fold(spark, folder, grain, new, RUNS[1], 0, old)
+    return state.rollup(state.read_state(spark, folder), grain)
+
+
+@query("engagement_minute_state")
+def _(spark, sf):
+    return _folded(spark, sf, "minute")
+
+
+@query("engagement_daily_state")
+def _(spark, sf):
+    return _folded(spark, sf, "day")
+
+
 def _refresh(spark, sf, grain):
     """The mart of the first run, brought up to date for the days the second run wrote."""
     parsed, features = derived.parsed(spark, sf), derived.features(spark, sf)
