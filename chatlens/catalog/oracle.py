@@ -342,6 +342,53 @@ FROM (SELECT event_id, arrival,
     NOT IN ('NULL', CASE f WHEN 'ingestion_ts' THEN 'VARCHAR' ELSE 'OBJECT' END), false)), ',') AS retyped
   FROM bron)"""
 
+STEPS["nested"] = """
+SELECT event_id, arrival, TRY_CAST(p AS JSON) AS j FROM (SELECT event_id, arrival,
+  CASE WHEN event_id % 7 = 0 THEN replace(p, '"protocol":"irc"', '"protocol":6667') ELSE p END AS p
+  FROM (SELECT event_id, arrival, CASE WHEN event_id % 5 = 0
+    THEN replace(payload, '"raw":{', '"raw":{"badges":{"vip":true,"level":3},') ELSE payload END AS p FROM log))"""
+NESTED_OBJECTS = {
+    "": ("ingestion_ts", "metadata", "raw", "source"),
+    "source": ("channel", "platform", "protocol", "server"),
+    "raw": ("irc_line", "message", "username"),
+    "metadata": ("event_kind", "producer_env", "schema_version"),
+}
+
+
+def _nested_extra() -> str:
+    parts = []
+    for parent, children in NESTED_OBJECTS.items():
+        place, prefix = ("$." + parent, parent + ".") if parent else ("$", "")
+        keys = f"CASE WHEN json_type(j, '{place}') = 'OBJECT' THEN json_keys(j, '{place}') ELSE [] END"
+        parts.append(f"list_transform(list_filter({keys}, lambda k: k NOT IN {children}), lambda k: '{prefix}' || k)")
+    return f"list_sort(list_concat({parts[0]}, {parts[1]}, {parts[2]}, {parts[3]}))"
+
+
+def _nested_retyped() -> str:
+    paths = [(f"{p}.{c}" if p else c, "VARCHAR" if p or c == "ingestion_ts" else "OBJECT") for p, cs in NESTED_OBJECTS.items() for c in cs]
+    tests = [f"CASE WHEN coalesce(json_type(j, '$.{p}'), 'NULL') NOT IN ('NULL', '{k}') THEN '{p}' END" for p, k in paths]
+    return f"list_sort(list_filter([{', '.join(tests)}], lambda x: x IS NOT NULL))"
+
+
+STEPS["nesteddrift"] = f"""
+SELECT *, CASE WHEN missing <> '' OR retyped <> '' THEN 'FAIL_FAST' WHEN extra <> '' THEN 'WARN_AND_CONTINUE' ELSE 'ACCEPT' END AS action
+FROM (SELECT event_id, arrival,
+  array_to_string(list_filter(['ingestion_ts', 'raw', 'source'],
+    lambda f: j IS NULL OR coalesce(json_type(j, '$.' || f), 'NULL') = 'NULL'), ',') AS missing,
+  array_to_string({_nested_extra()}, ',') AS extra, array_to_string({_nested_retyped()}, ',') AS retyped
+  FROM nested)"""
+STEPS["nestedsum"] = """
+SELECT kind AS drift_kind, field, action, count(*) AS records FROM (
+  SELECT 'missing' AS kind, unnest(string_split(missing, ',')) AS field, action FROM nesteddrift UNION ALL
+  SELECT 'unexpected', unnest(string_split(extra, ',')), action FROM nesteddrift UNION ALL
+  SELECT 'type', unnest(string_split(retyped, ',')), action FROM nesteddrift) WHERE field <> '' GROUP BY ALL"""
+STEPS["paths"] = """
+SELECT j, unnest(json_keys(j)) AS path FROM nested WHERE json_type(j) = 'OBJECT' UNION ALL
+SELECT j, 'source.' || unnest(json_keys(j, '$.source')) FROM nested WHERE json_type(j, '$.source') = 'OBJECT' UNION ALL
+SELECT j, 'raw.' || unnest(json_keys(j, '$.raw')) FROM nested WHERE json_type(j, '$.raw') = 'OBJECT' UNION ALL
+SELECT j, 'raw.badges.' || unnest(json_keys(j, '$.raw.badges')) FROM nested WHERE json_type(j, '$.raw.badges') = 'OBJECT' UNION ALL
+SELECT j, 'metadata.' || unnest(json_keys(j, '$.metadata')) FROM nested WHERE json_type(j, '$.metadata') = 'OBJECT'"""
+
 STEPS["lagged"] = """
 SELECT *, greatest(epoch_us(bronze_ingestion_ts) - epoch_us(event_ts), 0) / 1e6 AS lag,
   greatest(epoch_us(silver_processed_ts) - epoch_us(bronze_ingestion_ts), 0) / 1e6 AS latency FROM par"""
@@ -828,6 +875,17 @@ _add(
   extra AS unexpected_fields, retyped AS type_drift_fields, action FROM drift""",
 )
 _add("schema_drift_summary", "SELECT * REPLACE (replace(action, 'FAIL_FAST', 'DLQ') AS action) FROM driftsum")
+_add(
+    "schema_drift_paths",
+    """SELECT event_id AS source_offset, arrival AS bronze_ingestion_ts, missing AS missing_required_fields,
+  extra AS unexpected_fields, retyped AS type_drift_fields, action FROM nesteddrift""",
+)
+_add("schema_drift_paths_summary", "SELECT * REPLACE (replace(action, 'FAIL_FAST', 'DLQ') AS action) FROM nestedsum")
+_add(
+    "schema_union",
+    """SELECT path, CASE json_type(j, '$.' || path) WHEN 'VARCHAR' THEN 'STRING' WHEN 'OBJECT' THEN 'OBJECT' WHEN 'BOOLEAN' THEN 'BOOLEAN'
+  ELSE 'BIGINT' END AS kind, count(*) AS records FROM paths GROUP BY ALL""",
+)
 _add(
     "slo_breached",
     "SELECT run_id, minute_ts, pipeline_stage, round(dlq_rate, 6) AS dlq_rate, dlq_rate > 0.01 AS slo_breached FROM health",
@@ -887,6 +945,86 @@ PARSED_TYPES = (
     ("message_length", "int", False),
     ("source_platform", "string", False),
 )
+STEPS["broken"] = """
+SELECT _run_id, event_id, CASE WHEN source_offset % 70 <> 0 THEN channel END AS channel, chatter_id, message_text,
+  CASE WHEN source_offset % 90 = 0 THEN 0 ELSE message_length END AS message_length
+FROM par, range(2) AS copies(k) WHERE k = 0 OR source_offset % 50 = 0
+UNION ALL SELECT _run_id, source_topic || ':' || source_partition || ':' || source_offset, NULL, NULL, 'late', 4
+FROM dlq WHERE error_category = 'CONTRACT_ERROR' AND source_offset % 3 = 0"""
+
+
+def _parsed_rules(relation: str, rows: str) -> str:
+    failed = "SELECT _run_id, source_topic || ':' || source_partition || ':' || source_offset AS event_id FROM dlq WHERE error_category = 'CONTRACT_ERROR'"
+    return f"""SELECT '{relation}' AS relation, 'required_fields_present' AS rule,
+  count(*) FILTER (channel IS NULL OR chatter_id IS NULL OR message_text IS NULL) AS violations FROM {rows}
+UNION ALL SELECT '{relation}', 'message_length_positive', count(*) FILTER (coalesce(message_length, 0) <= 0) FROM {rows}
+UNION ALL SELECT '{relation}', 'event_id_unique_within_contract_output', count(*) - count(DISTINCT (_run_id, event_id)) FROM {rows}
+UNION ALL SELECT '{relation}', 'contract_failures_routed_to_dlq', count(DISTINCT (r._run_id, r.event_id))
+  FROM {rows} r JOIN ({failed}) f ON f._run_id = r._run_id AND f.event_id = r.event_id"""
+
+
+_add("parsed_contract_check", f"{_parsed_rules('published', 'par')}\nUNION ALL {_parsed_rules('broken', 'broken')}")
+
+
+def _not_null(model: str, source: str, columns: tuple[str, ...]) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{model}' AS model, 'not_null' AS test, '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS violations FROM {source}" for c in columns
+    )
+
+
+def _unique(model: str, source: str, column: str) -> str:
+    return f"SELECT '{model}', 'unique', '{column}', count({column}) - count(DISTINCT {column}) FROM {source}"
+
+
+_add(
+    "model_tests",
+    "\nUNION ALL ".join(
+        [
+            _not_null("parsed_broken", "broken", ("event_id", "channel", "chatter_id")), _unique("parsed_broken", "broken", "event_id"),
+            _not_null("parsed", "par", ("event_id", "channel", "chatter_id")), _not_null("features", "fea", ("event_id",)),
+            _not_null("parsed_left_features", "joined", ("event_id",)), _unique("parsed_left_features", "joined", "event_id"),
+            _not_null("batch_metrics", "met", ("run_id", "job_name", "batch_id")),
+            _not_null("engagement_minute", "byminute", ("event_minute", "channel")),
+            _not_null("engagement_daily", "byday", ("event_date", "channel")),
+            _not_null("ops_metrics_minute", "opsmin", ("pipeline_stage", "event_minute")),
+            _not_null("dlq_minute", "dlqmin", ("pipeline_stage", "event_minute")),
+            _not_null("freshness_minute", "freshmin", ("pipeline_stage", "event_minute")),
+            _not_null("channel_engagement_minute", "(SELECT event_minute AS minute_ts, channel FROM byminute)", ("minute_ts", "channel")),
+            _not_null("channel_engagement_daily", "(SELECT event_date AS date_day, channel FROM byday)", ("date_day", "channel")),
+            _not_null("health_minute", "health", ("minute_ts", "pipeline_stage")),
+        ]
+    ),
+)
+
+
+def _contract_rows(dataset: str, source: str, columns: tuple[tuple[str, str, bool], ...]) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{dataset}' AS dataset, '{name}' AS column_name, '{kind}' AS expected_type, '{kind}' AS actual_type, {str(required).lower()} AS is_required, "
+        f"count(*) FILTER ({name} IS NULL) AS null_count, {str(required).lower()} AND count(*) FILTER ({name} IS NULL) > 0 AS is_violation FROM {source}"
+        for name, kind, required in columns
+    )
+
+
+DLQ_TYPES = (
+    ("dlq_ingestion_ts", "timestamp", True), ("error_category", "string", True), ("error_code", "string", False),
+    ("error_detail", "string", True), ("retryable", "boolean", True), ("raw_payload", "string", True), ("source_topic", "string", False),
+    ("source_partition", "int", False), ("source_offset", "bigint", False), ("source_event_ts", "timestamp", False),
+    ("pipeline_stage", "string", True),
+)
+METRICS_TYPES = (
+    ("run_id", "string", True), ("job_name", "string", True), ("batch_id", "bigint", True), ("batch_processed_ts", "timestamp", True),
+    ("row_count", "bigint", True), ("target_table", "string", True),
+)
+_add(
+    "schema_contract_check_published",
+    "\nUNION ALL ".join(
+        [
+            _contract_rows("silver_chat_parsed", "par", PARSED_TYPES),
+            _contract_rows("chat_dlq", "dlq", DLQ_TYPES),
+            _contract_rows("streaming_batch_metrics", "met", METRICS_TYPES),
+        ]
+    ),
+)
 _add(
     "schema_contract_check",
     "\nUNION ALL ".join(

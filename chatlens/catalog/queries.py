@@ -886,6 +886,32 @@ def _(spark, sf):
     return observe.schema_drift_summary(observe.schema_drift(derived.bronze(spark, sf), fail_fast=False))
 
 
+def _drifting(spark, sf):
+    """Raw rows of which every fifth has an object that is not expected, and every seventh a number for a text."""
+    rows = derived.bronze(spark, sf)
+    badges = F.replace("raw_payload", F.lit('"raw":{'), F.lit('"raw":{"badges":{"vip":true,"level":3},'))
+    rows = rows.withColumn("raw_payload", F.when(F.col("source_offset") % 5 == 0, badges).otherwise(F.col("raw_payload")))
+    number = F.replace("raw_payload", F.lit('"protocol":"irc"'), F.lit('"protocol":6667'))
+    return rows.withColumn("raw_payload", F.when(F.col("source_offset") % 7 == 0, number).otherwise(F.col("raw_payload")))
+
+
+@query("schema_drift_paths")
+def _(spark, sf):
+    rows = observe.schema_drift_paths(_drifting(spark, sf))
+    joined = [F.array_join(c, ",").alias(c) for c in DRIFT_COLUMNS]
+    return rows.select("source_offset", "bronze_ingestion_ts", *joined, "action")
+
+
+@query("schema_drift_paths_summary")
+def _(spark, sf):
+    return observe.schema_drift_summary(observe.schema_drift_paths(_drifting(spark, sf), fail_fast=False))
+
+
+@query("schema_union")
+def _(spark, sf):
+    return observe.schema_union(_drifting(spark, sf))
+
+
 @query("slo_breached")
 def _(spark, sf):
     rows = _health(spark, sf)
@@ -969,6 +995,74 @@ def _(spark, sf):
     return checked[0].unionByName(checked[1]).unionByName(checked[2])
 
 
+def _published(spark, sf):
+    """The parsed table, and a copy with known faults: rows twice, nulls, no length, and a failure among the events."""
+    parsed = derived.parsed(spark, sf)
+    number = F.col("source_offset")
+    twice = F.when(number % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    broken = parsed.withColumns(
+        {
+            "channel": F.when(number % 70 != 0, F.col("channel")),
+            "message_length": F.when(number % 90 == 0, 0).otherwise(F.col("message_length")),
+        }
+    )
+    broken = broken.select("*", F.explode(twice).alias("_copy")).drop("_copy")
+    failed = derived.dlq(spark, sf).where("error_category = 'CONTRACT_ERROR' and source_offset % 3 = 0")
+    event_id = parse.event_key(F.col("source_topic"), F.col("source_partition"), F.col("source_offset"))
+    landed = failed.select("_run_id", event_id.alias("event_id"), F.lit("late").alias("message_text"), F.lit(4).alias("message_length"))
+    return {"published": parsed, "broken": broken.unionByName(landed, allowMissingColumns=True)}
+
+
+@query("parsed_contract_check")
+def _(spark, sf):
+    dlq = derived.dlq(spark, sf)
+    parts = [
+        checks.parsed_contract_check(rows, dlq).withColumn("relation", F.lit(name)) for name, rows in _published(spark, sf).items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query("schema_contract_check_published")
+def _(spark, sf):
+    """Three contract tables as published."""
+    result = None
+    for dataset, rows, schema in (
+        ("silver_chat_parsed", derived.parsed(spark, sf), SILVER_PARSED),
+        ("chat_dlq", derived.dlq(spark, sf), DLQ),
+        ("streaming_batch_metrics", derived.batch_metrics(spark, sf), BATCH_METRICS),
+    ):
+        checked = checks.schema_contract_check(rows, schema).withColumn("dataset", F.lit(dataset))
+        result = checked if result is None else result.unionByName(checked)
+    return result
+
+
+# Columns with declared tests (not null; unique).
+MODEL_TESTS = {
+    "parsed": (("event_id", "channel", "chatter_id"), ()),
+    "features": (("event_id",), ()),
+    "parsed_left_features": (("event_id",), ("event_id",)),
+    "batch_metrics": (("run_id", "job_name", "batch_id"), ()),
+    "engagement_minute": (("event_minute", "channel"), ()),
+    "engagement_daily": (("event_date", "channel"), ()),
+    "ops_metrics_minute": (("pipeline_stage", "event_minute"), ()),
+    "dlq_minute": (("pipeline_stage", "event_minute"), ()),
+    "freshness_minute": (("pipeline_stage", "event_minute"), ()),
+    "channel_engagement_minute": (("minute_ts", "channel"), ()),
+    "channel_engagement_daily": (("date_day", "channel"), ()),
+    "health_minute": (("minute_ts", "pipeline_stage"), ()),
+}
+
+
+@query("model_tests")
+def _(spark, sf):
+    """Every declared test, on the published models and on the broken copy of the parsed table."""
+    result = checks.model_tests(_published(spark, sf)["broken"], "parsed_broken", *MODEL_TESTS["parsed"][:1], ("event_id",))
+    for model, tests in MODEL_TESTS.items():
+        rows = getattr(derived, model)(spark, sf) if model in ("parsed", "features", "batch_metrics") else QUERIES[model](spark, sf)
+        result = result.unionByName(checks.model_tests(rows, model, *tests))
+    return result
+
+
 @query("schema_contract_check")
 def _(spark, sf):
     return checks.schema_contract_check(derived.classified(spark, sf), SILVER_PARSED)

@@ -5,7 +5,8 @@ All of it is built from native expressions, so no row leaves the JVM.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -102,24 +103,61 @@ def with_v1_enrichment(
     return enriched.drop("_tokens")
 
 
+FILTER_BITS = 1 << 18
+
+
+def word_filter(lexicon: DataFrame, bits: int = FILTER_BITS) -> Callable[[Column], Column]:
+    """A Bloom filter of the lexicon's words, as a test of one token: false only for words it lacks.
+
+    What comes to the driver is the filter, ``bits`` of it at most; it becomes a constant of the plan.
+    """
+
+    def places(token: Column) -> list[Column]:
+        return [F.pmod(h, F.lit(bits)) for h in (F.xxhash64(token), F.hash(token).cast("bigint"))]
+
+    marked = lexicon.select(F.explode(F.array(*places(F.col("token")))).alias("bit"))
+    longs = marked.groupBy(F.floor(F.col("bit") / 64).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("value"))
+    values = [0] * (bits // 64)
+    for row in longs.collect():
+        values[row["at"]] = row["value"]
+    table = F.from_json(F.lit(json.dumps(values)), "array<bigint>")
+
+    def may_hold(token: Column) -> Column:
+        found = [F.getbit(F.get(table, F.floor(bit / 64).cast("int")), (bit % 64).cast("int")) == 1 for bit in places(token)]
+        return found[0] & found[1]
+
+    return may_hold
+
+
+def candidate_tokens(messages: DataFrame, lexicon: DataFrame, key: str, text: str) -> DataFrame:
+    """key, token: one that may be in the lexicon, or null if none may; total: how many tokens a message has, on its first row."""
+    tokens = messages.select(key, emote_tokens(F.col(text)).alias("_tokens"))
+    may_hold = word_filter(lexicon)
+    size = F.coalesce(F.size("_tokens"), F.lit(0)).alias("_size")
+    kept = tokens.select(key, size, F.filter("_tokens", may_hold).alias("_kept"))
+    rows = kept.select(key, "_size", F.posexplode_outer("_kept").alias("_at", "token"))
+    return rows.select(key, "token", F.when(F.coalesce("_at", F.lit(0)) == 0, F.col("_size")).otherwise(0).alias("total"))
+
+
 def lexicon_scores(
     messages: DataFrame, lexicon: DataFrame, key: str = "event_id", text: str = "message"
 ) -> DataFrame:
-    """neg/neu/pos/compound per message from a lexicon table (token, score).
+    """neg/neu/pos/compound per message from a lexicon table (token, score), one row per token.
 
-    Words are counted per message before the join, so a frequent word costs one row per
-    message. The join carries no hint: Spark broadcasts the lexicon only while its size
-    stays under the session's threshold, and otherwise shuffles with skew splitting.
+    Words that cannot be in the lexicon are dropped inside the row by a Bloom filter; only how many
+    there were travels on. The others are counted per message before the join, which decides. It
+    carries no hint: Spark broadcasts the lexicon only while its size stays under the session's
+    threshold, and otherwise shuffles with skew splitting.
     """
-    tokens = messages.select(key, F.explode_outer(emote_tokens(F.col(text))).alias("token"))
-    counted = tokens.groupBy(key, "token").agg(F.count("token").alias("n"))
+    candidates = candidate_tokens(messages, lexicon, key, text)
+    counted = candidates.groupBy(key, "token").agg(F.count("token").alias("n"), F.sum("total").alias("total"))
     scored = counted.join(lexicon.select("token", "score"), "token", "left")
     score = F.coalesce("score", F.lit(0.0))
     hits = F.col("n")
     sums = scored.groupBy(key).agg(
         F.sum(F.when(score > 0, (score + 1) * hits).otherwise(0.0)).alias("_pos"),
         F.sum(F.when(score < 0, (1 - score) * hits).otherwise(0.0)).alias("_neg"),
-        F.sum(F.when(score == 0, hits).otherwise(0)).cast("double").alias("_neu"),
+        (F.sum("total") - F.sum(F.when(score != 0, hits).otherwise(0))).cast("double").alias("_neu"),
         F.sum(score * hits).alias("_sum"),
     )
     total = F.col("_pos") + F.col("_neg") + F.col("_neu")

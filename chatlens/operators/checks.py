@@ -77,3 +77,50 @@ def check_expression(df: DataFrame, expressions: Mapping[str, str]) -> DataFrame
 
 def check_accepted_values(df: DataFrame, column: str, accepted: Sequence[str]) -> DataFrame:
     return _violations(df, {column: ~F.col(column).isin(*accepted)}, "column_name")
+
+
+def parsed_contract_check(parsed: DataFrame, dlq: DataFrame, rules: Mapping[str, str] = CONTRACT_RULES["silver_chat_parsed"]) -> DataFrame:
+    """All rules of the parsed contract, (rule, violations): row rules, one row per event and run, failures kept out.
+
+    Each table is read once and reduced per event and run first. A contract failure must be in the
+    dead letters only, so an event of a run that is in both counts.
+    """
+    key = ["_run_id", "event_id"]
+    broken = {name: ~F.coalesce(F.expr(rule), F.lit(False)) for name, rule in rules.items()}
+    rows = [F.count_if(failure).alias(f"_v{i}") for i, failure in enumerate(broken.values())]
+    events = parsed.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), *rows)
+    place = F.concat_ws(":", "source_topic", "source_partition", "source_offset")
+    failed = dlq.where("error_category = 'CONTRACT_ERROR'").select("_run_id", place.alias("event_id")).distinct()
+    both = events.join(failed.withColumn("_failed", F.lit(True)), key, "left")
+    counts = {name: F.sum(f"_v{i}") for i, name in enumerate(broken)}
+    counts["event_id_unique_within_contract_output"] = F.sum(F.col("_n") - 1)
+    counts["contract_failures_routed_to_dlq"] = F.count_if("_failed")
+    return _rows_of(both.agg(*[F.coalesce(c, F.lit(0)).alias(f"_c{i}") for i, c in enumerate(counts.values())]), list(counts), "rule")
+
+
+def _rows_of(counts: DataFrame, names: Sequence[str], label: str) -> DataFrame:
+    rows = [F.struct(F.lit(n).alias(label), F.col(f"_c{i}").alias("violations")) for i, n in enumerate(names)]
+    return counts.select(F.inline(F.array(*rows)))
+
+
+def model_tests(df: DataFrame, model: str, not_null: Sequence[str], unique: Sequence[str] = ()) -> DataFrame:
+    """Declared tests of a model, (model, test, column_name, violations), in one pass over it.
+
+    With a unique column the pass is reduced by its values first; a value's surplus rows are violations.
+    """
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(not_null)]
+    tests = [("not_null", c) for c in not_null]
+    if unique:
+        (column,) = unique
+        per_value = df.groupBy(column).agg(*nulls, F.count(F.lit(1)).alias("_rows"))
+        surplus = F.sum(F.when(F.col(column).isNotNull(), F.col("_rows") - 1).otherwise(0))
+        sums = [F.sum(f"_n{i}") for i in range(len(not_null))] + [surplus]
+        tests.append(("unique", column))
+        counted = per_value.agg(*[F.coalesce(x, F.lit(0)).alias(f"_c{i}") for i, x in enumerate(sums)])
+    else:
+        counted = df.agg(*[x.alias(f"_c{i}") for i, x in enumerate(nulls)])
+    rows = [
+        F.struct(F.lit(model).alias("model"), F.lit(t).alias("test"), F.lit(c).alias("column_name"), F.col(f"_c{i}").alias("violations"))
+        for i, (t, c) in enumerate(tests)
+    ]
+    return counted.select(F.inline(F.array(*rows)))

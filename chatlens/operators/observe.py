@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from chatlens.functions.record import has_value, is_kind
 from chatlens.functions.text import evaluate_once, share
-from chatlens.schemas import EnvelopeContract
+from chatlens.schemas import ENVELOPE, EnvelopeContract
 
 # Published thresholds.
 VOLUME_TOLERANCE = 0.25
@@ -203,3 +206,101 @@ def healthy_interval_pct(health: DataFrame, limit: float = ERROR_RATE_LIMIT) ->
     )
     percent = success_percent(F.col("healthy_intervals"), F.col("observed_intervals"))
     return counted.withColumn("healthy_interval_pct", percent)
+
+
+# A type string in pieces: a field's name, the start or end of a container, a scalar.
+SHAPE_TOKENS = r"`(?:[^`]|``)*`: |[^`<>:, ()][^`<>:,]*: |OBJECT<|ARRAY<|>|[A-Z_]+(?:\(\d+,\d+\))?"
+NODE = "struct<parent: string, path: string, kind: string>"
+
+
+def json_nodes(shape: Column) -> Column:
+    """Every field of a JSON object at any depth: parent, path and kind. Array elements are named ``[]``.
+
+    The variant's type string, ``shape``, is walked once, with the open containers as a stack. Names that need
+    quotes keep them, so a dot in a name is no level. Empty for anything but an object.
+    """
+    start = F.struct(
+        F.array().cast("array<string>").alias("stack"),
+        F.lit("").alias("name"),
+        F.array().cast(f"array<{NODE}>").alias("nodes"),
+    )
+
+    def step(state: Column, token: Column) -> Column:
+        named, ends = F.endswith(token, F.lit(": ")), token == ">"
+        opens = token.isin("OBJECT<", "ARRAY<")
+        inside = F.concat(state["stack"], F.array(state["name"]))
+        above = F.array_join(F.filter(state["stack"], lambda x: x != ""), ".")
+        kind = F.when(token == "OBJECT<", "OBJECT").when(token == "ARRAY<", "ARRAY").otherwise(token)
+        node = F.struct(above.alias("parent"), F.array_join(F.filter(inside, lambda x: x != ""), ".").alias("path"), kind.alias("kind"))
+        return F.struct(
+            F.when(opens, inside).when(ends, F.slice(state["stack"], F.lit(1), F.greatest(F.size(state["stack"]) - 1, F.lit(0)))).otherwise(state["stack"]).alias("stack"),
+            F.when(named, F.regexp_replace(token, ": $", "")).when(token == "ARRAY<", "[]").otherwise(state["name"]).alias("name"),
+            F.when(named | ends, state["nodes"]).otherwise(F.concat(state["nodes"], F.array(node))).alias("nodes"),
+        )
+
+    tokens = F.when(F.startswith(shape, F.lit("OBJECT<")), F.regexp_extract_all(shape, F.lit(SHAPE_TOKENS), F.lit(0)))
+    walked = F.aggregate(F.coalesce(tokens, F.array().cast("array<string>")), start, step, lambda state: state["nodes"])
+    return F.filter(walked, lambda node: node["path"] != "")
+
+
+def _with_nodes(df: DataFrame, payload: str) -> DataFrame:
+    """One parse, one walk."""
+    shaped = evaluate_once(df, _shape=F.schema_of_variant(F.try_parse_json(F.col(payload))))
+    return evaluate_once(shaped, _nodes=json_nodes(F.col("_shape"))).drop("_shape")
+
+
+def expected_nodes(contract: StructType, prefix: str = "") -> dict[str, str]:
+    """Path -> kind of every field of a contract schema."""
+    found: dict[str, str] = {}
+    for field in contract.fields:
+        path = f"{prefix}{field.name}"
+        if isinstance(field.dataType, StructType):
+            found |= {path: "OBJECT", **expected_nodes(field.dataType, f"{path}.")}
+        else:
+            found[path] = KINDS_OF[field.dataType.typeName()]
+    return found
+
+
+# Types of a contract schema -> kinds of JSON values.
+KINDS_OF = {"string": "STRING", "integer": "BIGINT", "long": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
+def schema_drift_paths(
+    df: DataFrame,
+    payload: str = "raw_payload",
+    contract: StructType = ENVELOPE,
+    required: Sequence[str] = EnvelopeContract().required,
+    fail_fast: bool = True,
+) -> DataFrame:
+    """Add missing, unexpected and retyped fields at any depth, as sorted paths, and the action.
+
+    The payload is parsed once. Of an unexpected object only its own path is reported. A field that
+    holds null is neither retyped nor there.
+    """
+    known = expected_nodes(contract)
+    paths = F.array(*[F.lit(p) for p in known])
+    kinds = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+    nodes = F.col("_nodes")
+
+    def sorted_paths(condition: Callable[[Column], Column]) -> Column:
+        return F.sort_array(F.array_distinct(F.transform(F.filter(nodes, condition), lambda n: n["path"])))
+
+    there = F.transform(F.filter(nodes, lambda n: n["kind"] != "VOID"), lambda n: n["path"])
+    holds_known = lambda n: ((n["parent"] == "") | F.array_contains(paths, n["parent"])) & ~F.endswith(n["path"], F.lit("[]"))
+    drift = evaluate_once(
+        _with_nodes(df, payload),
+        missing_required_fields=F.array_except(F.sort_array(F.array(*[F.lit(p) for p in required])), there),
+        unexpected_fields=sorted_paths(lambda n: holds_known(n) & ~F.array_contains(paths, n["path"])),
+        type_drift_fields=sorted_paths(
+            lambda n: F.array_contains(paths, n["path"]) & (n["kind"] != "VOID") & (n["kind"] != F.try_element_at(kinds, n["path"]))
+        ),
+    )
+    broken = (F.size("missing_required_fields") > 0) | (F.size("type_drift_fields") > 0)
+    action = F.when(broken, "FAIL_FAST" if fail_fast else "DLQ").when(F.size("unexpected_fields") > 0, "WARN_AND_CONTINUE").otherwise("ACCEPT")
+    return drift.withColumn("action", action).drop("_nodes")
+
+
+def schema_union(df: DataFrame, payload: str = "raw_payload") -> DataFrame:
+    """path, kind, records: every field of the table's payloads at any depth, with every kind it has."""
+    nodes = _with_nodes(df, payload).select(F.inline(F.array_distinct("_nodes")))
+    return nodes.groupBy("path", "kind").agg(F.count(F.lit(1)).alias("records"))
