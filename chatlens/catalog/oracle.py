@@ -500,6 +500,9 @@ _add(
     """SELECT "user" AS "USERNAME", message AS "MESSAGE", sent_compound AS "COMPOUND_SCORE",
   sent_neg AS "SENTIMENT_NEG", sent_neu AS "SENTIMENT_NEU", sent_pos AS "SENTIMENT_POS", sent_compound AS "SENTIMENT_COMPOUND" FROM v1sil""",
 )
+_add("staging_scan_parsed", "SELECT * FROM par")
+_add("staging_scan_dlq", "SELECT * FROM dlq")
+_add("materialize_ephemeral", "SELECT run_id, job_name, CAST(sum(row_count) AS BIGINT) AS row_count FROM met GROUP BY ALL")
 _add("materialize", "SELECT run_id, target_table, CAST(sum(row_count) AS BIGINT) AS row_count FROM met GROUP BY ALL")
 
 # --- chat lines ----------------------------------------------------------------------------
@@ -587,6 +590,7 @@ ROUNDED_FEATURES = (
     "* REPLACE (round(repeat_char_ratio, 6) AS repeat_char_ratio, round(text_complexity_proxy, 6) AS text_complexity_proxy)"
 )
 _add("message_features", f"SELECT {ROUNDED_FEATURES} FROM feat")
+_add("staging_scan_features", f"SELECT {ROUNDED_FEATURES} FROM fea")
 _add(
     "message_features_literal",
     """SELECT * EXCLUDE (message_length) REPLACE (0.0::DOUBLE AS repeat_char_ratio, round(text_complexity_proxy, 6) AS text_complexity_proxy,
@@ -736,6 +740,7 @@ _add(
     f"SELECT event_minute AS minute_ts, * EXCLUDE (event_minute), {MART} FROM byminute",
 )
 _add("channel_engagement_daily", f"SELECT event_date AS date_day, * EXCLUDE (event_date), {MART} FROM byday")
+ORACLE_SQL["materialize_table"] = ORACLE_SQL["parsed_left_features"]
 ORACLE_SQL["engagement_minute_state"] = ORACLE_SQL["engagement_minute"]
 ORACLE_SQL["engagement_daily_state"] = ORACLE_SQL["engagement_daily"]
 ORACLE_SQL["channel_engagement_daily_refresh"] = ORACLE_SQL["channel_engagement_daily"]

@@ -92,6 +92,21 @@ def _(spark, sf):
     return tables.staging_scan(derived.batch_metrics(spark, sf), BATCH_METRICS)
 
 
+@query("staging_scan_parsed")
+def _(spark, sf):
+    return tables.staging_scan(derived.parsed(spark, sf), with_write_metadata(SILVER_PARSED))
+
+
+@query("staging_scan_features")
+def _(spark, sf):
+    return tables.staging_scan(derived.features(spark, sf), with_write_metadata(SILVER_FEATURES))
+
+
+@query("staging_scan_dlq")
+def _(spark, sf):
+    return tables.staging_scan(derived.dlq(spark, sf), with_write_metadata(DLQ))
+
+
 @query("v1_raw_projection")
 def _(spark, sf):
     return log.v1_raw_projection(derived.v1_log(spark, sf), F.col("_arrival"))
@@ -206,7 +221,7 @@ def _(spark, sf):
 
 def _v1_silver(spark, sf):
     rows = v1.v1_parse(derived.v1_log(spark, sf).withColumn("_order", F.col("_arrival")))
-    return v1.v1_enrich(merge.first_per_key(rows, LOG_KEY, ["kafka_timestamp"]), F.col("kafka_timestamp"))
+    return v1.v1_enrich(merge.first_per_key(rows, LOG_KEY, ["kafka_timestamp", "user", "message"]), F.col("kafka_timestamp"))
 
 
 @query("enriched_topic_sink")
@@ -240,6 +255,22 @@ def _(spark, sf):
     return view.groupBy("run_id", "target_table").agg(F.sum("row_count").alias("row_count"))
 
 
+@query("materialize_table")
+def _(spark, sf):
+    """Parsed and features as bucketed tables, joined in place."""
+    name = f"chatlens_{uuid4().hex}"
+    for part in ("parsed", "features"):
+        rows = getattr(derived, part)(spark, sf)
+        tables.materialize(rows, f"{name}_{part}", bucket_by=["event_id"], buckets=8)
+    return versions.parsed_left_features(spark.table(f"{name}_parsed"), spark.table(f"{name}_features"))
+
+
+@query("materialize_ephemeral")
+def _(spark, sf):
+    rows = tables.materialize(derived.batch_metrics(spark, sf), "unused", kind="ephemeral")
+    return rows.groupBy("run_id", "job_name").agg(F.sum("row_count").alias("row_count"))
+
+
 # --- chat lines ----------------------------------------------------------------------------
 
 
@@ -1167,18 +1198,27 @@ def _(spark, sf):
     return triage.cost_per_million(summary, costs)
 
 
+def _stored(spark, folder, name, rows):
+    """A table written once, for queries whose branches all read it."""
+    rows.write.parquet(f"{folder}/{name}")
+    return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
+
+
 @query("metric_long_format")
 def _(spark, sf):
-    metrics = derived.batch_metrics(spark, sf)
+    folder = _folder(spark)
+    metrics = _stored(spark, folder, "metrics", derived.batch_metrics(spark, sf))
+    parsed = _stored(spark, folder, "parsed", derived.parsed(spark, sf))
+    dlq = _stored(spark, folder, "dlq", derived.dlq(spark, sf))
     volumes = observe.volume_snapshot(metrics).groupBy("run_id", "job_name").agg(
         F.avg("records_in_micro_batch").alias("avg_records"), F.sum("delta_records").alias("total_delta")
     )
     drift = observe.schema_drift_summary(observe.schema_drift(derived.bronze(spark, sf)))
     labelled = drift.select(F.concat_ws(":", "drift_kind", "field").alias("label"), "records")
     return triage.metric_long_format(
-        _freshness(spark, sf),
+        observe.freshness_snapshot(parsed, metrics, as_of()),
         volumes,
-        triage.dlq_triage(derived.dlq(spark, sf)),
+        triage.dlq_triage(dlq),
         labelled,
         observe.uptime_proxy_pct(metrics),
     )

@@ -67,16 +67,15 @@ def volume_snapshot(
 ) -> DataFrame:
     """Expected against actual rows per batch.
 
-    Without a given expectation, a batch is held against the mean batch of its job and
-    target over all runs: a small table that is aggregated first and joined back.
+    Without a given expectation, a batch is held against the mean batch of its job and target over
+    all runs: one small map, of as many entries as jobs have targets, that every row looks up.
     """
     if expected is None:
-        usual = metrics.groupBy("job_name", "target_table").agg(
-            F.round(F.avg("row_count")).cast("bigint").alias("expected_records")
-        )
-        with_expected = metrics.join(usual, ["job_name", "target_table"])
-    else:
-        with_expected = metrics.withColumn("expected_records", expected.cast("bigint"))
+        pair = F.struct("job_name", "target_table")
+        usual = metrics.groupBy("job_name", "target_table").agg(F.round(F.avg("row_count")).cast("bigint").alias("usual"))
+        means = usual.agg(F.map_from_entries(F.collect_list(F.struct(pair, F.col("usual"))))).scalar()
+        expected = F.try_element_at(means, pair)
+    with_expected = metrics.withColumn("expected_records", expected.cast("bigint"))
     actual, wanted = F.col("row_count"), F.col("expected_records")
     return with_expected.select(
         "run_id",

@@ -8,11 +8,12 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Pin what results depend on (UTC) and what large shuffles need (adaptive plans, skew splitting)."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    """Pin the one setting results depend on, the time zone; the rest is the caller's.
+
+    Large shuffles rely on adaptive plans with skew splitting, which are on unless a caller turned them off.
+    """
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 

@@ -7,19 +7,24 @@ from pyspark.sql import functions as F
 
 from chatlens.schemas import LOG_RECORD
 
+# The connector's login module and option names.
 PLAIN_LOGIN = "org.apache.kafka.common.security.plain.PlainLoginModule"
-
-
-def sasl_options(user: str, password: str, protocol: str, mechanism: str, login: str = PLAIN_LOGIN) -> dict[str, str]:
-    """Connector options of an authenticated connection; ``login`` names the client's login module."""
+BOOTSTRAP_SERVERS = "kafka.bootstrap.servers"
+SUBSCRIBE = "subscribe"
+STARTING_OFFSETS = "startingOffsets"
+MAX_OFFSETS_PER_TRIGGER = "maxOffsetsPerTrigger"
+SECURITY_PROTOCOL = "kafka.security.protocol"
+SASL_MECHANISM = "kafka.sasl.mechanism"
+SASL_JAAS_CONFIG = "kafka.sasl.jaas.config"
+ENDPOINT_IDENTIFICATION = "kafka.ssl.endpoint.identification.algorithm"
+
+
+def jaas_config(user: str, password: str, login: str = PLAIN_LOGIN) -> str:
+    """Login line of a client; quotes and backslashes in the values are escaped."""
     if not (user and password):
         raise ValueError("a SASL protocol needs user and password")
-    secrets = {"username": user, "password": password}
-    quoted = {k: v.replace("\\", "\\\\").replace('"', '\\"') for k, v in secrets.items()}
-    told = " ".join(f'{k}="{v}"' for k, v in quoted.items())
-    security = {"security.protocol": protocol, "sasl.mechanism": mechanism, "sasl.jaas.config": f"{login} required {told};"}
-    security["ssl.endpoint.identification.algorithm"] = "https"
-    return {f"kafka.{name}": value for name, value in security.items()}
+    quoted = [value.replace("\\", "\\\\").replace('"', '\\"') for value in (user, password)]
+    return f'{login} required username="{quoted[0]}" password="{quoted[1]}";'
 
 
 def kafka_source_options(
@@ -33,11 +38,14 @@ def kafka_source_options(
     login: str = PLAIN_LOGIN,
 ) -> dict[str, str]:
     """Options for ``spark.readStream.format("kafka")`` (and batch ``spark.read``)."""
-    options = {"subscribe": topic, "kafka.bootstrap.servers": servers, "startingOffsets": "earliest"}
-    if security_protocol.upper().startswith("SASL"):
-        options |= sasl_options(user, password, security_protocol, sasl_mechanism, login)
+    options = {BOOTSTRAP_SERVERS: servers, SUBSCRIBE: topic, STARTING_OFFSETS: "earliest"}
     if max_offsets_per_trigger is not None:
-        options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+        options[MAX_OFFSETS_PER_TRIGGER] = str(max_offsets_per_trigger)
+    if security_protocol.upper().startswith("SASL"):
+        options[SECURITY_PROTOCOL] = security_protocol
+        options[SASL_MECHANISM] = sasl_mechanism
+        options[SASL_JAAS_CONFIG] = jaas_config(user, password, login)
+        options[ENDPOINT_IDENTIFICATION] = "https"
     return options
 
 
