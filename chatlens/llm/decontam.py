@@ -15,8 +15,9 @@ of that power apart, so each occurrence of an item lies wholly inside one passag
 Document frequencies count all documents; the SVD is an index fitted on a bounded sample, about
 ``FIT_DOCS`` documents chosen by hashed id, and on all items; retrieval and checks cover every
 passage of every document. Items are taken in blocks of ``ITEM_BLOCK``, each a pass over the
-documents, so what travels to the tasks is bounded however long the benchmark is. A passage whose
-benchmark words weigh too little to reach ``COSINE`` is skipped before it is projected, which loses
+documents, so what travels to the tasks is bounded however long the benchmark is. A passage is
+projected only for items it shares enough rare words with: both checks allow at most so many of an
+item's words to be missing, so some of its rarest words must be there (``Overlap``), which loses
 nothing. Nothing is joined or shuffled but sums by term.
 
 Defined cases: null or empty texts and items have no words and match nothing; items under
@@ -52,6 +53,7 @@ MIN_ITEM = 8
 ITEM_BLOCK = 2 * RANK  # bounds the directions that the items of a block can need besides
 HELD = 0.95
 GRAM = 4
+NEEDED = 0.2  # share of an item's words, of its rarest, that a passage must hold to be projected
 GROUP_WORDS = 1 << 16
 
 _PUNCTUATION = bytes(32 if b < 128 and not chr(b).isalnum() else b for b in range(256))
@@ -230,6 +232,7 @@ class Index:
     latent: np.ndarray
     norms: np.ndarray
     grams: list[tuple[int, np.ndarray, np.ndarray]]  # words in a row: how many, their sorted keys, the item of each
+    overlaps: list[Overlap]
 
     def matches(self, texts: list[str | None]) -> Iterator[tuple[int, int, float, int, str, int, int]]:
         """row, item, cosine, common words, kind, first and last word (exclusive) of the passage."""
@@ -279,58 +282,83 @@ class Index:
         return float(self.terms[known].sum(axis=0) @ self.latent[item] / max(np.sqrt(mass) * self.norms[item], 1e-9))
 
     def _candidates(self, ids: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, float, int, int]]:
-        """Text, item, cosine, first and last word of every passage near an item.
+        """Text, item, cosine, first and last word of every passage near an item that it may hold by its rare words."""
+        n = np.diff(bounds)
+        for own in self.overlaps:
+            for doc, item, start in own.passages(ids, bounds):
+                end = min(start + 3 * own.step, int(n[doc]))
+                cosine = self._cosine(ids[bounds[doc] + start : bounds[doc] + end], item)
+                if cosine >= COSINE:
+                    yield doc, item, cosine, start, end
+
+
+@dataclass
+class Overlap:
+    """What a passage must share with an item of one size before it is projected.
+
+    A check passes only if ``least_common`` of the item's words are common, so at most the rest of them are
+    missing. Of the item's rarest words, as many as may be missing and ``needed`` more, a passage must
+    therefore hold ``needed``: that drops no passage that a check would take.
+    """
+
+    step: int  # words of a block; passages are three blocks, or a shorter text
+    needed: np.ndarray  # by item
+    first: np.ndarray  # term -> its first entry in items
+    items: np.ndarray  # the items that have the term among their rarest words, by term
 
-        Words are projected once, into sums over the smallest blocks; larger blocks are sums of two.
-        """
-        lengths = np.array([len(w) for w in self.items.words])
-        power = np.maximum(8, 1 << np.ceil(np.log2(np.maximum(lengths, 1))).astype(int))
-        step, widest = int(power.min()) // 2, int(power.max()) // 2
+    def passages(self, ids: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int]]:
+        """Text, item and first word."""
         n = np.diff(bounds)
-        padded = -(-n // widest) * (widest // step)
-        first = np.concatenate([[0], np.cumsum(padded)])
-        block = np.repeat(first[:-1], n) + (np.arange(len(ids)) - np.repeat(bounds[:-1], n)) // step
-        own = np.where(ids >= 0, self.weight[ids], self.other)
-        mass = np.bincount(block, weights=own * own, minlength=int(first[-1]))
-        use = np.flatnonzero((ids >= 0) & (own > 0))
-        told = np.bincount(block[use], weights=own[use] ** 2, minlength=int(first[-1]))
-        sums = np.zeros((int(first[-1]), self.terms.shape[1]), dtype=np.float32)
-        if len(use):
-            where = block[use]
-            edges = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]]))
-            sums[where[edges]] = np.add.reduceat(self.terms[ids[use]], edges, axis=0)
-        doc = np.repeat(np.arange(len(n)), padded)
-        while step <= widest:
-            chosen = np.flatnonzero(power == 2 * step)
-            if len(chosen):
-                yield from self._near(chosen, step, n, first, doc, mass, told, sums)
-            step *= 2
-            if step <= widest:
-                mass, told = mass.reshape(-1, 2).sum(axis=1), told.reshape(-1, 2).sum(axis=1)
-                sums = sums.reshape(-1, 2, sums.shape[1]).sum(axis=1)
-                first, doc = first // 2, doc[::2]
-
-    def _near(self, chosen, step, n, first, doc, mass, told, sums) -> Iterator[tuple[int, int, float, int, int]]:
-        """Passages of three blocks of one text, or what there is of them, against the items of one size."""
-        at = np.arange(len(doc))
-        last = first[:-1][doc] + (-(-n // step))[doc]
-        whole = (at == first[:-1][doc]) | (at + 3 <= last)
-        weigh = lambda x: x + np.append(x[1:], 0) * (at + 1 < last) + np.append(x[2:], [0, 0])[: len(x)] * (at + 2 < last)
-        mass, told = weigh(mass), weigh(told)
-        maybe = np.flatnonzero(whole & (at < last) & (told > 0) & (told >= COSINE**2 * mass * 0.999))
-        if not len(maybe):
-            return
-        passage = sums[maybe]
-        for k in (1, 2):
-            more = maybe + k < last[maybe]
-            passage[more] += sums[maybe[more] + k]
-        score = passage @ self.latent[chosen].T
-        score /= np.sqrt(mass[maybe])[:, None] * self.norms[chosen][None, :]
-        for p, c in np.argwhere(score >= COSINE):
-            b = maybe[p]
-            d = int(doc[b])
-            start = int(b - first[d]) * step
-            yield d, int(chosen[c]), float(score[p, c]), start, min(start + 3 * step, int(n[d]))
+        blocks = -(-n // self.step)
+        start_of = np.concatenate([[0], np.cumsum(blocks)])
+        held = np.diff(self.first)
+        at = np.flatnonzero(ids >= 0)
+        at = at[held[ids[at]] > 0]
+        doc = np.searchsorted(bounds, at, side="right") - 1
+        block = start_of[doc] + (at - bounds[doc]) // self.step
+        times = held[ids[at]]
+        inside = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        item = self.items[np.repeat(self.first[ids[at]], times) + inside]
+        key, count = np.unique(np.repeat(block, times) * len(self.needed) + item, return_counts=True)
+        block, item = key // len(self.needed), key % len(self.needed)
+        doc = np.searchsorted(start_of, block, side="right") - 1
+        keys, counts = [], []
+        for back in range(3):
+            start = block - back
+            whole = (start >= start_of[doc]) & ((start == start_of[doc]) | (start + 3 <= start_of[doc + 1]))
+            keys.append((start * len(self.needed) + item)[whole])
+            counts.append(count[whole])
+        key, where = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(where, weights=np.concatenate(counts), minlength=len(key))
+        found = key[total >= self.needed[key % len(self.needed)]]
+        start, item = found // len(self.needed), found % len(self.needed)
+        doc = np.searchsorted(start_of, start, side="right") - 1
+        return list(zip(doc.tolist(), item.tolist(), ((start - start_of[doc]) * self.step).tolist()))
+
+
+def least_common(n: int) -> int:
+    """Words of an item of n words that a passage must have in common with it to pass a check."""
+    return n if n < MIN_ITEM else int(np.ceil(PARAPHRASE * n - 1e-9))
+
+
+def overlaps(items: Items, frequency: np.ndarray) -> list[Overlap]:
+    """One for each size of passages."""
+    lengths = np.array([len(w) for w in items.words])
+    power = np.maximum(8, 1 << np.ceil(np.log2(np.maximum(lengths, 1))).astype(int))
+    found = []
+    for size in np.unique(power):
+        needed = np.full(len(lengths), np.iinfo(np.int64).max)
+        pairs: list[np.ndarray] = []
+        for k in np.flatnonzero(power == size).tolist():
+            own = np.array([items.vocabulary[w] for w in items.words[k]])
+            needed[k] = max(1, min(least_common(len(own)), int(np.ceil(NEEDED * len(own)))))
+            rarest = own[np.argsort(frequency[own], kind="stable")][: len(own) - least_common(len(own)) + needed[k]]
+            pairs.append(np.stack([np.unique(rarest), np.full(len(np.unique(rarest)), k)]))
+        terms, owners = np.concatenate(pairs, axis=1)
+        order = np.argsort(terms, kind="stable")
+        first = np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=len(items.vocabulary)))])
+        found.append(Overlap(int(size) // 2, needed, first, owners[order]))
+    return found
 
 
 def _rows_of_words(ids: np.ndarray, doc_of: np.ndarray, size: int) -> np.ndarray:
@@ -423,7 +451,7 @@ def fit(docs: DataFrame, items: Items) -> Index:
     np.add.at(latent, row, terms[ids])
     # what the space holds of an item is its length there; an item it doesn't hold at all has no score
     norms = np.maximum(np.linalg.norm(latent, axis=1), 1e-6)
-    return Index(items, weight, other, terms, latent, norms, item_grams(items))
+    return Index(items, weight, other, terms, latent, norms, item_grams(items), overlaps(items, frequency))
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[Items]:

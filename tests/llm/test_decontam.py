@@ -2,6 +2,9 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pytest
+
 from chatlens.llm import decontam
 from tests.llm.tables import awkward, documents, nothing
 
@@ -126,3 +129,32 @@ def test_the_space_holds_every_item(spark):
     for k, words in enumerate(block.words):
         length = sum(index.weight[block.vocabulary[w]] ** 2 * words.count(w) ** 2 for w in set(words)) ** 0.5
         assert index.norms[k] >= 0.94 * length
+
+
+@pytest.mark.parametrize("needed", [0.01, 0.2, 0.6])
+def test_overlap_bound_drops_no_passage_that_a_check_takes(monkeypatch, needed):
+    """Against every item and every passage of its size, for items of repeated and of common words too."""
+    monkeypatch.setattr(decontam, "NEEDED", needed)
+    rng = random.Random(4)
+    word = lambda: f"w{int(rng.paretovariate(0.7)) % 400}"
+    items = decontam.Items.of([(k, " ".join(word() for _ in range(rng.choice([1, 3, 7, 8, 9, 16, 17, 40, 64, 70])))) for k in range(60)])
+    texts = []
+    for k in range(120):
+        own = list(rng.choice(items.words))
+        held = [w for w in own if rng.random() > rng.choice([0, 0.1, 0.3, 0.5])]
+        mixed = [x for w in held for x in ([w.decode()] + ([word()] if rng.random() < 0.1 else []))]
+        texts.append(" ".join([word() for _ in range(rng.randint(0, 90))] + mixed + [word() for _ in range(rng.randint(0, 90))]))
+    taken = 0
+    for rows, words, ids, bounds in decontam._groups(texts, items.vocabulary):
+        frequency = np.bincount(ids[ids >= 0], minlength=len(items.vocabulary))
+        for own in decontam.overlaps(items, frequency):
+            found = set(own.passages(ids, bounds))
+            for doc, text in enumerate(words):
+                for start in range(0, max(1, len(text)), own.step):
+                    if start and start + 2 * own.step >= len(text):
+                        continue
+                    for item in np.flatnonzero(own.needed < np.iinfo(np.int64).max).tolist():
+                        if items.check(item, text[start : start + 3 * own.step])[1]:
+                            taken += 1
+                            assert (doc, item, start) in found
+    assert taken > 100
