@@ -101,7 +101,7 @@ def op4_hash_ring(spark: SparkSession, sf: str) -> DataFrame:
 MIX_SQL = rf"""
 WITH d AS (
   SELECT doc_id, source, len({WORDS_SQL})::BIGINT AS size,
-    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 6))::BIGINT AS h FROM documents
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 6))::BIGINT AS h FROM documents
 ),
 s AS (
   SELECT source, source_size, row_number() OVER (ORDER BY source NULLS LAST) AS k

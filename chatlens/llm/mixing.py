@@ -1,6 +1,6 @@
 """Mixing sources to target weights with nested hash thresholds.
 
-Every document has a fixed hash. Of a source whose target is r times its size, each document is
+Every document has a fixed hash, of its id and text. Of a source whose target is r times its size, each document is
 taken floor(r) times, and once more when its hash lies below the source's threshold, so a larger
 target only adds documents. The threshold comes from sums by source and hash bucket: the first
 bucket whose running sum passes the budget is the boundary, only its rows are counted again in
@@ -8,8 +8,8 @@ finer buckets, and the final filter compares hashes. Documents are never sorted,
 is summed where it lies.
 
 Defined cases: a null or empty text has size 0; the null source is a source, ordered last; null
-ids hash like the empty string; rows with equal ids share a hash and are taken together; an empty
-table gives an empty mix; other columns are ignored. Reruns give the same rows: nothing is random.
+ids and texts hash like empty strings; rows that are equal in both share a hash and are taken together,
+while rows that only share an id, or have none, are taken one by one; an empty table gives an empty mix; other columns are ignored. Reruns give the same rows: nothing is random.
 """
 
 from __future__ import annotations
@@ -27,9 +27,10 @@ LEVELS = 2
 HASH_BITS = BUCKET_BITS * LEVELS
 
 
-def id_hash(doc_id: Column) -> Column:
-    """The leading 24 bits of the id's MD5 digest, which any SQL engine can compute."""
-    digest = F.md5(F.coalesce(doc_id.cast("string"), F.lit("")))
+def row_hash(docs: DataFrame) -> Column:
+    """The leading 24 bits of an MD5 digest of id and text, which any SQL engine can compute."""
+    parts = [F.coalesce(docs[c].cast("string"), F.lit("")) for c in ("doc_id", "text")]
+    digest = F.md5(F.concat(parts[0], F.lit(":"), parts[1]).cast("binary"))
     return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
@@ -98,7 +99,7 @@ def _plan(sized: DataFrame) -> DataFrame:
 
 def _sized(docs: DataFrame, **carried: Column) -> DataFrame:
     return docs.select(
-        docs["source"].alias("source"), F.size(words(docs["text"])).cast("long").alias("size"), id_hash(docs["doc_id"]).alias("hash"),
+        docs["source"].alias("source"), F.size(words(docs["text"])).cast("long").alias("size"), row_hash(docs).alias("hash"),
         *[column.alias(name) for name, column in carried.items()],
     )
 
@@ -121,6 +122,6 @@ def mixed_rows(docs: DataFrame) -> DataFrame:
     """The mix itself: every row as often as it is taken, with all its columns."""
     plan = _plan(stage(_sized(docs)))
     row = F.struct(*[docs[c] for c in docs.columns])
-    packed = docs.select(row.alias("_row"), docs["source"].alias("source"), id_hash(docs["doc_id"]).alias("hash"))
+    packed = docs.select(row.alias("_row"), docs["source"].alias("source"), row_hash(docs).alias("hash"))
     taken = _times(packed, plan).where("times > 0")
     return taken.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int"))).alias("_k")).select("_row.*")

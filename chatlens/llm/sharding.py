@@ -1,7 +1,7 @@
 """Sharding by a consistent-hash ring with virtual nodes and bounded loads.
 
-Every shard owns ``VNODES`` points of a hash ring. Rows arrive in the order of a second hash of
-their id; each goes clockwise from its own point to the first shard that is not full. A shard is
+Every shard owns ``VNODES`` points of a hash ring. Rows have a point from a hash of their id and text
+and arrive in the order of a second one; each goes clockwise from its own point to the first shard that is not full. A shard is
 full once it holds its bounded share of all bytes, so loads are near equal, and a row moves only
 if its arc changed owner or a shard on its way filled up earlier or later.
 
@@ -11,8 +11,12 @@ filling is replayed on these sums, the buckets in which a shard fills are summed
 buckets, and then every row finds its shard on its own. Slots number the rows of a shard without
 gaps: rows are ranked inside small ranges of the arrival order, and each range knows its offset.
 
-Defined cases: a null text has no bytes and counts 1; the null id hashes like any value; rows with
-equal ids arrive together at one shard; repeated rows get slots of their own; other columns are
+What a shard takes beyond its share, the others need not: their bound is the rest, shared by those that are
+open. So one very large row, or many rows that are equal, fill one shard and leave the others equal.
+
+Defined cases: a null text has no bytes and counts 1; null ids and texts hash like any value; rows that
+share an id are spread by their texts; rows equal in both arrive together at one shard, each in a slot
+of its own; other columns are
 ignored, or carried as payload by ``shards_with_rows``, where input columns named shard or slot are
 replaced; an empty table gives an empty result.
 """
@@ -51,7 +55,11 @@ class Ring:
 
 
 def fill_times(ring: Ring, begin: np.ndarray, end: np.ndarray, sums: np.ndarray, capacity: float) -> np.ndarray:
-    """When each shard is full, given bytes by time bucket [begin, end) and arc; the last one never is."""
+    """When each shard is full, given bytes by time bucket [begin, end) and arc; the last one never is.
+
+    ``capacity`` is the bound while all are open; what closed ones hold too much or too little changes the others'.
+    """
+    total, slack = sums.sum(), capacity * ring.shards / max(sums.sum(), 1e-9)
     full = np.full(ring.shards, np.iinfo(np.int64).max)
     load = np.zeros(ring.shards)
     still = np.ones(ring.shards, dtype=bool)
@@ -63,17 +71,21 @@ def fill_times(ring: Ring, begin: np.ndarray, end: np.ndarray, sums: np.ndarray,
         full[over] = time
         still[over] = False
 
+    def bound() -> float:
+        return slack * (total - load[~still].sum()) / max(still.sum(), 1)
+
     for k in np.argsort(begin, kind="stable"):
-        while True:  # a shard is full before the bucket if that is nearer to its capacity
+        while True:  # a shard is full before the bucket if that is nearer to its bound, unless it is too large for any
+            capacity = bound()
             first = ring.order[arcs, np.argmax(still[ring.order], axis=1)]
             after = load + np.bincount(first, weights=sums[k], minlength=ring.shards)
-            early = still & (after > load) & (after - capacity > capacity - load)
+            early = still & (after > load) & (after - capacity > capacity - load) & (after - load <= capacity)
             open_ = still.sum()
             close(early, begin[k])
             if still.sum() == open_:
                 break
         load = after
-        close(still & (load >= capacity), end[k])
+        close(still & (load >= bound()), end[k])
     return full
 
 
@@ -117,13 +129,13 @@ def _keyed(docs: DataFrame, ring: Ring, **carried: Column) -> DataFrame:
     def arc_of(hashes: pd.Series) -> pd.Series:
         return pd.Series(points.arcs(hashes.to_numpy()), dtype="int32")
 
-    arrival = F.xxhash64(docs["doc_id"], F.lit("arrival"))
+    arrival = F.xxhash64(docs["doc_id"], docs["text"], F.lit("arrival"))
     text = F.coalesce(docs["text"], F.lit(""))
     return docs.select(
         docs["doc_id"].alias("doc_id"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
-        arc_of(F.xxhash64(docs["doc_id"], F.lit("ring"))).alias("arc"),
+        arc_of(F.xxhash64(docs["doc_id"], docs["text"], F.lit("ring"))).alias("arc"),
         arrival.alias("arrival"),
         F.shiftrightunsigned(arrival, 64 - STEP_BITS).cast("int").alias("coarse"),
         F.shiftrightunsigned(arrival, 64 - 2 * STEP_BITS).bitwiseAND(STEPS - 1).cast("int").alias("fine"),

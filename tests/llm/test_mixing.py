@@ -40,6 +40,16 @@ def test_mix_comes_near_its_targets(spark):
         assert abs(sum(r["taken"] for r in members) - target) <= 3 * 7
 
 
+@pytest.mark.parametrize("hot", [None, 7])
+def test_one_id_with_a_third_of_all_rows(spark, hot):
+    """Rows that share an id are taken one by one, so every source is within one document of its target."""
+    rows = [(hot if i % 3 == 0 else i, f"w{i} " * (i % 5 + 1), "en", "a" if i % 3 == 0 else "b", 1) for i in range(3000)]
+    by_source: dict[float, int] = {}
+    for r in mixing.mix(documents(spark, rows)).collect():
+        by_source[r["target"]] = by_source.get(r["target"], 0) + r["taken"]
+    assert len(by_source) == 2 and all(abs(taken - target) <= 5 for target, taken in by_source.items())
+
+
 def test_rows_are_repeated_as_often_as_taken(spark):
     docs = awkward(spark)
     times = sorted((str(r["doc_id"]), r["times"]) for r in mixing.mix(docs).collect() if r["times"])

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from chatlens.llm import sharding
 from tests.llm.tables import awkward, documents, nothing
@@ -44,6 +45,24 @@ def test_placement_is_the_sequential_walk(spark):
     assert moved <= len(rows) * 0.03
 
 
+@pytest.mark.parametrize("hot", [None, 7])
+def test_one_id_with_a_third_of_all_rows(spark, hot):
+    """Texts spread rows that share an id; every shard is within the largest row of the mean."""
+    rows = [(hot if i % 3 == 0 else i, f"text {i} " + "x" * (i % 90), "en", "a", 1) for i in range(3000)]
+    docs = documents(spark, rows)
+    load = check(sharding.shards(docs).collect(), docs.collect())
+    mean = sum(load.values()) / sharding.SHARDS
+    assert len(load) == 16 and max(abs(n - mean) for n in load.values()) <= 101
+
+
+def test_equal_rows_fill_one_shard_and_leave_the_others_equal(spark):
+    rows = [(None if i % 3 == 0 else i, "same text" if i % 3 == 0 else f"text {i}", "en", "a", 1) for i in range(3000)]
+    docs = documents(spark, rows)
+    load = sorted(check(sharding.shards(docs).collect(), docs.collect()).values())
+    assert len(load) == 16 and load[-1] >= 10_000
+    assert load[-2] <= 1.4 * load[0]
+
+
 def test_growth_moves_little(spark):
     docs = documents(spark, [(i, "x" * (i % 90 + 10), "en", "a", 1) for i in range(4000)])
     before = {r["doc_id"]: r["shard"] for r in sharding.shards(docs, 16).collect()}
