@@ -9,7 +9,8 @@ The walk is a pure function of the times at which shards fill up, one number per
 summed by arc and time bucket (a table whose size depends on the ring, not on the data), the
 filling is replayed on these sums, the buckets in which a shard fills are summed again in finer
 buckets, and then every row finds its shard on its own. Slots number the rows of a shard without
-gaps: rows are ranked inside small ranges of the arrival order, and each range knows its offset.
+gaps: rows are ranked inside small ranges of the arrival order, and each range knows its offset. The
+ring and the times are constants of the plan; rows stay in the JVM.
 
 What a shard takes beyond its share, the others need not: their bound is the rest, shared by those that are
 open. So one very large row, or many rows that are equal, fill one shard and leave the others equal.
@@ -23,8 +24,9 @@ replaced; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,6 +39,7 @@ SLACK = 0.0  # over an equal share; what full shards leave over would all fall t
 STEP_BITS = 7  # time buckets: 2^7 coarse ones of 2^7 fine ones each
 STEPS = 1 << STEP_BITS
 RANGE_BITS = 8
+CELL_BITS = 12  # the ring is cut into so many equal cells; a row's point is the start of its cell
 
 
 class Ring:
@@ -49,9 +52,8 @@ class Ring:
         owners = [s for _, s in points]
         around = [list(dict.fromkeys(owners[k:] + owners[:k])) for k in range(len(owners))]
         self.order = np.array(around)
-
-    def arcs(self, hashes: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.points, hashes.view(np.uint64)) % len(self.points)
+        cells = np.arange(1 << CELL_BITS, dtype=np.uint64) << np.uint64(64 - CELL_BITS)
+        self.arc_of_cell = np.searchsorted(self.points, cells) % len(self.points)
 
 
 def fill_times(ring: Ring, begin: np.ndarray, end: np.ndarray, sums: np.ndarray, capacity: float) -> np.ndarray:
@@ -122,20 +124,20 @@ def _times(rows: DataFrame, ring: Ring, slack: float) -> np.ndarray:
             fine[c] = table
 
 
-def _keyed(docs: DataFrame, ring: Ring, **carried: Column) -> DataFrame:
-    points = ring
+def _constant(values: np.ndarray, kind: str) -> Column:
+    """A table of the plan; it is folded to one literal."""
+    return F.from_json(F.lit(json.dumps(values.tolist())), kind)
 
-    @F.pandas_udf("int")
-    def arc_of(hashes: pd.Series) -> pd.Series:
-        return pd.Series(points.arcs(hashes.to_numpy()), dtype="int32")
 
+def _keyed(docs: DataFrame, ring: Ring, **carried: Column) -> DataFrame:
+    point = F.xxhash64(docs["doc_id"], docs["text"], F.lit("ring"))
     arrival = F.xxhash64(docs["doc_id"], docs["text"], F.lit("arrival"))
     text = F.coalesce(docs["text"], F.lit(""))
     return docs.select(
         docs["doc_id"].alias("doc_id"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
-        arc_of(F.xxhash64(docs["doc_id"], docs["text"], F.lit("ring"))).alias("arc"),
+        F.get(_constant(ring.arc_of_cell, "array<int>"), F.shiftrightunsigned(point, 64 - CELL_BITS).cast("int")).alias("arc"),
         arrival.alias("arrival"),
         F.shiftrightunsigned(arrival, 64 - STEP_BITS).cast("int").alias("coarse"),
         F.shiftrightunsigned(arrival, 64 - 2 * STEP_BITS).bitwiseAND(STEPS - 1).cast("int").alias("fine"),
@@ -144,16 +146,11 @@ def _keyed(docs: DataFrame, ring: Ring, **carried: Column) -> DataFrame:
 
 
 def _placed(keyed: DataFrame, ring: Ring, full: np.ndarray) -> DataFrame:
-    order = ring.order
-
-    @F.pandas_udf("int")
-    def shard_of(arc: pd.Series, coarse: pd.Series, fine: pd.Series) -> pd.Series:
-        choices = order[arc.to_numpy()]
-        at = (coarse.to_numpy(np.int64) * STEPS + fine.to_numpy(np.int64))[:, None]
-        first = np.argmax(full[choices] > at, axis=1)
-        return pd.Series(choices[np.arange(len(choices)), first], dtype="int32")
-
-    return keyed.withColumn("shard", shard_of("arc", "coarse", "fine"))
+    """Add ``shard``: the first one clockwise that is not full at the row's time."""
+    clockwise = F.get(_constant(ring.order, "array<array<int>>"), F.col("arc"))
+    at = F.col("coarse").cast("long") * STEPS + F.col("fine")
+    times = _constant(full, "array<bigint>")
+    return keyed.withColumn("shard", F.get(F.filter(clockwise, lambda s: F.get(times, s) > at), F.lit(0)))
 
 
 def _slots(placed: DataFrame) -> DataFrame:
