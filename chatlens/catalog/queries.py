@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from datetime import datetime, timezone
 from uuid import uuid4
@@ -41,7 +42,7 @@ from chatlens.schemas import (
     with_write_metadata,
 )
 from chatlens.session import checkpoint_root, configure
-from chatlens.sources import derived, evolution, log, tables
+from chatlens.sources import derived, evolution, layout, log, tables
 from chatlens.streaming import jobs, ledger, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -554,17 +555,17 @@ def _(spark, sf):
     return _joined(spark, sf)
 
 
-def _health_inputs(spark, sf):
-    return (
-        health.ops_metrics_minute(derived.batch_metrics(spark, sf)),
-        health.freshness_minute(derived.parsed(spark, sf), derived.features(spark, sf)),
-        health.dlq_minute(derived.dlq(spark, sf)),
-    )
+def _health_inputs(parsed, features, dlq, metrics):
+    return health.ops_metrics_minute(metrics), health.freshness_minute(parsed, features), health.dlq_minute(dlq)
+
+
+def _health_tables(spark, sf):
+    return _health_inputs(*(getattr(derived, name)(spark, sf) for name in ("parsed", "features", "dlq", "batch_metrics")))
 
 
 @query("ops_left_freshness_dlq")
 def _(spark, sf):
-    return health.ops_left_freshness_dlq(*_health_inputs(spark, sf)).select(
+    return health.ops_left_freshness_dlq(*_health_tables(spark, sf)).select(
         *health.HEALTH_KEY, "batch_count", "dlq_count", "avg_bronze_to_silver_latency_seconds"
     )
 
@@ -608,17 +609,52 @@ def _(spark, sf):
     return engagement.engagement_mart(engagement.engagement_rollup(_joined(spark, sf), "day"), "day")
 
 
+def _stored(spark, folder, name, rows, columns=None):
+    """A table written once, for queries whose branches all read it.
+
+    Of wide rows only the columns are written that the branches read; the others are null.
+    """
+    rows.select(*(columns or rows.columns)).write.parquet(f"{folder}/{name}")
+    return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
+
+
+# Classified rows without their texts.
+CLASSIFIED_COLUMNS = (
+    "event_id", "source_topic", "source_partition", "source_offset", "event_ts", "bronze_ingestion_ts", "silver_processed_ts",
+    "channel", "chatter_id", "message_length", "outcome",
+)
+WRITE_COLUMNS = ("_run_id", "_job_name", "_batch_id", "_batch_processed_ts")
+# What versions and roll-ups read of parsed rows, and the partition, by which features were lost.
+ROLLUP_COLUMNS = ("event_id", "event_ts", "channel", "chatter_id", "message_length", "source_partition", "silver_processed_ts", *WRITE_COLUMNS)
+
+
+def _stored_models(spark, folder, sf):
+    """Parsed and feature rows of one pass over the log, without texts: the roll-ups read none."""
+    rows = derived.measured(derived.parsed(spark, sf))
+    stored = _stored(spark, folder, "measured", rows, [*ROLLUP_COLUMNS, *SILVER_FEATURES.fieldNames()[1:]])
+    return stored.select(*with_write_metadata(SILVER_PARSED).fieldNames()), derived.features_of(stored)
+
+
+def _held(columns, kept):
+    """Those of the columns that have values where only ``kept`` ones are stored."""
+    return [c for c in columns if c in kept]
+
+
 def _folded(spark, sf, grain):
     """State of the first run's days before the 20th; its later days and then the second run folded in."""
-    folder = f"{_folder(spark)}/engagement"
-    parsed, features = derived.parsed(spark, sf), derived.features(spark, sf)
+    stored = _folder(spark)
+    folder = f"{stored}/engagement"
+    parsed, features = _stored_models(spark, stored, sf)
     first = F.col("_run_id") == RUNS[0]
+    held = {*ROLLUP_COLUMNS, *SILVER_FEATURES.fieldNames()}
     before = versions.parsed_left_features(parsed.filter(first), features.filter(first))
+    before = _stored(spark, stored, "before", before, _held(before.columns, held))
     cut = F.lit("2024-01-20").cast("timestamp")
     state.fold(spark, folder, grain, before.filter(F.col("event_ts") < cut), RUNS[0], 0)
     state.fold(spark, folder, grain, before.filter(F.col("event_ts") >= cut), RUNS[0], 1)
     again = parsed.filter(F.col("_run_id") == RUNS[1]).select("event_id").distinct()
     now = versions.parsed_left_features(parsed, features)
+    now = _stored(spark, stored, "now", now, _held(now.columns, held))
     old, new = (rows.join(again, "event_id", "left_semi") for rows in (before, now))
     state.fold(spark, folder, grain, new, RUNS[1], 0, old)
     return state.rollup(state.read_state(spark, folder), grain)
@@ -636,7 +672,7 @@ def _(spark, sf):
 
 def _refresh(spark, sf, grain):
     """The mart of the first run, brought up to date for the days the second run wrote."""
-    parsed, features = derived.parsed(spark, sf), derived.features(spark, sf)
+    parsed, features = _stored_models(spark, _folder(spark), sf)
     build = lambda joined: engagement.engagement_mart(engagement.engagement_rollup(joined, grain), grain)
     first = F.col("_run_id") == RUNS[0]
     mart = build(versions.parsed_left_features(parsed.filter(first), features.filter(first)))
@@ -670,7 +706,7 @@ def _(spark, sf):
 
 
 def _health(spark, sf):
-    return health.health_minute(*_health_inputs(spark, sf))
+    return health.health_minute(*_health_tables(spark, sf))
 
 
 @query("health_minute")
@@ -704,27 +740,32 @@ def _folder(spark: SparkSession) -> str:
 # The log arrives in deliveries of eight days, by time of capture; what was captured an hour late or
 # more waits ten days longer. Each is written as so many files, the limit of a trigger, so it becomes
 # one micro-batch.
+# The number grows with the log, so that no file, and no task that writes one, does.
 DELIVERIES, DELIVERY_DAYS, DELIVERY_FILES = 4, 8, 4
+LOG_FILE_BYTES = 16 << 20
 STREAM_WATERMARK = "10 minutes"
 
 
-def _log_files(spark, rows: DataFrame, folder: str, deliveries: range = range(DELIVERIES)) -> str:
-    """Log records as files, delivery after delivery, as a connector would hand them on."""
+def _log_files(spark, rows: DataFrame, folder: str, deliveries: range = range(DELIVERIES)) -> tuple[str, int]:
+    """Log records as files, delivery after delivery, as a connector would hand them on; and the files of each."""
     staged = f"{folder}/staged"
     if deliveries.start == 0:
         waits = F.when(F.unix_timestamp("_arrival") - F.unix_timestamp("timestamp") > derived.HOUR, 10).otherwise(0)
         day = F.datediff("_arrival", F.lit("2024-01-01").cast("date")) + waits
         number = F.least(F.floor(day / DELIVERY_DAYS), F.lit(DELIVERIES - 1)).cast("int")
         records = rows.select(F.col("key").cast("binary"), F.col("value").cast("binary"), *LOG_KEY, "timestamp", "timestampType", number.alias("_delivery"))
-        records.write.partitionBy("_delivery").parquet(staged)
+        records.write.option("compression", layout.COMPRESSION).partitionBy("_delivery").parquet(staged)
+    largest = max(layout.group_bytes(spark, staged, "_delivery").values(), default=0)
+    files = max(DELIVERY_FILES, math.ceil(largest / LOG_FILE_BYTES))
     for k in deliveries:
         part = spark.read.parquet(staged).where(F.col("_delivery") == k).drop("_delivery")
-        part.repartition(DELIVERY_FILES).write.parquet(f"{folder}/log/{k}")
-    return f"{folder}/log/*"
+        part.repartition(files).write.option("compression", layout.COMPRESSION).parquet(f"{folder}/log/{k}")
+    return f"{folder}/log/*", files
 
 
 def _log_stream(spark, rows: DataFrame, folder: str, deliveries: range = range(DELIVERIES)) -> DataFrame:
-    return log.file_log_stream(spark, _log_files(spark, rows, folder, deliveries), max_files_per_trigger=DELIVERY_FILES)
+    path, files = _log_files(spark, rows, folder, deliveries)
+    return log.file_log_stream(spark, path, max_files_per_trigger=files)
 
 
 def _bronze_stream(spark, sf, folder):
@@ -1026,9 +1067,8 @@ def _(spark, sf):
     return checked[0].unionByName(checked[1]).unionByName(checked[2])
 
 
-def _published(spark, sf):
+def _published(parsed, dlq):
     """The parsed table, and a copy with known faults: rows twice, nulls, no length, and a failure among the events."""
-    parsed = derived.parsed(spark, sf)
     number = F.col("source_offset")
     twice = F.when(number % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     broken = parsed.withColumns(
@@ -1038,7 +1078,7 @@ def _published(spark, sf):
         }
     )
     broken = broken.select("*", F.explode(twice).alias("_copy")).drop("_copy")
-    failed = derived.dlq(spark, sf).where("error_category = 'CONTRACT_ERROR' and source_offset % 3 = 0")
+    failed = dlq.where("error_category = 'CONTRACT_ERROR' and source_offset % 3 = 0")
     event_id = parse.event_key(F.col("source_topic"), F.col("source_partition"), F.col("source_offset"))
     landed = failed.select("_run_id", event_id.alias("event_id"), F.lit("late").alias("message_text"), F.lit(4).alias("message_length"))
     return {"published": parsed, "broken": broken.unionByName(landed, allowMissingColumns=True)}
@@ -1048,7 +1088,8 @@ def _published(spark, sf):
 def _(spark, sf):
     dlq = derived.dlq(spark, sf)
     parts = [
-        checks.parsed_contract_check(rows, dlq).withColumn("relation", F.lit(name)) for name, rows in _published(spark, sf).items()
+        checks.parsed_contract_check(rows, dlq).withColumn("relation", F.lit(name))
+        for name, rows in _published(derived.parsed(spark, sf), dlq).items()
     ]
     return parts[0].unionByName(parts[1])
 
@@ -1087,10 +1128,31 @@ MODEL_TESTS = {
 @query("model_tests")
 def _(spark, sf):
     """Every declared test, on the published models and on the broken copy of the parsed table."""
-    result = checks.model_tests(_published(spark, sf)["broken"], "parsed_broken", *MODEL_TESTS["parsed"][:1], ("event_id",))
+    folder = _folder(spark)
+    rows = _stored(spark, folder, "classified", derived.classified(spark, sf), CLASSIFIED_COLUMNS)
+    parsed = derived.parsed(spark, sf, rows)
+    parsed = _stored(spark, folder, "parsed", parsed, _held(parsed.columns, {*CLASSIFIED_COLUMNS, *WRITE_COLUMNS}))
+    features = derived.features_of(derived.measured(parsed))
+    dlq = derived.dlq(spark, sf, rows)
+    metrics = _stored(spark, folder, "metrics", derived.batch_metrics(spark, sf, rows))
+    joined = versions.parsed_left_features(parsed, features)
+    rollups = {grain: engagement.engagement_rollup(joined, grain) for grain in engagement.GRAIN_COLUMNS}
+    health_inputs = _health_inputs(parsed, features, dlq, metrics)
+    models = {
+        "parsed": parsed,
+        "features": features,
+        "parsed_left_features": joined,
+        "batch_metrics": metrics,
+        "engagement_minute": rollups["minute"],
+        "engagement_daily": rollups["day"],
+        **dict(zip(("ops_metrics_minute", "freshness_minute", "dlq_minute"), health_inputs)),
+        "channel_engagement_minute": engagement.engagement_mart(rollups["minute"], "minute"),
+        "channel_engagement_daily": engagement.engagement_mart(rollups["day"], "day"),
+        "health_minute": health.health_minute(*health_inputs),
+    }
+    result = checks.model_tests(_published(parsed, dlq)["broken"], "parsed_broken", *MODEL_TESTS["parsed"][:1], ("event_id",))
     for model, tests in MODEL_TESTS.items():
-        rows = getattr(derived, model)(spark, sf) if model in ("parsed", "features", "batch_metrics") else QUERIES[model](spark, sf)
-        result = result.unionByName(checks.model_tests(rows, model, *tests))
+        result = result.unionByName(checks.model_tests(models[model], model, *tests))
     return result
 
 
@@ -1198,18 +1260,12 @@ def _(spark, sf):
     return triage.cost_per_million(summary, costs)
 
 
-def _stored(spark, folder, name, rows):
-    """A table written once, for queries whose branches all read it."""
-    rows.write.parquet(f"{folder}/{name}")
-    return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
-
-
 @query("metric_long_format")
 def _(spark, sf):
     folder = _folder(spark)
-    metrics = _stored(spark, folder, "metrics", derived.batch_metrics(spark, sf))
-    parsed = _stored(spark, folder, "parsed", derived.parsed(spark, sf))
-    dlq = _stored(spark, folder, "dlq", derived.dlq(spark, sf))
+    rows = _stored(spark, folder, "classified", derived.classified(spark, sf), CLASSIFIED_COLUMNS)
+    metrics = _stored(spark, folder, "metrics", derived.batch_metrics(spark, sf, rows))
+    parsed, dlq = derived.parsed(spark, sf, rows), derived.dlq(spark, sf, rows)
     volumes = observe.volume_snapshot(metrics).groupBy("run_id", "job_name").agg(
         F.avg("records_in_micro_batch").alias("avg_records"), F.sum("delta_records").alias("total_delta")
     )

@@ -160,35 +160,44 @@ def _stamp(df: DataFrame, event_ts: str, job: str, lag: int = 0) -> DataFrame:
     return stamped.drop("_run")
 
 
-def parsed(spark: SparkSession, sf: str) -> DataFrame:
-    """Append-only parsed table of two runs."""
-    rows = _stamp(_runs(dedupe(valid_events(classified(spark, sf))), "event_ts"), "event_ts", PARSE_STAGE)
+def parsed(spark: SparkSession, sf: str, rows: DataFrame | None = None) -> DataFrame:
+    """Append-only parsed table of two runs; ``rows`` are classified rows that are stored already."""
+    rows = classified(spark, sf) if rows is None else rows
+    rows = _stamp(_runs(dedupe(valid_events(rows)), "event_ts"), "event_ts", PARSE_STAGE)
     return rows.withColumn("silver_processed_ts", F.col("_batch_processed_ts") - seconds(5))
 
 
-def features(spark: SparkSession, sf: str) -> DataFrame:
-    """Append-only feature table; some features of run_a were never written."""
-    rows = parsed(spark, sf).filter(f"not ({FEATURES_LOST})")
+def measured(parsed_rows: DataFrame) -> DataFrame:
+    """Parsed rows with the values their feature rows have."""
     when = F.col("_batch_processed_ts") + seconds(58)
-    kept = rows.select("*", F.col("_run_id").alias("_run"), F.col("event_ts").alias("_event_ts"), when.alias("_when"))
-    derived = with_message_features(kept, as_of=F.col("_when"))
-    narrow = derived.select(*SILVER_FEATURES.fieldNames(), "_run", "_event_ts")
+    return with_message_features(parsed_rows.withColumn("_when", when), as_of=F.col("_when")).drop("_when")
+
+
+def features_of(measured_rows: DataFrame) -> DataFrame:
+    """Append-only feature table; some features of run_a were never written."""
+    rows = measured_rows.filter(f"not ({FEATURES_LOST})")
+    narrow = rows.select(*SILVER_FEATURES.fieldNames(), F.col("_run_id").alias("_run"), F.col("event_ts").alias("_event_ts"))
     return _stamp(narrow, "_event_ts", FEATURE_STAGE, 60).drop("_event_ts")
 
 
-def dlq(spark: SparkSession, sf: str) -> DataFrame:
+def features(spark: SparkSession, sf: str) -> DataFrame:
+    return features_of(measured(parsed(spark, sf)))
+
+
+def dlq(spark: SparkSession, sf: str, rows: DataFrame | None = None) -> DataFrame:
     """Dead letters of two runs."""
-    rows = _stamp(_runs(dead_letters(classified(spark, sf)), "source_event_ts"), "source_event_ts", PARSE_STAGE)
+    rows = classified(spark, sf) if rows is None else rows
+    rows = _stamp(_runs(dead_letters(rows), "source_event_ts"), "source_event_ts", PARSE_STAGE)
     return rows.withColumn("dlq_ingestion_ts", F.col("_batch_processed_ts") - seconds(3))
 
 
-def batch_metrics(spark: SparkSession, sf: str) -> DataFrame:
+def batch_metrics(spark: SparkSession, sf: str, rows: DataFrame | None = None) -> DataFrame:
     """One row per run, batch and target, counted in one pass over classified rows.
 
     Copies are counted per event before rows gather by batch; run_b re-reads raw rows, so it
     has no capture rows of its own.
     """
-    rows = _runs(classified(spark, sf), "event_ts")
+    rows = _runs(classified(spark, sf) if rows is None else rows, "event_ts")
     lost = F.expr(FEATURES_LOST.replace("_run_id", "_run"))
     good = F.col("outcome") == VALID
     per_event = rows.groupBy("_run", batch_of(F.col("event_ts")).alias("batch_id"), "event_id").agg(

@@ -21,6 +21,7 @@ from pyspark.sql.types import StructField, StructType
 from chatlens.sources import manifest
 
 TARGET_BYTES = 256 << 20
+COMPRESSION = "zstd"  # of rows with whole payloads
 VERSION = "_version"
 
 
@@ -69,6 +70,12 @@ def _files(spark: SparkSession, path: str, group: str) -> DataFrame:
     return listed.load(path).select("path", "length", value)
 
 
+def group_bytes(spark: SparkSession, path: str, group: str) -> dict[str, int]:
+    """Bytes of data files by the value of a group; only the listing is read."""
+    sizes = _files(spark, path, group).groupBy("value").agg(F.sum("length").alias("bytes"))
+    return {r["value"]: r["bytes"] for r in sizes.collect()}
+
+
 def compact(
     spark: SparkSession,
     table: str,
