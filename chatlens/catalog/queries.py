@@ -185,7 +185,7 @@ def _(spark, sf):
 def _(spark, sf):
     """A batch, compaction of its closed days, and the batch once more."""
     target = f"{_folder(spark)}/bronze"
-    rows = derived.bronze(spark, sf)
+    rows = _stored(spark, target.removesuffix("/bronze"), "batch", derived.bronze(spark, sf))
     for _attempt in ("first", "repeated"):
         sinks.append_with_batch_metadata(rows, 3, target, "run_a", "bronze_ingest")
         sinks.compact_days(spark, target, BRONZE_RAW, CLOSED)
@@ -256,13 +256,19 @@ def _(spark, sf):
     return view.groupBy("run_id", "target_table").agg(F.sum("row_count").alias("row_count"))
 
 
+# One task reads a bucket whole, so their number grows with the given tables.
+BUCKETS, BUCKET_BYTES = 8, 32 << 20
+
+
 @query("materialize_table")
 def _(spark, sf):
     """Parsed and features as bucketed tables, joined in place."""
     name = f"chatlens_{uuid4().hex}"
+    given = layout.stored_bytes(spark, f"{sf}/documents.parquet", f"{sf}/events.parquet")
+    buckets = max(BUCKETS, math.ceil(given / BUCKET_BYTES))
     for part in ("parsed", "features"):
         rows = getattr(derived, part)(spark, sf)
-        tables.materialize(rows, f"{name}_{part}", bucket_by=["event_id"], buckets=8)
+        tables.materialize(rows, f"{name}_{part}", bucket_by=["event_id"], buckets=buckets)
     return versions.parsed_left_features(spark.table(f"{name}_parsed"), spark.table(f"{name}_features"))
 
 
@@ -614,7 +620,7 @@ def _stored(spark, folder, name, rows, columns=None):
 
     Of wide rows only the columns are written that the branches read; the others are null.
     """
-    rows.select(*(columns or rows.columns)).write.parquet(f"{folder}/{name}")
+    rows.select(*(columns or rows.columns)).write.option("compression", layout.COMPRESSION).parquet(f"{folder}/{name}")
     return spark.read.schema(rows.schema).parquet(f"{folder}/{name}")
 
 

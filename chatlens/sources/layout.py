@@ -60,14 +60,24 @@ def read_layout(spark: SparkSession, table: str, schema: StructType, group: Stru
         return raw if done is None else done
     key = [group.name, *owner]
     written_again = raw.where(F.col(group.name).isNotNull()).select(*key).distinct()
-    return raw.unionByName(done.join(written_again, key, "left_anti"))
+    # One row per partition folder; rows with their payloads are not shuffled for it.
+    return raw.unionByName(done.join(F.broadcast(written_again), key, "left_anti"))
 
 
 def _files(spark: SparkSession, path: str, group: str) -> DataFrame:
     """path, length and group of data files; only the listing is read."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
     value = F.regexp_extract("path", rf"/{group}=([^/]*)/", 1).alias("value")
-    return listed.load(path).select("path", "length", value)
+    return _listed(spark, path).select("path", "length", value)
+
+
+def _listed(spark: SparkSession, path: str) -> DataFrame:
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    return listed.load(path)
+
+
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of the data files of tables; only the listing is read."""
+    return sum(_listed(spark, path).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0] for path in paths)
 
 
 def group_bytes(spark: SparkSession, path: str, group: str) -> dict[str, int]:
@@ -114,7 +124,7 @@ def compact(
     spread = [group.name, *order, F.xxhash64(*rows.columns)]  # rows with equal keys can lie in several ranges too
     clustered = rows.repartitionByRange(ranges, *spread).sortWithinPartitions(*spread)
     folder = f"{_compacted(table)}/{VERSION}={number + 1}"
-    clustered.write.mode("overwrite").partitionBy(group.name).parquet(folder)
+    clustered.write.mode("overwrite").option("compression", COMPRESSION).partitionBy(group.name).parquet(folder)
     manifest.commit(spark, _manifest(table), number + 1, {"groups": {**known, **dict.fromkeys(wanted, number + 1)}})
     drop_files(spark, old)
     return wanted

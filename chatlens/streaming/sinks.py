@@ -69,6 +69,8 @@ def _write(df: DataFrame, target: str, fmt: str, partitions: list[str], transact
         writer.save(target) if _is_path(target) else writer.saveAsTable(target)
         return
     writer = df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if fmt == "parquet":
+        writer = writer.option("compression", layout.COMPRESSION)
     if _is_path(target):
         writer.partitionBy(*partitions).save(target)
     elif not df.sparkSession.catalog.tableExists(target):

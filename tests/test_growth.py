@@ -69,3 +69,23 @@ def test_log_files_grow_in_number_not_in_size(spark, tables, tmp_path, monkeypat
     assert files > catalog.DELIVERY_FILES
     assert {len(list((tmp_path / path.removeprefix(f"{tmp_path}/").removesuffix("/log/*") / "log" / str(k)).glob("*.parquet"))) for k in range(catalog.DELIVERIES)} == {files}
     assert spark.read.parquet(path).count() == derived.log_rows(spark, tables).count()
+
+
+def test_buckets_grow_in_number_not_in_size(spark, tables, monkeypatch):
+    counts = []
+    write = catalog.tables.materialize
+    monkeypatch.setattr(catalog.tables, "materialize", lambda *args, **kw: counts.append(kw["buckets"]) or write(*args, **kw))
+    monkeypatch.setattr(catalog, "BUCKET_BYTES", 1 << 10, raising=False)
+    rows = catalog.QUERIES["materialize_table"](spark, tables)
+    given = layout.stored_bytes(spark, f"{tables}/documents.parquet", f"{tables}/events.parquet")
+    assert counts == [-(-given // 1024)] * 2 and counts[0] > 8
+    whole = catalog.QUERIES["parsed_left_features"](spark, tables)
+    assert rows.exceptAll(whole).isEmpty() and whole.exceptAll(rows).isEmpty()
+
+
+def test_batch_is_built_once_and_compacted_rows_are_not_shuffled_to_be_read(spark, tables, passes):
+    rows = catalog.QUERIES["idempotent_batch_write"](spark, tables)
+    assert len(passes) == 1 and not any("documents.parquet" in f for f in rows.inputFiles())
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert rows.count() == derived.log_rows(spark, tables).count()
