@@ -9,7 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from chatlens.catalog import queries as catalog
+from chatlens.schemas import BRONZE_RAW
 from chatlens.sources import derived, layout
+from chatlens.streaming import sinks
 
 KINDS = ("view", "click", "purchase", "error", "signup")
 
@@ -83,9 +85,24 @@ def test_buckets_grow_in_number_not_in_size(spark, tables, monkeypatch):
     assert rows.exceptAll(whole).isEmpty() and whole.exceptAll(rows).isEmpty()
 
 
-def test_batch_is_built_once_and_compacted_rows_are_not_shuffled_to_be_read(spark, tables, passes):
+def test_a_repeated_batch_is_built_once(spark, tables, passes):
     rows = catalog.QUERIES["idempotent_batch_write"](spark, tables)
     assert len(passes) == 1 and not any("documents.parquet" in f for f in rows.inputFiles())
-    plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
     assert rows.count() == derived.log_rows(spark, tables).count()
+
+
+def test_compacted_rows_are_not_shuffled_to_be_read(spark, tables, tmp_path):
+    target = f"{tmp_path}/bronze"
+    rows = derived.bronze(spark, tables).repartition(3)
+    sinks.append_with_batch_metadata(rows, 0, target, "run_a", "bronze_ingest")
+    assert sinks.compact_days(spark, target, BRONZE_RAW, catalog.CLOSED)
+    sinks.append_with_batch_metadata(rows.filter(F.dayofmonth("kafka_timestamp") < 5), 0, target, "run_a", "bronze_ingest")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        read = sinks.read_batches(spark, target, BRONZE_RAW)
+        plan = read._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plan.count("BroadcastHashJoin") and not plan.count("SortMergeJoin")
+    assert read.count() == rows.count()
