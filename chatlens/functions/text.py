@@ -49,11 +49,34 @@ def words(text: Column) -> Column:
     return F.filter(parts, lambda part: part != "")
 
 
+# A long text's first characters hold nearly all the letters it is made of.
+LONG_TEXT, HEAD = 256, 256
+
+
 def char_counts(text: Column) -> Column:
     """How often each distinct character occurs (array<int>, order irrelevant).
 
-    Sorting the characters makes equal ones adjacent; each run is one character's count.
+    The ASCII characters at the head of a long text are taken out of it one after the other; each was there
+    as often as that makes the text shorter. What is left is little, unless it is of another script.
     """
+    head = F.regexp_replace(F.substring(text, 1, HEAD), r"[^\x00-\x7F]+", "")
+
+    def take(state: Column, char: Column) -> Column:
+        left = F.replace(state["left"], char, F.lit(""))
+        return F.struct(left.alias("left"), F.concat(state["sizes"], F.array(F.octet_length(state["left"]))).alias("sizes"))
+
+    def counted(state: Column) -> Column:
+        after = F.concat(F.slice(state["sizes"], F.lit(2), F.size(state["sizes"])), F.array(F.octet_length(state["left"])))
+        taken = F.zip_with(state["sizes"], after, lambda one, next_one: one - next_one)
+        return F.concat(F.filter(taken, lambda n: n > 0), _sorted_counts(state["left"]))
+
+    start = F.struct(text.alias("left"), F.array().cast("array<int>").alias("sizes"))
+    by_char = F.aggregate(F.array_distinct(F.split(head, "")), start, take, counted)
+    return F.when(F.octet_length(text) < LONG_TEXT, _sorted_counts(text)).otherwise(by_char)
+
+
+def _sorted_counts(text: Column) -> Column:
+    """Sorting the characters makes equal ones adjacent; each run is one character's count."""
     ordered = F.array_join(F.sort_array(F.split(text, "")), "")
     runs = F.regexp_extract_all(ordered, F.lit(r"(?s)(.)\1*"), F.lit(0))
     return F.transform(runs, lambda run: F.length(run))

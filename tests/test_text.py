@@ -185,3 +185,13 @@ def test_lexicon_scores(spark):
     assert rows["a"]["neg"] == pytest.approx(round(2.0 / 6.2, 3))
     assert (rows["b"]["neu"], rows["b"]["compound"]) == (1.0, 0.0)
     assert (rows["c"]["neu"], rows["c"]["pos"], rows["c"]["neg"], rows["c"]["compound"]) == (0.0, 0.0, 0.0, 0.0)
+
+
+def test_character_counts_of_long_texts(spark):
+    """Letters that begin late, other scripts, zero bytes and pairs of surrogates; long texts are not sorted as a whole."""
+    texts = ["ab " * 400 + "Q" + "é" * 5, "漢字" * 200 + "x", "\x00a\n" * 300 + "😀😀𝒳", "é" * 300, "a" * 255, "a" * 256, "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    found = {r["i"]: r["c"] for r in df.select("i", F.sort_array(char_counts(F.col("t"))).alias("c")).collect()}
+    assert found == {i: None if t is None else sorted(Counter(t).values()) for i, t in enumerate(texts)}
+    plan = df.select(char_counts(F.col("t")).alias("c"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "sort_array(split(t" in plan.split("ELSE")[0] and "sort_array(split(t" not in plan.split("ELSE")[1]
