@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -242,10 +243,63 @@ def json_nodes(shape: Column) -> Column:
     return F.filter(walked, lambda node: node["path"] != "")
 
 
-def _with_nodes(df: DataFrame, payload: str) -> DataFrame:
-    """One parse, one walk."""
-    shaped = evaluate_once(df, _shape=F.schema_of_variant(F.try_parse_json(F.col(payload))))
-    return evaluate_once(shaped, _nodes=json_nodes(F.col("_shape"))).drop("_shape")
+# Names that a type string leaves without quotes.
+PLAIN_NAME = r"^[A-Za-z_][A-Za-z0-9_]*\z"
+
+
+def _fields(value: Column, parent: Column, opened: Column) -> Column:
+    """Parent, path and kind of the fields of a JSON object, with the value of those that are objects to open; null for anything else."""
+
+    def node(entry: Column) -> Column:
+        name, inside = entry["key"], entry["value"]
+        quoted = F.when(name.rlike(PLAIN_NAME), name).otherwise(F.concat(F.lit("`"), F.replace(name, F.lit("`"), F.lit("``")), F.lit("`")))
+        path = F.when(parent == "", quoted).otherwise(F.concat(parent, F.lit("."), quoted))
+        kind = F.substring_index(F.schema_of_variant(inside), "<", 1)
+        return F.struct(parent.alias("parent"), path.alias("path"), kind.alias("kind"), F.when(F.array_contains(opened, path), inside).alias("value"))
+
+    return F.transform(F.map_entries(F.try_variant_get(value, "$", "map<string, variant>")), node)
+
+
+def _with_known_levels(df: DataFrame, payload: str, contract: StructType, required: Sequence[str]) -> tuple[DataFrame, Column, Column]:
+    """The rows, whether a record is as the contract says, and if not, the fields of the whole record and of objects with a
+    known path or a required field inside.
+
+    One parse; a level is read from the objects of the one above, down to those below the deepest known path.
+    """
+    known = expected_nodes(contract)
+    above = {path[:k] for path in required for k, c in enumerate(path) if c == "."}
+    wanted = sorted({*known, *above})
+    opened = F.array(*[F.lit(p) for p in wanted])
+    none = F.array().cast("array<struct<parent: string, path: string, kind: string, value: variant>>")
+    rows = evaluate_once(df, _record=F.try_parse_json(F.col(payload)))
+    agrees = F.lit(False)
+    if set(required) <= set(known):
+        agrees = F.coalesce(F.schema_of_variant("_record").rlike(rf"^{agreeing_shape(contract, required)}\z"), F.lit(False))
+    rows = evaluate_once(rows, _agrees=agrees)
+    top = F.when(~F.col("_agrees"), _fields(F.col("_record"), F.lit(""), opened))
+    rows = evaluate_once(rows, _nodes=F.coalesce(top, none)).drop("_record")
+    rows = rows.withColumn("_level", F.col("_nodes"))
+    for _ in range(max(p.count(".") for p in wanted) + 1 if wanted else 0):
+        objects = F.filter("_level", lambda n: (n["kind"] == "OBJECT") & n["value"].isNotNull())
+        below = F.flatten(F.transform(objects, lambda n: _fields(n["value"], n["path"], opened)))
+        rows = evaluate_once(rows, _below=below)
+        rows = rows.withColumns({"_nodes": F.concat("_nodes", "_below"), "_level": F.col("_below")}).drop("_below")
+    return rows.drop("_level"), F.col("_agrees"), F.col("_nodes")
+
+
+def agreeing_shape(contract: StructType, required: Sequence[str], prefix: str = "") -> str:
+    """Pattern of the type strings of records that have every required field and no other drift; a type string names fields in order."""
+    parts = []
+    for field in sorted(contract.fields, key=lambda f: f.name):
+        path = f"{prefix}{field.name}"
+        if isinstance(field.dataType, StructType):
+            kind = agreeing_shape(field.dataType, required, f"{path}.")
+        else:
+            kind = KINDS_OF[field.dataType.typeName()]
+        needed = any(p == path or p.startswith(f"{path}.") for p in required)
+        one = rf"(?:(?<=<)|, ){re.escape(field.name)}: "
+        parts.append(f"{one}{kind}" if needed else f"(?:{one}(?:{kind}|VOID))?")
+    return f"OBJECT<{''.join(parts)}>"
 
 
 def expected_nodes(contract: StructType, prefix: str = "") -> dict[str, str]:
@@ -274,32 +328,37 @@ def schema_drift_paths(
     """Add missing, unexpected and retyped fields at any depth, as sorted paths, and the action.
 
     The payload is parsed once. Of an unexpected object only its own path is reported. A field that
-    holds null is neither retyped nor there.
+    holds null is neither retyped nor there. Required fields lie in objects, not in arrays.
     """
     known = expected_nodes(contract)
     paths = F.array(*[F.lit(p) for p in known])
     kinds = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    nodes = F.col("_nodes")
+    read, agrees, nodes = _with_known_levels(df, payload, contract, required)
 
     def sorted_paths(condition: Callable[[Column], Column]) -> Column:
         return F.sort_array(F.array_distinct(F.transform(F.filter(nodes, condition), lambda n: n["path"])))
 
     there = F.transform(F.filter(nodes, lambda n: n["kind"] != "VOID"), lambda n: n["path"])
-    holds_known = lambda n: ((n["parent"] == "") | F.array_contains(paths, n["parent"])) & ~F.endswith(n["path"], F.lit("[]"))
+    needed = F.sort_array(F.array(*[F.lit(p) for p in required]))
     drift = evaluate_once(
-        _with_nodes(df, payload),
-        missing_required_fields=F.array_except(F.sort_array(F.array(*[F.lit(p) for p in required])), there),
-        unexpected_fields=sorted_paths(lambda n: holds_known(n) & ~F.array_contains(paths, n["path"])),
+        read,
+        missing_required_fields=F.array_except(needed, F.when(agrees, needed).otherwise(there)),
+        unexpected_fields=sorted_paths(lambda n: ((n["parent"] == "") | F.array_contains(paths, n["parent"])) & ~F.array_contains(paths, n["path"])),
         type_drift_fields=sorted_paths(
             lambda n: F.array_contains(paths, n["path"]) & (n["kind"] != "VOID") & (n["kind"] != F.try_element_at(kinds, n["path"]))
         ),
     )
     broken = (F.size("missing_required_fields") > 0) | (F.size("type_drift_fields") > 0)
     action = F.when(broken, "FAIL_FAST" if fail_fast else "DLQ").when(F.size("unexpected_fields") > 0, "WARN_AND_CONTINUE").otherwise("ACCEPT")
-    return drift.withColumn("action", action).drop("_nodes")
+    return drift.withColumn("action", action).drop("_nodes", "_agrees")
 
 
 def schema_union(df: DataFrame, payload: str = "raw_payload") -> DataFrame:
-    """path, kind, records: every field of the table's payloads at any depth, with every kind it has."""
-    nodes = _with_nodes(df, payload).select(F.inline(F.array_distinct("_nodes")))
-    return nodes.groupBy("path", "kind").agg(F.count(F.lit(1)).alias("records"))
+    """path, kind, records: every field of the table's payloads at any depth, with every kind it has.
+
+    One parse; payloads with the same type string are counted before it is walked.
+    """
+    shaped = evaluate_once(df, _shape=F.schema_of_variant(F.try_parse_json(F.col(payload))))
+    shapes = shaped.groupBy("_shape").agg(F.count(F.lit(1)).alias("_records"))
+    nodes = shapes.select("_records", F.inline(F.array_distinct(json_nodes(F.col("_shape")))))
+    return nodes.groupBy("path", "kind").agg(F.sum("_records").alias("records"))

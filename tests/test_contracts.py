@@ -60,6 +60,35 @@ def test_union_of_the_table(payloads):
     assert found["raw", "VOID"] == 1 and found["source", "ARRAY"] == 1
 
 
+def test_records_that_agree_are_not_walked(spark):
+    """Their type string says so; others are read level by level, down to what the contract knows."""
+    agrees = ['{"ingestion_ts":"t","source":{"channel":"c","server":null},"raw":{}}', '{"raw":{"message":"m"},"source":{},"metadata":null,"ingestion_ts":"t"}']
+    others = [
+        '{"ingestion_ts":null,"source":{},"raw":{}}', '{"ingestion_ts":"t","source":{},"raw":{"message":{"a":1}}}', '{"ingestion_ts":"t","source":{"channel":1},"raw":{}}',
+        '{"ingestion_ts":"t","source":{},"raw":{},"more":{"source":{"channel":1}}}', '{"ingestion_ts":"t","source":{},"raw":{"1a":0,"a`b":0}}', "3", None,
+    ]
+    df = spark.createDataFrame(list(enumerate(agrees + others)), "id int, raw_payload string")
+    rows, agreed, nodes = observe._with_known_levels(df, "raw_payload", observe.ENVELOPE, observe.EnvelopeContract().required)
+    found = {r["id"]: (r["a"], r["n"]) for r in rows.select("id", agreed.alias("a"), F.size(nodes).alias("n")).collect()}
+    assert [found[k] for k in range(len(agrees))] == [(True, 0)] * len(agrees)
+    assert not any(found[k][0] for k in range(len(agrees), len(found))) and found[5] == (False, 4)
+    drift = {r["id"]: (r["missing_required_fields"], r["unexpected_fields"], r["type_drift_fields"]) for r in observe.schema_drift_paths(df).collect()}
+    assert drift[0] == drift[1] == ([], [], []) and drift[2] == (["ingestion_ts"], [], [])
+    assert drift[3] == ([], ["raw.message.a"], ["raw.message"]) and drift[4] == ([], [], ["source.channel"])
+    assert drift[5] == ([], ["more"], []) and drift[6] == ([], ["raw.`1a`", "raw.`a``b`"], [])
+    nested = observe.schema_drift_paths(df, required=("source.channel", "more.source.channel"))
+    assert {r["id"]: r["missing_required_fields"] for r in nested.collect()}[5] == ["source.channel"]
+    assert {r["id"]: r["missing_required_fields"] for r in nested.collect()}[0] == ["more.source.channel"]
+
+
+def test_union_walks_a_type_once(spark):
+    df = spark.createDataFrame([(f'{{"a":{k},"b":{{"c":"x{k}"}}}}',) for k in range(50)], "raw_payload string")
+    found = observe.schema_union(df)
+    assert {(r["path"], r["kind"]): r["records"] for r in found.collect()} == {("a", "BIGINT"): 50, ("b", "OBJECT"): 50, ("b.c", "STRING"): 50}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("regexp_extract_all") < plan.rindex("Aggregate")
+
+
 def test_a_custom_contract():
     contract = StructType.fromDDL("a int, b struct<c: double, d: struct<e: boolean>>")
     assert observe.expected_nodes(contract) == {"a": "BIGINT", "b": "OBJECT", "b.c": "DOUBLE", "b.d": "OBJECT", "b.d.e": "BOOLEAN"}
