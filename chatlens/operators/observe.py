@@ -328,7 +328,7 @@ def schema_drift_paths(
     """Add missing, unexpected and retyped fields at any depth, as sorted paths, and the action.
 
     The payload is parsed once. Of an unexpected object only its own path is reported. A field that
-    holds null is neither retyped nor there. Required fields lie in objects, not in arrays.
+    holds null is neither retyped nor there.
     """
     known = expected_nodes(contract)
     paths = F.array(*[F.lit(p) for p in known])
@@ -339,6 +339,9 @@ def schema_drift_paths(
         return F.sort_array(F.array_distinct(F.transform(F.filter(nodes, condition), lambda n: n["path"])))
 
     there = F.transform(F.filter(nodes, lambda n: n["kind"] != "VOID"), lambda n: n["path"])
+    if any("[]" in path for path in required):  # in arrays, which only the walk of the whole type string reads
+        read = evaluate_once(read, _walked=json_nodes(F.schema_of_variant(F.try_parse_json(F.col(payload)))))
+        there = F.concat(there, F.transform(F.filter("_walked", lambda n: n["kind"] != "VOID"), lambda n: n["path"]))
     needed = F.sort_array(F.array(*[F.lit(p) for p in required]))
     drift = evaluate_once(
         read,
@@ -350,7 +353,7 @@ def schema_drift_paths(
     )
     broken = (F.size("missing_required_fields") > 0) | (F.size("type_drift_fields") > 0)
     action = F.when(broken, "FAIL_FAST" if fail_fast else "DLQ").when(F.size("unexpected_fields") > 0, "WARN_AND_CONTINUE").otherwise("ACCEPT")
-    return drift.withColumn("action", action).drop("_nodes", "_agrees")
+    return drift.withColumn("action", action).drop("_nodes", "_agrees", "_walked")
 
 
 def schema_union(df: DataFrame, payload: str = "raw_payload") -> DataFrame:
