@@ -7,6 +7,8 @@ events' own values: see the predicates below.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from chatlens.functions.message import with_message_features
 from chatlens.operators.irc import iso_instant
 from chatlens.operators.parse import VALID, classify, dead_letters, dedupe, valid_events
 from chatlens.schemas import BRONZE_STAGE, FEATURE_STAGE, PARSE_STAGE, SILVER_FEATURES
+from chatlens.sources import layout
 from chatlens.sources.log import bronze_projection
 from chatlens.streaming.sinks import with_batch_metadata
 
@@ -33,6 +36,7 @@ TARGETS = {
     "features": "lake.silver.silver_chat_features",
     "dlq": "lake.silver.chat_dlq",
 }
+JOIN_BYTES = 32 << 20  # of the stored tables, for each partition of their join
 HOUR = 3600
 FIRST_HOUR = 473352  # hours from the epoch to 2024-01-01
 
@@ -61,11 +65,21 @@ def short_line() -> Column:
     )
 
 
+def join_partitions(spark: SparkSession, sf: str) -> int:
+    """Partitions of a join of events and texts: the session's number, or more, so that none grows with the tables."""
+    given = layout.stored_bytes(spark, f"{sf}/documents.parquet", f"{sf}/events.parquet")
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(given / JOIN_BYTES))
+
+
 def messages(spark: SparkSession, sf: str) -> DataFrame:
     # Whole texts are no broadcast side at any size: both inputs are placed by id, which also
     # spreads the text work over the cluster however few files the tables come in.
-    texts = table(spark, sf, "documents").select(F.col("doc_id").alias("event_id"), "text").hint("merge")
-    joined = events(spark, sf).join(texts, "event_id", "left")
+    texts = table(spark, sf, "documents").select(F.col("doc_id").alias("event_id"), "text")
+    said = events(spark, sf)
+    parts = join_partitions(spark, sf)
+    if parts > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        said, texts = said.repartition(parts, "event_id"), texts.repartition(parts, "event_id")
+    joined = said.join(texts.hint("merge"), "event_id", "left")
     return joined.withColumn(
         "message", F.when(F.expr(BLANK), F.lit("   ")).otherwise(F.coalesce("text", short_line()))
     ).drop("text")

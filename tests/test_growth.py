@@ -73,6 +73,18 @@ def test_log_files_grow_in_number_not_in_size(spark, tables, tmp_path, monkeypat
     assert spark.read.parquet(path).count() == derived.log_rows(spark, tables).count()
 
 
+def test_join_of_events_and_texts_grows_in_number_not_in_size(spark, tables, monkeypatch):
+    """The join has the session's number of partitions, or as many as the tables' bytes ask for."""
+    whole = derived.messages(spark, tables)
+    monkeypatch.setattr(derived, "JOIN_BYTES", 1 << 10, raising=False)
+    rows = derived.messages(spark, tables)
+    given = layout.stored_bytes(spark, f"{tables}/documents.parquet", f"{tables}/events.parquet")
+    parts = -(-given // 1024)
+    assert parts > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert rows.rdd.getNumPartitions() == parts
+    assert rows.exceptAll(whole).isEmpty() and whole.exceptAll(rows).isEmpty()
+
+
 def test_buckets_grow_in_number_not_in_size(spark, tables, monkeypatch):
     counts = []
     write = catalog.tables.materialize
