@@ -130,6 +130,25 @@ def test_the_array_judges_a_stated_article(spark):
     assert found[30] == " ".join(f"subscribe{k}" for k in range(40))
 
 
+def test_every_suffix_of_stated_prose_is_in_the_array(spark):
+    """One word of its own anywhere makes prose an article, and what stands in another page's article is repeated in open text."""
+    prose = [f"word{j}" for j in range(300)]
+    page = f"<div>a menu of the site stands here</div><article><p>{' '.join(prose)}</p></article>"
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), pa.array([page])], ["host", "page", "html"])
+    made = [r for x in extract._suffixes(iter([batch])) for r in x.to_pylist()]
+    assert sorted(k for r in made for k in r["starts"]) == [0, 1, *range(7, 7 + 300 - extract.DEPTH + 1)]
+
+    size = 40
+    card = [f"subscribe{j}" for j in range(size)]
+    own = {k: " ".join(f"own{k}x{j}" for j in range(60)) for k in range(size + 1)}
+    cards = {k: " ".join(card[:k] + [f"reader{k}"] * (k < size) + card[k + 1 :]) for k in range(size + 1)}
+    rows = [(k, "http://cards/", f"<article><p>{cards[k]}</p></article><div>{own[k]}</div>") for k in cards]
+    whole = [(100 + k, "http://open/", f"<article><p>{' '.join(prose)}</p></article>" if k else f"<p>{' '.join(prose[40:50])} here only</p>") for k in range(2)]
+    found = texts(extract.main_text(pages(spark, rows + whole)))
+    assert [found[k] for k in range(size)] == [cards[k] for k in range(size)] and found[size] == own[size]
+    assert found[100] == "here only" and found[101] == " ".join(prose)
+
+
 def test_common_passages_share_a_chosen_suffix():
     rng = random.Random(4)
     long = extract.SPARSE + extract.DEPTH - 1
