@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
-from pyspark.storagelevel import StorageLevel
 
 from chatlens.functions.message import message_features
 from chatlens.operators.merge import first_per_key, merge_update_status, new_rows
@@ -28,7 +27,7 @@ from chatlens.schemas import (
 from chatlens.sources.layout import compact, read_layout
 from chatlens.sources.log import bronze_projection
 from chatlens.streaming.ledger import routed_batch
-from chatlens.streaming.sinks import EVENT_DATE, stream_append, with_batch_metadata
+from chatlens.streaming.sinks import EVENT_DATE, stored_batch, stream_append, with_batch_metadata
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -214,8 +213,7 @@ def v1_batch(
         if batch.isEmpty():
             return
         now = F.lit(datetime.now(timezone.utc)) if as_of is None else as_of
-        parsed = v1_parsed_raw(batch).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+        with stored_batch(v1_parsed_raw(batch)) as parsed:
             segments = [r[0] for r in in_segments(parsed, segment_offsets).select(SEGMENT.name).distinct().collect()]
             status = parse_status(parsed)
             raw = parsed.withColumn("ingest_ts", now).drop("parse_ok")
@@ -224,8 +222,6 @@ def v1_batch(
             good = _absent(parsed.filter("parse_ok"), silver, batch_id, ["json_payload"], segments)
             _own_batch(in_segments(v1_enrich(good, now), segment_offsets), silver, batch_id)
             _own_batch(in_segments(status, segment_offsets), status_log(bronze), batch_id)
-        finally:
-            parsed.unpersist()
 
     return write
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import date, datetime, timezone
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DateType, StructField, StructType
 
 from chatlens.schemas import BATCH_METRICS, with_write_metadata
+from chatlens.session import checkpoint_root
 from chatlens.sources import layout
 from chatlens.sources.evolution import admit
 
@@ -45,6 +48,23 @@ def _is_path(target: str) -> bool:
     return "/" in target
 
 
+@contextmanager
+def stored_batch(rows: DataFrame) -> Iterator[DataFrame]:
+    """Rows of a micro-batch, computed once into files that its writes read, and dropped after them.
+
+    A cache would build columns of ten thousand whole texts in each task and fill the executors' heap
+    with the batch, which grows with the log. Files take a task one row group, and losing an executor loses none.
+    """
+    spark = rows.sparkSession
+    folder = f"{checkpoint_root(spark).rstrip('/')}/batch-{uuid4().hex}"
+    try:
+        rows.write.option("compression", layout.COMPRESSION).parquet(folder)
+        yield spark.read.schema(rows.schema).parquet(folder)
+    finally:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_batch(stamped: DataFrame, target: str, fmt: str, run_id: str, job_name: str, batch_id: int) -> None:
     """Write one stamped batch so that writing it again replaces it.
 

@@ -23,6 +23,7 @@ from chatlens.schemas import (
     V1_SILVER,
     with_write_metadata,
 )
+from chatlens.session import checkpoint_root
 from chatlens.sources import log, tables
 from chatlens.streaming import jobs, ledger, sinks
 
@@ -328,6 +329,45 @@ def test_v1_status_of_mixed_and_redelivered_keys(spark, lake):
     assert [r["offset"] for r in silver] == [1, 2, 3, 4]
 
 
+def _none_cached(monkeypatch, df):
+    def refuse(*_):
+        raise AssertionError("a micro-batch of whole texts is held by executors")
+
+    for name in ("persist", "cache"):
+        monkeypatch.setattr(type(df), name, refuse)
+
+
+def _stored(spark):
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(checkpoint_root(spark))
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [x.getPath().getName() for x in files.listStatus(root) if x.getPath().getName().startswith("batch-")] if files.exists(root) else []
+
+
+def test_v1_batch_is_stored_and_not_cached(spark, lake, monkeypatch):
+    before = _stored(spark)
+    rows = spark.createDataFrame([record(1, value=v1_payload("LUL")), record(2, value=b"broken")], LOG_RECORD)
+    _none_cached(monkeypatch, rows)
+    jobs.v1_batch(lake.path("raw"), lake.path("silver"))(rows, 0)
+    assert tables.read_table(spark, lake.path("raw"), V1_BRONZE).count() == 2
+    assert [r["message"] for r in tables.read_table(spark, lake.path("silver"), V1_SILVER).collect()] == ["LUL"]
+    assert _stored(spark) == before
+
+
+def test_routed_batch_is_stored_once_and_not_cached(spark, lake, monkeypatch):
+    """Both targets read the same stored rows, which are dropped after them, also where a write breaks."""
+    before = _stored(spark)
+    raw = log.bronze_projection(spark.createDataFrame([record(1), record(2, value=b"broken")], LOG_RECORD), F.col("timestamp"))
+    rows = parse.classify(raw, F.col("bronze_ingestion_ts"))
+    _none_cached(monkeypatch, rows)
+    ledger.routed_batch(lake.path("parsed"), lake.path("dlq"), lake.path("ledger"), "r1")(rows, 0)
+    entry = spark.read.parquet(lake.path("ledger")).first()
+    assert (entry["parsed_rows"], entry["dlq_rows"]) == (1, 1) and _stored(spark) == before
+    with pytest.raises(ZeroDivisionError), sinks.stored_batch(rows) as kept:
+        assert len(set(_stored(spark)) - set(before)) == 1 and kept.schema.fieldNames() == rows.schema.fieldNames()
+        raise ZeroDivisionError
+    assert _stored(spark) == before
+
+
 def test_v1_batch_parses_each_payload_once(spark):
     from chatlens.operators.v1 import v1_parsed_raw
 
