@@ -8,12 +8,11 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.storagelevel import StorageLevel
 
 from chatlens.operators.parse import dead_letters, valid_events
 from chatlens.schemas import BATCH_LEDGER, PARSE_STAGE, STREAM_PROGRESS
 from chatlens.sources.tables import read_table
-from chatlens.streaming.sinks import append_with_batch_metadata, replace_rows
+from chatlens.streaming.sinks import append_with_batch_metadata, replace_rows, stored_batch
 
 LEDGER_PARTITIONS = ["run_id", "job_name", "batch_id"]
 
@@ -31,21 +30,18 @@ def routed_batch(
 ) -> Callable[[DataFrame, int], None]:
     """One micro-batch function for classified rows: events to one target, failures to the other.
 
-    The batch is computed once and kept for both writes. A ledger row follows them; until it is
+    The batch is computed once and stored for both writes. A ledger row follows them; until it is
     there, ``committed`` shows neither part, and the repeat of the batch replaces both.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
+        with stored_batch(batch) as rows:
             counts = [
                 append_with_batch_metadata(part, batch_id, target, run_id, job_name, ops_metrics, fmt, clock=clock)
                 for part, target in ((valid_events(rows), parsed), (dead_letters(rows, as_of), dlq))
             ]
             entry = (run_id, job_name, int(batch_id), clock(), *counts)
             replace_rows(batch.sparkSession.createDataFrame([entry], BATCH_LEDGER), ledger, LEDGER_PARTITIONS)
-        finally:
-            rows.unpersist()
 
     return write
 
